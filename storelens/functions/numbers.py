@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 def number(value: Column) -> Column:
     """Numeric reading of a dirty column; text that is no number becomes null."""
-    parsed = value.try_cast("double")
-    return F.when(~F.isnan(parsed), parsed)
+    return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
 
 
 def ratio(top: Column, bottom: Column) -> Column:

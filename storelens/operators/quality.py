@@ -59,22 +59,30 @@ def numeric_stats(df: DataFrame) -> DataFrame:
     return _per_column(one_row, names, ["mean", "stddev", "min", "max"])
 
 
-def flag_outliers(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``<column>_is_outlier`` for each numeric column; nulls are never outliers.
+def outlier_stats(names: list[str]) -> list[Column]:
+    """Aggregates that ``outlier_flags`` compares with."""
+    return [stat for name in names for stat in (F.mean(name).alias(f"_mean_{name}"),
+                                                F.stddev(name).alias(f"_std_{name}"))]
 
-    The statistics are one row, so the broadcast has a fixed size.
-    """
-    names = numeric_columns(df) if columns is None else columns
-    stats = df.agg(*[s for name in names
-                     for s in (F.mean(name).alias(f"_mean_{name}"),
-                               F.stddev(name).alias(f"_std_{name}"))])
+
+def outlier_flags(names: list[str]) -> dict[str, Column]:
     flags = {}
     for name in names:
         reach = OUTLIER_DEVIATIONS * F.col(f"_std_{name}")
         outside = ((F.col(name) > F.col(f"_mean_{name}") + reach)
                    | (F.col(name) < F.col(f"_mean_{name}") - reach))
         flags[f"{name}_is_outlier"] = F.coalesce(outside, F.lit(False))
-    return df.crossJoin(F.broadcast(stats)).withColumns(flags).drop(*stats.columns)
+    return flags
+
+
+def flag_outliers(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """``<column>_is_outlier`` for each numeric column; nulls are never outliers.
+
+    The statistics are one row, so the broadcast has a fixed size.
+    """
+    names = numeric_columns(df) if columns is None else columns
+    stats = df.agg(*outlier_stats(names))
+    return df.crossJoin(F.broadcast(stats)).withColumns(outlier_flags(names)).drop(*stats.columns)
 
 
 def profile(df: DataFrame, approximate: bool = False) -> DataFrame:

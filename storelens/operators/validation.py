@@ -19,28 +19,31 @@ OK, DROPPED, FAILED = "Ok", "Dropped", "ProcessingFailed"
 FIRST_YEAR, VALUE_MIN, VALUE_MAX = 1900, 0, 1_000_000
 
 
-def record_result(data: Column, required: list[str]) -> Column:
-    """``Ok``, ``Dropped`` (a required field is missing or null) or ``ProcessingFailed``.
+def validate_records(raw: DataFrame, required: list[str] = CRM_REQUIRED,
+                     data: str = "data") -> DataFrame:
+    """Adds ``result``: ``Ok``, ``Dropped`` (a required field is missing or null) or
+    ``ProcessingFailed`` (not decodable).
 
     All fields are read as text, so only presence counts. A JSON list is readable but holds no
-    field, hence dropped.
+    field, hence dropped. Exploding a list of one keeps Spark from parsing again per condition.
     """
-    text = decode_text(data)
-    record = parse_object(text, StructType([StructField(f, StringType()) for f in required]))
+    fields = StructType([StructField(f, StringType()) for f in required])
+    text = F.col("_read.text")
+    read = F.struct(text.alias("text"), parse_object(text, fields).alias("record"))
+    decoded = raw.withColumn("_read", F.struct(decode_text(F.col(data)).alias("text")))
+    parsed = decoded.withColumn("_read", F.explode(F.array(read)))
     missing = F.lit(False)
     for field in required:
-        missing = missing | record[field].isNull()
-    return (
-        F.when(F.json_array_length(text).isNotNull(), DROPPED)
-        .when(record.isNull() | record[CORRUPT].isNotNull(), FAILED)
-        .when(missing, DROPPED)
-        .otherwise(OK)
+        missing = missing | F.col(f"_read.record.{field}").isNull()
+    unreadable = (F.col("_read.record").isNull()
+                  | F.col(f"_read.record.{CORRUPT}").isNotNull())
+    result = (
+        F.when(~unreadable & missing, DROPPED)
+        .when(~unreadable, OK)
+        .when(F.json_array_length("_read.text").isNotNull(), DROPPED)
+        .otherwise(FAILED)
     )
-
-
-def validate_records(raw: DataFrame, required: list[str] = CRM_REQUIRED,
-                     data: str = "data") -> DataFrame:
-    return raw.withColumn("result", record_result(F.col(data), required))
+    return parsed.withColumn("result", result).drop("_read")
 
 
 def result_counts(validated: DataFrame) -> DataFrame:

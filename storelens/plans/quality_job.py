@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, TimestampType
 
 from ..operators import cleaning, enrichment, quality, validation
@@ -24,11 +25,18 @@ def cleaned(df: DataFrame) -> DataFrame:
 
 
 def quality_rows(df: DataFrame, as_of: dt.datetime | str | None = None) -> DataFrame:
-    """Cleaned rows with outlier, validation and calendar columns."""
-    rows = quality.flag_outliers(cleaned(df))
+    """Cleaned rows with outlier, validation and calendar columns.
+
+    Statistics and first date come from one aggregate row, set beside every cleaned row.
+    """
+    tidy = cleaned(df)
+    numeric = quality.numeric_columns(tidy)
+    overall = tidy.agg(*quality.outlier_stats(numeric), F.min("date_column").alias("_first"))
+    rows = tidy.crossJoin(F.broadcast(overall)).withColumns(quality.outlier_flags(numeric))
     rows = validation.value_check(validation.date_check(rows, as_of))
     rows = enrichment.weekend_flag(enrichment.date_parts(rows))
-    return enrichment.days_since_first(rows)
+    return (rows.withColumn("days_since_first_event", F.datediff("date_column", "_first"))
+            .drop(*overall.columns))
 
 
 def quality_profile(df: DataFrame, approximate: bool = False) -> DataFrame:

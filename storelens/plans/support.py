@@ -34,12 +34,15 @@ def interaction_volume(crm: DataFrame) -> DataFrame:
 
 
 def interaction_volume_sorted(crm: DataFrame) -> DataFrame:
-    volume = interaction_volume(crm.na.drop(subset=["interaction_type"]))
+    volume = interaction_volume(crm.filter(F.col("interaction_type").isNotNull()))
     return volume.orderBy(F.desc("volume"), "interaction_type")
 
 
 def _volume_json(type_name: Column) -> Column:
-    """Volumes per type as one JSON object with sorted keys, from rows already counted per type."""
+    """Volumes per type as one JSON object with sorted keys.
+
+    Only rows already counted per type come together here, as many as the text has entries.
+    """
     counted = type_name.isNotNull() & (F.col("volume") > 0)
     entry = F.when(counted, F.struct(type_name, F.col("volume")))
     return F.to_json(F.map_from_entries(F.sort_array(F.collect_list(entry))))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .. import fixtures
 from ..operators import quality
 from ..plans import quality_job
@@ -76,5 +78,5 @@ def job_quality(spark, sf_dir):
     "quality", "tidy"))
 def job_quality_profile(spark, sf_dir):
     report = quality_job.quality_profile(fixtures.quality_dataset(spark, sf_dir))
-    shares = rounded(report.select("column", "completeness", "uniqueness"), 9)
-    return shares.join(rounded(report.drop("completeness", "uniqueness"), 4), "column")
+    digits = {"completeness": 9, "uniqueness": 9, "mean": 4, "stddev": 4, "min": 4, "max": 4}
+    return report.withColumns({name: F.round(name, d) for name, d in digits.items()})

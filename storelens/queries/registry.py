@@ -8,6 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import prepare
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -22,10 +24,10 @@ REGISTRY: dict[str, Query] = {}
 def query(sql: str | None = None) -> Callable[[Run], Run]:
     """Register a function under its own name."""
     def register(run: Run) -> Run:
-        def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+            prepare(spark)
             return portable(run(spark, sf_dir))
-        REGISTRY[run.__name__] = Query(in_utc, sql)
+        REGISTRY[run.__name__] = Query(prepared, sql)
         return run
     return register
 

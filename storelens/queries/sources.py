@@ -12,7 +12,7 @@ from ..sources import landing, notifications, records, tables
 from .registry import feeds, query
 
 # Rows of one JSON landing document.
-_DOCUMENT_ROWS = 5000
+_DOCUMENT_ROWS = 50_000
 
 _POS = """SELECT transaction_id, store_id, product_id, quantity, revenue, discount_applied,
   "timestamp" FROM pos"""
@@ -114,4 +114,4 @@ def src_scalar_or_array(spark, sf_dir):
                .otherwise("{bad"))
     raw = fixtures.events(spark, sf_dir).select("event_id", payload.alias("payload"))
     schema = "struct<id:bigint,kind:string>"
-    return records.explode_payload(raw, schema, keep=["event_id"])
+    return records.explode_payload(raw, schema, F.col("payload"), keep=["event_id"])

@@ -105,9 +105,9 @@ def snk_stream_publish(spark, sf_dir):
 def st_microbatch_limits(spark, sf_dir):
     path, checkpoint = _folders(spark, "limited")
     crm = fixtures.crm_of(fixtures.events_stream(spark, sf_dir))
-    publish.publish(publish.messages(crm), path, checkpoint, trigger=streaming.ONCE,
-                    batch_records=publish.BATCH_RECORDS).awaitTermination()
-    sends = (spark.read.schema("key string").json(path)
-             .groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n")))
-    return sends.agg(F.sum("n").alias("records"),
-                     F.count_if(F.col("n") > publish.BATCH_RECORDS).cast("int").alias("oversized"))
+    sends = publish.requests(publish.messages(crm))
+    publish.publish(sends, path, checkpoint, "parquet", streaming.ONCE).awaitTermination()
+    size = F.size("entries")
+    return spark.read.parquet(path).agg(
+        F.sum(size).alias("records"),
+        F.count_if(size > publish.BATCH_RECORDS).cast("int").alias("oversized"))

@@ -9,6 +9,14 @@ from pyspark.sql import SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
+# Settings the results or the handling of busy keys depend on. A join on a busy key is split even
+# where that costs the aggregate above it a shuffle of partial results.
+RUNTIME = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
 
 def build_session(app: str = "storelens", master: str | None = None,
                   shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -19,13 +27,11 @@ def build_session(app: str = "storelens", master: str | None = None,
     """
     builder = (
         SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.parquet.filterPushdown", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
+    for key, value in RUNTIME.items():
+        builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
@@ -35,6 +41,12 @@ def build_session(app: str = "storelens", master: str | None = None,
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> None:
+    """Bring a session made elsewhere to the settings of ``build_session``."""
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,17 +19,29 @@ def messages(df: DataFrame, id_column: str = "id") -> DataFrame:
     return df.select(key.alias("key"), value.alias("value"))
 
 
+def requests(keyed: DataFrame, size: int = BATCH_RECORDS) -> DataFrame:
+    """Messages packed into sends of at most ``size`` records, one row per send.
+
+    Packing happens inside each task on Arrow batches, without a shuffle.
+    """
+    def pack(batches):
+        for batch in batches:
+            ends = [*range(0, batch.num_rows, size), batch.num_rows]
+            entries = pa.StructArray.from_arrays(batch.columns, names=batch.schema.names)
+            sends = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
+            yield pa.RecordBatch.from_arrays([sends], names=["entries"])
+
+    return keyed.mapInArrow(pack, "entries array<struct<key:string,value:string>>")
+
+
 def publish(stream: DataFrame, target: str, checkpoint: str, sink: str = "json",
-            trigger: dict | None = None, batch_records: int | None = None, **options: str):
+            trigger: dict | None = None, **options: str):
     """Streams messages to files or, by configuration, to a topic (``sink="kafka"``).
 
-    Offsets are kept in the checkpoint: a failed send is repeated, not lost. ``batch_records``
-    limits the records of one file; brokers have a producer option of their own for that.
+    Offsets are kept in the checkpoint: a failed send is repeated, not lost.
     """
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.trigger(**(trigger or {"processingTime": f"{POLL_SECONDS} seconds"}))
     if sink == "kafka":
         return writer.format("kafka").option("topic", target).options(**options).start()
-    if batch_records:
-        writer = writer.option("maxRecordsPerFile", batch_records)
     return writer.format(sink).options(**options).start(target)

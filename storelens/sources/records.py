@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.payload import CORRUPT, decode_text, parse_object
+from ..functions.payload import decode_text
 from ..schemas import RECORD
 
 
@@ -17,24 +17,19 @@ def open_stream(spark: SparkSession, source: str, schema: StructType | None = No
     return (reader.schema(schema) if schema else reader).load()
 
 
-def parse_records(raw: DataFrame, schema: StructType = RECORD, data: str = "data",
-                  keep: list[str] | None = None) -> DataFrame:
-    """Typed records; a record that cannot be decoded is left out."""
-    keep = keep or []
-    return (
-        raw.select(*keep, parse_object(decode_text(F.col(data)), schema).alias("r"))
-        .filter(F.col("r").isNotNull() & F.col(f"r.{CORRUPT}").isNull())
-        .select(*keep, *[F.col("r")[name].alias(name) for name in schema.fieldNames()])
-    )
-
-
-def explode_payload(raw: DataFrame, schema: str, payload: str = "payload",
+def explode_payload(raw: DataFrame, schema: StructType | str, text: Column,
                     keep: list[str] | None = None) -> DataFrame:
     """Rows of a payload that is either one JSON object or a list of them.
 
-    ``schema`` is the type of one object as text. The array reading takes a single object too;
-    a payload that cannot be read gives no row.
+    The array reading takes a single object too; a payload that cannot be read gives no row, a
+    field of the wrong type a null. ``inline`` also keeps filters above the parsing, which would
+    otherwise be repeated inside each of them.
     """
-    items = F.from_json(F.col(payload), f"array<{schema}>")
-    keep = keep or []
-    return raw.select(*keep, F.explode(items).alias("r")).select(*keep, "r.*")
+    kind = schema if isinstance(schema, str) else schema.simpleString()
+    return raw.select(*(keep or []), F.inline(F.from_json(text, f"array<{kind}>")))
+
+
+def parse_records(raw: DataFrame, schema: StructType = RECORD, data: str = "data",
+                  keep: list[str] | None = None) -> DataFrame:
+    """Typed records of a stream of base64 texts; a record that cannot be decoded is left out."""
+    return explode_payload(raw, schema, decode_text(F.col(data)), keep)
