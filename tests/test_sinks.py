@@ -1,0 +1,105 @@
+import json
+from unittest.mock import MagicMock
+
+import pytest
+
+from storelens import session
+from storelens.sinks import folders, items, jdbc, publish
+
+
+def test_daily_folder_appends(spark, tmp_path):
+    path = f"{tmp_path}/bronze"
+    folders.write_daily(spark.range(3), path, "2024-01-01")
+    folders.write_daily(spark.range(2), path, "2024-01-01")
+    folders.write_daily(spark.range(1), path, "2024-01-02")
+    counts = {str(r.ingest_date): r["count"]
+              for r in spark.read.parquet(path).groupBy("ingest_date").count().collect()}
+    assert counts == {"2024-01-01": 5, "2024-01-02": 1}
+
+
+def test_rerun_of_a_snapshot_or_batch_replaces_it(spark, tmp_path):
+    for _ in range(2):
+        folders.write_snapshot(spark.range(3), f"{tmp_path}/snap", "s1")
+        folders.write_batch(spark.range(1), f"{tmp_path}/rows", 4)
+    folders.write_snapshot(spark.range(2), f"{tmp_path}/snap", "s2")
+    folders.write_batch(spark.range(1), f"{tmp_path}/rows", 5)
+    assert spark.read.parquet(f"{tmp_path}/snap").count() == 5
+    assert spark.read.parquet(f"{tmp_path}/rows").count() == 2
+
+
+def test_append_table_keeps_earlier_rows(spark, tmp_path):
+    for _ in range(2):
+        folders.append_table(spark.range(1), f"{tmp_path}/kpis")
+    assert spark.read.parquet(f"{tmp_path}/kpis").count() == 2
+
+
+def test_delivery_separates_results(spark, tmp_path):
+    df = spark.createDataFrame([("1", "Ok"), ("2", "Dropped"), ("3", "Ok")], "id string, result string")
+    folders.write_delivery(df, f"{tmp_path}/out", 0)
+    assert spark.read.parquet(f"{tmp_path}/out/batch_id=0/result=Ok").count() == 2
+
+
+def test_warehouse_options_and_modes():
+    warehouse = jdbc.Warehouse("jdbc:x://host/db", "me", "secret", "some.Driver", connections=4)
+    assert "secret" not in repr(warehouse)
+    df = MagicMock()
+    jdbc.append_rows(df, warehouse, "kpis")
+    df.write.format.assert_called_with("jdbc")
+    given = df.write.format().options.call_args.kwargs
+    assert given == {"url": "jdbc:x://host/db", "dbtable": "kpis", "user": "me",
+                     "password": "secret", "driver": "some.Driver", "numPartitions": "4",
+                     "batchsize": "10000"}
+    df.write.format().options().mode.assert_called_with("append")
+    jdbc.replace_table(df, warehouse, "sales_kpis")
+    chain = df.write.format().options().option
+    chain.assert_called_with("truncate", "true")
+    chain().mode.assert_called_with("overwrite")
+
+
+def test_kpi_defaults(spark):
+    df = spark.createDataFrame([(None, None, None)], "a double, b string, c bigint")
+    assert tuple(jdbc.kpi_defaults(df).first()) == (0.0, "{}", 0)
+
+
+def test_items_last_write_wins(spark, tmp_path):
+    path = f"{tmp_path}/items"
+
+    def batch(*rows):
+        return spark.createDataFrame(rows, "k bigint, v string, t double")
+
+    items.put_items(batch((1, "a", 1.0), (1, "b", 2.0), (2, "c", 9.0), (None, "x", 1.0)),
+                    path, 0, "k", ["t"])
+    # A later delivery replaces an item even if its own time is earlier.
+    items.put_items(batch((2, None, 3.0), (3, "e", 1.0)), path, 1, "k", ["t"])
+    items.put_items(batch((2, None, 3.0), (3, "e", 1.0)), path, 1, "k", ["t"])
+    stored = {r.k: (r.v, r.t) for r in items.current_items(spark, path, "k").collect()}
+    assert stored == {1: ("b", 2.0), 2: (None, 3.0), 3: ("e", 1.0)}
+    merged = items.merge_items(batch((1, "a", 1.0), (2, "c", 9.0)), batch((2, None, 3.0), (3, "e", 1.0)), "k")
+    assert {tuple(r) for r in merged.collect()} == {(1, "a", 1.0), (2, None, 3.0), (3, "e", 1.0)}
+
+
+def test_messages_and_sends(spark):
+    df = spark.createDataFrame([(5, "a"), (None, "b")], "id bigint, v string")
+    keyed = publish.messages(df).collect()
+    assert keyed[0].key == "5" and json.loads(keyed[0].value) == {"id": 5, "v": "a"}
+    assert keyed[1].key == publish.messages(df).collect()[1].key
+    without_id = publish.messages(df.select("v")).collect()
+    assert len({r.key for r in without_id}) == 2
+    many = spark.range(1001, numPartitions=3)
+    sends = publish.requests(publish.messages(many)).collect()
+    assert max(len(r.entries) for r in sends) == publish.BATCH_RECORDS
+    assert sorted(int(e.key) for r in sends for e in r.entries) == list(range(1001))
+    assert publish.requests(publish.messages(many.limit(0))).count() == 0
+
+
+def test_shared_dir_follows_the_session_setting():
+    spark = MagicMock()
+    spark.conf.get.return_value = "hdfs:///shared/"
+    assert session.shared_dir(spark) == "hdfs:///shared"
+    spark.conf.get.return_value = None
+    spark.sparkContext.master = "spark://host"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(spark)
+    spark.sparkContext.master = "local[2]"
+    spark.sparkContext.applicationId = "app-1"
+    assert session.shared_dir(spark) == session.shared_dir(spark)

@@ -1,0 +1,86 @@
+import json
+import random
+
+import pytest
+
+from storelens.operators.previous import with_previous
+from storelens.operators.validation import removal_counts
+from storelens.plans import support
+from storelens.schemas import CRM_LOGS, RECORD
+
+AS_OF = "2024-01-01 00:00:00"
+
+
+def crm(spark, rows):
+    """Rows of (customer, type, rating, timestamp)."""
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], CRM_LOGS)
+
+
+def records(spark, rows):
+    return spark.createDataFrame([(i, None, *r) for i, r in enumerate(rows)], RECORD)
+
+
+def test_batch_mart(spark):
+    c = crm(spark, [(1, "Feedback", "4", 1.0), (1, "Feedback", "x", 2.0), (2, "Loyalty", "1", 3.0),
+                    (1, "Complaint", None, 10.9), (1, "Complaint", None, 20.1),
+                    (None, "Complaint", None, 0.0), (None, "Complaint", None, 4.0),
+                    (5, None, None, 1.0)])
+    row = support.support_kpis(c, AS_OF).first()
+    assert row.feedback_score == 4.0
+    assert json.loads(row.interaction_volume) == {
+        "Complaint": 4, "Feedback": 2, "Loyalty": 1, "null": 1}
+    assert row.time_to_resolution == (9 + 4) / 2
+    assert row.timestamp == AS_OF
+
+
+def test_batch_mart_of_nothing(spark):
+    row = support.support_kpis(crm(spark, []), AS_OF).first()
+    assert tuple(row) == (0.0, "{}", 0.0, AS_OF)
+
+
+def test_stream_mart(spark):
+    r = records(spark, [
+        (1, "Resolution", "5", 0.0),        # first of its customer: no resolution time
+        (1, "Feedback", "9", 60.0),         # off the scale: removed, not a previous interaction
+        (1, "Complaint", "n/a", 120.0), (1, "Resolution", None, 300.0),
+        (2, "Complaint", "1", 10.0), (2, "Resolution", "3", 10.0),
+        (0, "Feedback", "5", 1.0), (None, "Feedback", "5", 1.0), (3, "Loyalty", "4", None),
+        (4, None, None, 5.0)])
+    row = support.support_kpis_of_records(r, AS_OF).first()
+    assert row.feedback_score == 3.0
+    assert row.interaction_volume_by_type == '{"Complaint":2,"Resolution":3}'
+    assert row.avg_time_to_resolution_minutes == (3.0 + 0.0) / 2
+    counts = removal_counts(r.filter("customer_id <> 0")).first()
+    assert tuple(counts) == (8, 1, 1)
+
+
+def test_stream_mart_without_customers_gives_no_row(spark):
+    assert support.support_kpis_of_records(records(spark, [(0, "Feedback", "1", 1.0)])).count() == 0
+    assert support.support_kpis_of_records(records(spark, [])).count() == 0
+
+
+def test_stream_mart_cleaned_to_nothing_gives_zeros(spark):
+    row = support.support_kpis_of_records(records(spark, [(1, "Feedback", "7", 1.0)]), AS_OF).first()
+    assert tuple(row) == (0.0, "{}", 0.0, AS_OF)
+
+
+@pytest.mark.parametrize("hot_rows", [0, 50, 10_000])
+def test_previous_is_the_same_whichever_way_a_key_is_handled(spark, hot_rows):
+    """One customer holds most rows, many of them at the same instant."""
+    pick = random.Random(7)
+    rows = [(pick.choice([1, 1, 1, 1, 2, 3, 4 + i % 40]), "Feedback", None,
+             float(pick.choice([5, 5, 5, pick.randrange(500)]))) for i in range(3000)]
+    got = {r.id: r.prev_timestamp
+           for r in with_previous(crm(spark, rows), hot_rows=hot_rows).collect()}
+    want, last = {}, {}
+    for i in sorted(range(len(rows)), key=lambda i: (rows[i][0], rows[i][3], i)):
+        customer, _, _, moment = rows[i]
+        want[i] = last.get(customer)
+        last[customer] = moment
+    assert got == want
+
+
+def test_volume_json_can_name_rows_without_type(spark):
+    c = crm(spark, [(1, None, None, 1.0), (1, "A", None, 1.0)])
+    assert support.interaction_volume_json(c).first()[0] == '{"A":1}'
+    assert support.interaction_volume_json(c, null_name="null").first()[0] == '{"A":1,"null":1}'
