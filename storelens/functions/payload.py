@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 
 
-def decode_text(data: Column) -> Column:
-    """UTF-8 text behind base64; null where either encoding is broken."""
-    raw = F.try_to_binary(data.cast("string"), F.lit("base64"))
+def decode_text(data: Column, encoded: bool = True) -> Column:
+    """UTF-8 text of a payload, behind base64 if ``encoded``; null where the encoding is broken."""
+    raw = F.try_to_binary(data.cast("string"), F.lit("base64")) if encoded else data
     return F.try_validate_utf8(raw.cast("string"))
 
 

@@ -94,13 +94,14 @@ def _raw_stream(spark, args) -> DataFrame:
 
 def run_stream(spark, args) -> None:
     raw = _raw_stream(spark, args)
-    trigger = _trigger(args)
+    trigger, encoded = _trigger(args), not args.plain
     if args.kind == "items":
         query = streaming.store_items(raw, args.output, args.checkpoint, args.key, args.order,
-                                      trigger)
+                                      trigger, encoded)
     elif args.kind == "publish":
-        query = publish(messages(records.parse_records(raw)), args.output, args.checkpoint,
-                        args.sink, trigger)
+        query = publish(messages(records.parse_records(raw, encoded=encoded)), args.output,
+                        args.checkpoint, args.sink, trigger,
+                        **dict(option.split("=", 1) for option in args.sink_option))
     elif args.jdbc_url:
         plans = {"marketing": marketing.marketing_kpis_of_records,
                  "support": support.support_kpis_of_records}
@@ -108,11 +109,11 @@ def run_stream(spark, args) -> None:
         query = streaming.kpi_rows(
             raw, plans[args.kind],
             lambda row, _: jdbc.append_rows(jdbc.kpi_defaults(row), warehouse, args.jdbc_table),
-            args.checkpoint, trigger)
+            args.checkpoint, trigger, encoded)
     else:
         start = {"marketing": streaming.marketing, "support": streaming.support,
                  "validate": streaming.validate}[args.kind]
-        query = start(raw, args.output, args.checkpoint, trigger=trigger)
+        query = start(raw, args.output, args.checkpoint, trigger=trigger, encoded=encoded)
     query.awaitTermination()
 
 
@@ -156,9 +157,12 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--schema", help="column list of a file source")
     stream.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     stream.add_argument("--data-column", default="data")
+    stream.add_argument("--plain", action="store_true",
+                        help="payloads are plain JSON, as in a topic, not base64")
     stream.add_argument("--key", default="id")
     stream.add_argument("--order", nargs="+", default=["timestamp", "id"])
     stream.add_argument("--sink", default="json")
+    stream.add_argument("--sink-option", action="append", default=[], metavar="KEY=VALUE")
     for sub in (ingest, stream):
         sub.add_argument("--every", type=int, help="seconds between batches; default: run once")
     return top

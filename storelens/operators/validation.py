@@ -20,7 +20,7 @@ FIRST_YEAR, VALUE_MIN, VALUE_MAX = 1900, 0, 1_000_000
 
 
 def validate_records(raw: DataFrame, required: list[str] = CRM_REQUIRED,
-                     data: str = "data") -> DataFrame:
+                     data: str = "data", encoded: bool = True) -> DataFrame:
     """Adds ``result``: ``Ok``, ``Dropped`` (a required field is missing or null) or
     ``ProcessingFailed`` (not decodable).
 
@@ -30,7 +30,7 @@ def validate_records(raw: DataFrame, required: list[str] = CRM_REQUIRED,
     fields = StructType([StructField(f, StringType()) for f in required])
     text = F.col("_read.text")
     read = F.struct(text.alias("text"), parse_object(text, fields).alias("record"))
-    decoded = raw.withColumn("_read", F.struct(decode_text(F.col(data)).alias("text")))
+    decoded = raw.withColumn("_read", F.struct(decode_text(F.col(data), encoded).alias("text")))
     parsed = decoded.withColumn("_read", F.explode(F.array(read)))
     missing = F.lit(False)
     for field in required:

@@ -34,7 +34,8 @@ def query(sql: str | None = None) -> Callable[[Run], Run]:
 
 def portable(df: DataFrame) -> DataFrame:
     """Dates and timestamps as text, so that no engine's own rendering matters."""
-    formats = {"date": "yyyy-MM-dd", "timestamp": "yyyy-MM-dd HH:mm:ss"}
+    seconds = "yyyy-MM-dd HH:mm:ss"
+    formats = {"date": "yyyy-MM-dd", "timestamp": seconds, "timestamp_ntz": seconds}
     texts = {name: F.date_format(name, formats[kind]) for name, kind in df.dtypes
              if kind in formats}
     return df.withColumns(texts) if texts else df

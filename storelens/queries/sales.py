@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .. import fixtures
 from ..operators.filters import valid_event_date
 from ..plans import adhoc, sales
@@ -87,11 +89,15 @@ def flt_any_kpi_present(spark, sf_dir):
     return sales.any_present(turnover, ["turnover_rate"])
 
 
-@query(feeds("""SELECT product_id, store_id, quantity, revenue, "timestamp" FROM pos
-WHERE "timestamp" IS NOT NULL""", "pos"))
+@query(feeds("""SELECT transaction_id, product_id, store_id, quantity, "timestamp" FROM pos
+WHERE product_id % 19 NOT IN (1, 2, 3)""", "pos"))
 def flt_valid_event_date(spark, sf_dir):
-    return valid_event_date(fixtures.pos(spark, sf_dir), "timestamp").select(
-        "product_id", "store_id", "quantity", "revenue", "timestamp")
+    kind = F.col("product_id") % 19
+    broken = (F.when(kind == 1, None).when(kind == 2, float("nan")).when(kind == 3, 1e15)
+              .otherwise(F.col("timestamp")))
+    pos = fixtures.pos(spark, sf_dir).withColumn("timestamp", broken)
+    return valid_event_date(pos, "timestamp").select(
+        "transaction_id", "product_id", "store_id", "quantity", "timestamp")
 
 
 @query(feeds(f"""SELECT store_id, count(*) AS days, round(sum(total_sales), 2) AS total_sales

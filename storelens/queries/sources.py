@@ -59,9 +59,10 @@ def src_parquet_typed(spark, sf_dir):
     return valid_event_date(tables.read_parquet(spark, path, POS), "timestamp")
 
 
-@query("SELECT event_id, user_id, event_type, value, props FROM events")
+@query("""SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value,
+  props FROM events""")
 def src_parquet_inferred(spark, sf_dir):
-    return tables.read_parquet(spark, f"{sf_dir}/events.parquet").drop("ts")
+    return tables.read_parquet(spark, f"{sf_dir}/events.parquet")
 
 
 @query(feeds(_POS, "pos"))

@@ -29,6 +29,7 @@ def build_session(app: str = "storelens", master: str | None = None,
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in RUNTIME.items():
         builder = builder.config(key, value)

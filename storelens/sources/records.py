@@ -9,6 +9,9 @@ from pyspark.sql.types import StructType
 from ..functions.payload import decode_text
 from ..schemas import RECORD
 
+_STREAM_EVENT = "Records array<struct<kinesis:struct<data:string>>>"
+_DELIVERIES = "array<struct<recordId:string,data:string>>"
+
 
 def open_stream(spark: SparkSession, source: str, schema: StructType | None = None,
                 **options: str) -> DataFrame:
@@ -30,6 +33,24 @@ def explode_payload(raw: DataFrame, schema: StructType | str, text: Column,
 
 
 def parse_records(raw: DataFrame, schema: StructType = RECORD, data: str = "data",
-                  keep: list[str] | None = None) -> DataFrame:
-    """Typed records of a stream of base64 texts; a record that cannot be decoded is left out."""
-    return explode_payload(raw, schema, decode_text(F.col(data)), keep)
+                  keep: list[str] | None = None, encoded: bool = True) -> DataFrame:
+    """Typed records of a stream of JSON payloads; one that cannot be decoded is left out.
+
+    Function events carry payloads in base64, topics carry the plain text (``encoded=False``).
+    """
+    return explode_payload(raw, schema, decode_text(F.col(data), encoded), keep)
+
+
+def unpack_events(events: DataFrame, event: str = "event") -> DataFrame:
+    """Records inside function events, both stream (``Records[].kinesis.data``) and delivery
+    (``records[].recordId, data``) events; ``recordId`` is null for the former.
+    """
+    stream = F.transform(F.col("e.Records"), lambda r: F.struct(
+        F.lit(None).cast("string").alias("recordId"), r["kinesis"]["data"].alias("data")))
+    nothing = F.array().cast("array<struct<recordId:string,data:string>>")
+    found = F.concat(F.coalesce("e.deliveries", nothing), F.coalesce(stream, nothing))
+    # The two lists differ only in the case of their name, which one struct cannot hold.
+    parsed = F.struct(
+        F.from_json(event, _STREAM_EVENT)["Records"].alias("Records"),
+        F.from_json(F.get_json_object(event, "$.records"), _DELIVERIES).alias("deliveries"))
+    return events.select(parsed.alias("e")).select(F.inline(found))

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.validation import removal_columns, validate_records
 from ..plans.marketing import marketing_kpis_of_records
 from ..plans.support import support_kpis_of_records
-from ..schemas import CRM_REQUIRED, RECORD
+from ..schemas import CRM_REQUIRED
 from ..sinks.folders import write_batch
 from ..sinks.items import put_items
 from ..sinks.publish import POLL_SECONDS
@@ -35,8 +35,8 @@ def _per_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], chec
 
 def kpi_rows(raw: DataFrame, kpis: Callable[[DataFrame], DataFrame],
              write: Callable[[DataFrame, int], None], checkpoint: str,
-             trigger: dict | None = None) -> StreamingQuery:
-    """A KPI row per micro-batch of base64 JSON records.
+             trigger: dict | None = None, encoded: bool = True) -> StreamingQuery:
+    """A KPI row per micro-batch of JSON records.
 
     The parsed batch is held while its aggregates run, since each of them reads it.
     """
@@ -47,33 +47,35 @@ def kpi_rows(raw: DataFrame, kpis: Callable[[DataFrame], DataFrame],
         finally:
             held.unpersist()
 
-    return _per_batch(parse_records(raw), handle, checkpoint, trigger)
+    return _per_batch(parse_records(raw, encoded=encoded), handle, checkpoint, trigger)
 
 
 def marketing(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-              as_of: dt.datetime | str | None = None) -> StreamingQuery:
+              as_of: dt.datetime | str | None = None, encoded: bool = True) -> StreamingQuery:
     return kpi_rows(raw, lambda records: marketing_kpis_of_records(records, as_of),
-                    lambda row, batch_id: write_batch(row, path, batch_id), checkpoint, trigger)
+                    lambda row, batch_id: write_batch(row, path, batch_id), checkpoint, trigger,
+                    encoded)
 
 
 def support(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-            as_of: dt.datetime | str | None = None) -> StreamingQuery:
+            as_of: dt.datetime | str | None = None, encoded: bool = True) -> StreamingQuery:
     return kpi_rows(raw, lambda records: support_kpis_of_records(records, as_of),
-                    lambda row, batch_id: write_batch(row, path, batch_id), checkpoint, trigger)
+                    lambda row, batch_id: write_batch(row, path, batch_id), checkpoint, trigger,
+                    encoded)
 
 
 def validate(raw: DataFrame, path: str, checkpoint: str, required: list[str] = CRM_REQUIRED,
-             trigger: dict | None = None) -> StreamingQuery:
+             trigger: dict | None = None, encoded: bool = True) -> StreamingQuery:
     """Every record with its id, original payload and result, a folder per result."""
-    return (validate_records(raw, required).writeStream.format("parquet")
+    return (validate_records(raw, required, encoded=encoded).writeStream.format("parquet")
             .partitionBy("result").option("checkpointLocation", checkpoint)
             .trigger(**(trigger or ONCE)).start(path))
 
 
 def store_items(raw: DataFrame, path: str, checkpoint: str, key: str, order: list[str],
-                trigger: dict | None = None) -> StreamingQuery:
+                trigger: dict | None = None, encoded: bool = True) -> StreamingQuery:
     """Every decoded record into the keyed store."""
-    return _per_batch(parse_records(raw, RECORD),
+    return _per_batch(parse_records(raw, encoded=encoded),
                       lambda batch, batch_id: put_items(batch, path, batch_id, key, order),
                       checkpoint, trigger)
 

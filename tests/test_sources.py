@@ -81,6 +81,20 @@ def test_payload_of_one_or_many(spark):
         (1, 1, None), (2, 2, None), (2, 3, None), (6, None, "y")]
 
 
+def test_function_events(spark):
+    events = spark.createDataFrame([
+        (json.dumps({"Records": [{"kinesis": {"data": "YQ=="}}, {"kinesis": {"data": "Yg=="}}]}),),
+        (json.dumps({"invocationId": "x", "records": [{"recordId": "1", "data": "Yw=="}]}),),
+        ("{bad",), (None,)], "event string")
+    got = records.unpack_events(events).collect()
+    assert [tuple(r) for r in got] == [(None, "YQ=="), (None, "Yg=="), ("1", "Yw==")]
+
+
+def test_plain_payloads(spark):
+    df = spark.createDataFrame([(bytearray(b'{"id":5}'),)], "value binary")
+    assert records.parse_records(df, data="value", encoded=False).first().id == 5
+
+
 def test_record_parsing_happens_once(spark, tmp_path):
     spark.range(5).select(F.col("id").cast("string").alias("data")).write.parquet(f"{tmp_path}/r")
     parsed = records.parse_records(spark.read.parquet(f"{tmp_path}/r"))
