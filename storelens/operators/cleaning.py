@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, TimestampType
+from pyspark.sql.types import DataType, DoubleType, TimestampType
 
 from ..functions import epoch
 from ..functions.numbers import number
@@ -29,8 +29,8 @@ def pos_clean(pos: DataFrame) -> DataFrame:
     return pos.select(
         "transaction_id",
         *[_long(pos, c) for c in ("store_id", "product_id", "quantity")],
-        number(F.col("revenue")).alias("revenue"),
-        number(F.col("discount_applied")).alias("discount_applied"),
+        F.col("revenue").try_cast("double").alias("revenue"),
+        F.col("discount_applied").try_cast("double").alias("discount_applied"),
         epoch.as_text(F.col("timestamp")).alias("transaction_time"),
     )
 
@@ -55,12 +55,13 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def fill_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
-    """Per-column stand-ins for nulls; timestamps are given as text."""
-    defaults = DEFAULTS if defaults is None else defaults
-    filled = {
-        name: F.coalesce(F.col(name), F.lit(value).cast(df.schema[name].dataType))
-        for name, value in defaults.items() if name in df.columns
-    }
+    """Per-column stand-ins for nulls, and for doubles that are no number; timestamps as text."""
+    filled = {}
+    for name, value in (DEFAULTS if defaults is None else defaults).items():
+        if name in df.columns:
+            kind = df.schema[name].dataType
+            present = number(F.col(name)) if isinstance(kind, DoubleType) else F.col(name)
+            filled[name] = F.coalesce(present, F.lit(value).cast(kind))
     return df.withColumns(filled) if filled else df
 
 

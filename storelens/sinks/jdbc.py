@@ -14,8 +14,8 @@ class Warehouse:
     user: str
     password: str = field(repr=False)
     driver: str | None = None
-    # Upper bound on simultaneous connections, whatever the number of partitions.
-    connections: int = 16
+    # Upper bound on simultaneous connections.
+    connections: int = 64
     batch_rows: int = 10_000
 
     def options(self, table: str) -> dict[str, str]:
@@ -48,6 +48,10 @@ def append_rows(df: DataFrame, warehouse: Warehouse, table: str) -> None:
 
 
 def replace_table(df: DataFrame, warehouse: Warehouse, table: str) -> None:
-    """New content under the old definition: truncating keeps types, keys and grants."""
-    (df.write.format("jdbc").options(**warehouse.options(table)).option("truncate", "true")
+    """New content under the old definition: truncating keeps types, keys and grants.
+
+    Rows are dealt out to the connections by a shuffle, so that the limit slows down the writing
+    only and not the stage that computes them.
+    """
+    (df.repartition(warehouse.connections).write.format("jdbc").options(**warehouse.options(table)).option("truncate", "true")
      .mode("overwrite").save())

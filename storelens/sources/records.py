@@ -41,6 +41,13 @@ def parse_records(raw: DataFrame, schema: StructType = RECORD, data: str = "data
     return explode_payload(raw, schema, decode_text(F.col(data), encoded), keep)
 
 
+def parse_items(raw: DataFrame, schema: StructType = RECORD, data: str = "data",
+                encoded: bool = True) -> DataFrame:
+    """Typed records that also carry their whole JSON text as ``payload``."""
+    texts = raw.select(decode_text(F.col(data), encoded).alias("payload"))
+    return explode_payload(texts, schema, F.col("payload"), ["payload"])
+
+
 def unpack_events(events: DataFrame, event: str = "event") -> DataFrame:
     """Records inside function events, both stream (``Records[].kinesis.data``) and delivery
     (``records[].recordId, data``) events; ``recordId`` is null for the former.

@@ -20,7 +20,7 @@ from ..schemas import CRM_REQUIRED
 from ..sinks.folders import write_batch
 from ..sinks.items import put_items
 from ..sinks.publish import POLL_SECONDS
-from ..sources.records import parse_records
+from ..sources.records import parse_items, parse_records
 
 ONCE = {"availableNow": True}
 POLLING = {"processingTime": f"{POLL_SECONDS} seconds"}
@@ -74,8 +74,8 @@ def validate(raw: DataFrame, path: str, checkpoint: str, required: list[str] = C
 
 def store_items(raw: DataFrame, path: str, checkpoint: str, key: str, order: list[str],
                 trigger: dict | None = None, encoded: bool = True) -> StreamingQuery:
-    """Every decoded record into the keyed store."""
-    return _per_batch(parse_records(raw, encoded=encoded),
+    """Every decoded record into the keyed store, with all it holds as JSON text."""
+    return _per_batch(parse_items(raw, encoded=encoded),
                       lambda batch, batch_id: put_items(batch, path, batch_id, key, order),
                       checkpoint, trigger)
 

@@ -60,6 +60,8 @@ def test_fill_and_require(spark):
     df = spark.createDataFrame([(None, None)], "value_column double, date_column timestamp")
     filled = cleaning.fill_defaults(df).first()
     assert tuple(filled) == (0.0, dt.datetime(1900, 1, 1))
+    odd = spark.createDataFrame([(float("nan"),)], "value_column double")
+    assert cleaning.fill_defaults(odd).first().value_column == 0.0
     grown = cleaning.require_columns(df, quality_job.REQUIRED)
     assert grown.columns == ["value_column", "date_column", "common_column"]
     assert grown.schema["common_column"].dataType == T.StringType()

@@ -51,7 +51,8 @@ def test_warehouse_options_and_modes():
                      "batchsize": "10000"}
     df.write.format().options().mode.assert_called_with("append")
     jdbc.replace_table(df, warehouse, "sales_kpis")
-    chain = df.write.format().options().option
+    df.repartition.assert_called_with(4)
+    chain = df.repartition().write.format().options().option
     chain.assert_called_with("truncate", "true")
     chain().mode.assert_called_with("overwrite")
 

@@ -86,7 +86,9 @@ def test_item_store_across_batches(spark, tmp_path):
     streaming.store_items(raw, f"{tmp_path}/out", f"{tmp_path}/cp", "customer_id",
                           ["timestamp", "id"]).awaitTermination()
     stored = items.current_items(spark, f"{tmp_path}/out", "customer_id")
-    assert {r.customer_id: r.id for r in stored.collect()} == {0: 5, 1: 7, 2: 3}
+    rows = {r.customer_id: r for r in stored.collect()}
+    assert {customer: r.id for customer, r in rows.items()} == {0: 5, 1: 7, 2: 3}
+    assert json.loads(rows[1].payload) == THIRD[0]
 
 
 def test_files_are_ingested_once(spark, tmp_path):
