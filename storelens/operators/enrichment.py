@@ -7,6 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: run time in ISO form.
+ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
 # Dayofweek numbers of Sunday and Saturday.
 WEEKEND = (1, 7)
 
@@ -44,10 +47,10 @@ def _instant(as_of: dt.datetime | str | None) -> Column:
     return F.current_timestamp() if as_of is None else F.lit(str(as_of)).cast("timestamp")
 
 
-def kpi_stamp(df: DataFrame, as_of: dt.datetime | str | None = None,
-              name: str = "kpi_date") -> DataFrame:
+def kpi_stamp(df: DataFrame, as_of: dt.datetime | str | None = None, name: str = "kpi_date",
+              pattern: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
     """Run time as text; ``as_of`` fixes it for reruns and tests."""
-    return df.withColumn(name, F.date_format(_instant(as_of), "yyyy-MM-dd HH:mm:ss"))
+    return df.withColumn(name, F.date_format(_instant(as_of), pattern))
 
 
 def envelope(data: Column, request_id: Column, as_of: dt.datetime | str | None = None) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import number, ratio
-from ..operators.enrichment import kpi_stamp
+from ..operators.enrichment import ISO, kpi_stamp
 from ..operators.filters import crm_required, of_type, rating_in_range, truthy
 from ..operators.previous import HOT_ROWS, with_previous
 from ..schemas import COMPLAINT, FEEDBACK, RESOLUTION
@@ -78,7 +78,7 @@ def support_kpis(crm: DataFrame, as_of: dt.datetime | str | None = None) -> Data
     volumes = per_type.agg(
         F.coalesce(score, F.lit(0.0)).alias("feedback_score"),
         _volume_json(F.col("interaction_type")).alias("interaction_volume"))
-    return kpi_stamp(cross_kpis(volumes, complaint_span(crm)), as_of, "timestamp")
+    return kpi_stamp(cross_kpis(volumes, complaint_span(crm)), as_of, "timestamp", ISO)
 
 
 def clean_interactions(records: DataFrame) -> DataFrame:

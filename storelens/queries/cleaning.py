@@ -9,7 +9,7 @@ from .. import fixtures
 from ..functions.payload import tagged_item
 from ..operators import cleaning, enrichment, validation
 from ..plans import marketing
-from .registry import day, feeds, moment, query, rounded
+from .registry import calendar, day, feeds, moment, query, rounded
 
 _AS_OF = "2001-01-01 00:00:00"
 
@@ -143,8 +143,7 @@ def vld_value_range(spark, sf_dir):
     return checked.select("o_orderkey", "value_validation")
 
 
-@query("""SELECT o_orderkey, year(o_orderdate) AS "year", month(o_orderdate) AS "month",
-  day(o_orderdate) AS "day", dayofweek(o_orderdate) + 1 AS day_of_week FROM orders""")
+@query(f"SELECT o_orderkey, {calendar('o_orderdate')} FROM orders")
 def enr_date_parts(spark, sf_dir):
     orders = fixtures.table(spark, sf_dir, "orders")
     return enrichment.date_parts(orders, "o_orderdate").select(
@@ -158,7 +157,8 @@ def enr_weekend(spark, sf_dir):
 
 
 @query(f"""SELECT o_orderkey, {day('epoch(o_orderdate)')} AS o_orderdate,
-  date_diff('day', (SELECT min(o_orderdate) FROM orders), o_orderdate) AS days_since_first_event
+  CAST(date_diff('day', (SELECT min(o_orderdate) FROM orders), o_orderdate) AS INTEGER)
+    AS days_since_first_event
 FROM orders""")
 def win_days_since_first(spark, sf_dir):
     orders = fixtures.table(spark, sf_dir, "orders")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import fixtures
 from ..operators import quality
 from ..plans import quality_job
-from .registry import feeds, query, rounded
+from .registry import calendar, feeds, query, rounded
 
 _COLUMNS = ["o_orderkey", "common_column", "value_column", "date_column"]
 _NUMERIC = ["o_orderkey", "value_column"]
@@ -62,10 +62,9 @@ def agg_dq_outliers(spark, sf_dir):
     THEN 'Invalid date' ELSE 'Valid' END AS date_validation,
   CASE WHEN value_column < 0 OR value_column > 1000000
     THEN 'Out of range' ELSE 'Valid' END AS value_validation,
-  year(date_column) AS "year", month(date_column) AS "month", day(date_column) AS "day",
-  dayofweek(date_column) + 1 AS day_of_week, dayofweek(date_column) IN (0, 6) AS is_weekend,
-  date_diff('day', CAST((SELECT min(date_column) FROM tidy) AS DATE), CAST(date_column AS DATE))
-    AS days_since_first_event
+  {calendar('date_column')}, dayofweek(date_column) IN (0, 6) AS is_weekend,
+  CAST(date_diff('day', CAST((SELECT min(date_column) FROM tidy) AS DATE),
+    CAST(date_column AS DATE)) AS INTEGER) AS days_since_first_event
 FROM tidy""", "quality", "tidy"))
 def job_quality(spark, sf_dir):
     return quality_job.quality_rows(fixtures.quality_dataset(spark, sf_dir),

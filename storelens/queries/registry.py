@@ -57,6 +57,13 @@ def moment(column: str) -> str:
             " '%Y-%m-%d %H:%M:%S')")
 
 
+def calendar(column: str) -> str:
+    """Date parts, numbered as Spark does (Sunday is 1)."""
+    return (f'CAST(year({column}) AS INTEGER) AS "year", CAST(month({column}) AS INTEGER) AS '
+            f'"month", CAST(day({column}) AS INTEGER) AS "day", '
+            f"CAST(dayofweek({column}) + 1 AS INTEGER) AS day_of_week")
+
+
 def feeds(sql: str, *names: str) -> str:
     """``sql`` after the definitions of the feeds it names."""
     return "WITH " + ",\n".join(FEEDS[name] for name in names) + "\n" + sql

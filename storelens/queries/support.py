@@ -100,7 +100,7 @@ def agg_time_to_resolution_span(spark, sf_dir):
     return rounded(support.complaint_span(_crm(spark, sf_dir)))
 
 
-@query(feeds(f"""SELECT *, '2024-02-01 00:00:00' AS "timestamp" FROM ({_FEEDBACK})
+@query(feeds(f"""SELECT *, '2024-02-01T00:00:00.000000' AS "timestamp" FROM ({_FEEDBACK})
 CROSS JOIN (SELECT {_json('interaction_volume', 'crm')}) CROSS JOIN ({_SPAN})""", "crm"))
 def mart_support_batch(spark, sf_dir):
     return rounded(support.support_kpis(_crm(spark, sf_dir), "2024-02-01 00:00:00"))
