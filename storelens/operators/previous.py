@@ -40,10 +40,13 @@ def _by_key(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
 def _by_slices(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
     """Sort everything into slices of like size, look back within a slice, stitch the edges.
 
-    The slices are written by a checkpoint: their bounds come from a sample, so they must not be
-    drawn twice. The edge table has one row per slice.
+    Rows are numbered first, since copies of a row agree in every column and could not be spread
+    otherwise; the checkpoint fixes the numbers. The second one fixes the slices: their bounds come
+    from a sample and must not be drawn twice. The edge table has one row per slice.
     """
-    sliced = (df.repartitionByRange(key, *order)
+    order = [*order, "_number"]
+    numbered = df.withColumn("_number", F.monotonically_increasing_id()).checkpoint()
+    sliced = (numbered.repartitionByRange(key, *order)
               .withColumn("_slice", F.spark_partition_id())
               .checkpoint())
     here = F.struct(key, *order)
@@ -55,4 +58,4 @@ def _by_slices(df: DataFrame, key: str, order: list[str], name: str) -> DataFram
     return (sliced.withColumn("_prev", F.lag(here).over(in_slice))
             .join(F.broadcast(edges), "_slice")
             .withColumn(name, F.when(before[key] == F.col(key), before[order[0]]))
-            .drop("_slice", "_prev", "_before"))
+            .drop("_slice", "_prev", "_before", "_number"))

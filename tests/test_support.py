@@ -80,6 +80,21 @@ def test_previous_is_the_same_whichever_way_a_key_is_handled(spark, hot_rows):
     assert got == want
 
 
+@pytest.mark.parametrize("hot_rows", [10, 10_000])
+def test_previous_of_copies(spark, hot_rows):
+    """Copies of one record agree in every column, id included."""
+    rows = spark.createDataFrame(
+        [(1, 1, "Complaint", None, 5.0)] * 900 + [(2, 1, "Resolution", None, 65.0)] * 600
+        + [(3, 2, "Resolution", None, 1.0)], CRM_LOGS).repartition(7)
+    seen = with_previous(rows, hot_rows=hot_rows)
+    counts = {tuple(r)[:2]: r["count"]
+              for r in seen.groupBy("timestamp", "prev_timestamp").count().collect()}
+    assert counts == {(5.0, None): 1, (5.0, 5.0): 899, (65.0, 5.0): 1, (65.0, 65.0): 599,
+                      (1.0, None): 1}
+    average = support.time_to_resolution(rows, hot_rows).first()[0]
+    assert average == 1.0 / 600
+
+
 def test_volume_json_can_name_rows_without_type(spark):
     c = crm(spark, [(1, None, None, 1.0), (1, "A", None, 1.0)])
     assert support.interaction_volume_json(c).first()[0] == '{"A":1}'
