@@ -11,6 +11,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .operators import quality
 from .plans import marketing, operations, quality_job, sales, silver, support
 from .schemas import INVENTORY, POS
 from .session import build_session
@@ -68,9 +69,11 @@ def run_support(spark, args) -> None:
 def run_quality(spark, args) -> None:
     stamp = folders.run_stamp()
     for table in args.tables:
-        df = _table(spark, args, table)
-        folders.write_run_folder(quality_job.quality_rows(df), args.output, table, stamp)
-        folders.write_run_folder(quality_job.quality_profile(df, args.approximate),
+        rows = quality_job.quality_rows(_table(spark, args, table))
+        path = folders.write_run_folder(rows, args.output, table, stamp)
+        # The rows just written are clean already; profiling them saves cleaning the table again.
+        clean = read_parquet(spark, path).select(*quality_job.cleaned_columns(rows))
+        folders.write_run_folder(quality.profile(clean, args.approximate),
                                  args.output, f"{table}-profile", stamp)
 
 

@@ -39,5 +39,12 @@ def quality_rows(df: DataFrame, as_of: dt.datetime | str | None = None) -> DataF
             .drop(*overall.columns))
 
 
+def cleaned_columns(rows: DataFrame) -> list[str]:
+    """The columns of a ``quality_rows`` result that come from the table itself."""
+    added = {"date_validation", "value_validation", "year", "month", "day", "day_of_week",
+             "is_weekend", "days_since_first_event"}
+    return [c for c in rows.columns if c not in added and not c.endswith("_is_outlier")]
+
+
 def quality_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     return quality.profile(cleaned(df), approximate)

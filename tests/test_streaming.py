@@ -148,6 +148,10 @@ def test_jobs_from_the_command_line(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/marketing").first().bounce_rate_percent == 100.0
     run("quality", "--tables", "crm_logs", "--output", f"{tmp_path}/quality")
     assert spark.read.parquet(f"{tmp_path}/quality/crm_logs").count() == 1
+    profile = spark.read.parquet(f"{tmp_path}/quality/crm_logs-profile").collect()
+    assert {r.column: r.completeness for r in profile} == dict.fromkeys(
+        ["id", "customer_id", "interaction_type", "rating", "timestamp", "common_column",
+         "value_column", "date_column"], 1.0) | {"common_column": 0.0}
     deliveries(spark, f"{tmp_path}/in", FIRST)
     run("stream", "--kind", "validate", "--schema", RAW, "--option", f"path={tmp_path}/in",
         "--option", "recursiveFileLookup=true", "--output", f"{tmp_path}/valid",
