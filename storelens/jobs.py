@@ -10,6 +10,7 @@ import argparse
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import quality
 from .plans import marketing, operations, quality_job, sales, silver, support
@@ -85,18 +86,31 @@ def run_ingest(spark, args) -> None:
                            trigger=_trigger(args)).awaitTermination()
 
 
+def run_announced(spark, args) -> None:
+    read, extension = {
+        "pos": (lambda session, files: landing.read_csv(session, files, POS), ".csv"),
+        "inventory": (lambda session, files: landing.read_json(session, files, INVENTORY), ".json"),
+    }[args.feed]
+    messages = _open(spark, args).withColumnRenamed(args.body_column, "body")
+    streaming.ingest_announced(
+        messages.select(F.col("body").cast("string")), (args.bucket, args.prefix, extension), read,
+        args.output, args.checkpoint, args.locate.format, trigger=_trigger(args)).awaitTermination()
+
+
 def _trigger(args) -> dict:
     return {"processingTime": f"{args.every} seconds"} if args.every else streaming.ONCE
 
 
-def _raw_stream(spark, args) -> DataFrame:
-    options = dict(option.split("=", 1) for option in args.option)
-    raw = records.open_stream(spark, args.source, args.schema, **options)
-    return raw.withColumnRenamed(args.data_column, "data")
+def _options(pairs: list[str]) -> dict[str, str]:
+    return dict(pair.split("=", 1) for pair in pairs)
+
+
+def _open(spark, args) -> DataFrame:
+    return records.open_stream(spark, args.source, args.schema, **_options(args.option))
 
 
 def run_stream(spark, args) -> None:
-    raw = _raw_stream(spark, args)
+    raw = _open(spark, args).withColumnRenamed(args.data_column, "data")
     trigger, encoded = _trigger(args), not args.plain
     if args.kind == "items":
         query = streaming.store_items(raw, args.output, args.checkpoint, args.key, args.order,
@@ -104,7 +118,7 @@ def run_stream(spark, args) -> None:
     elif args.kind == "publish":
         query = publish(messages(records.parse_records(raw, encoded=encoded)), args.output,
                         args.checkpoint, args.sink, trigger,
-                        **dict(option.split("=", 1) for option in args.sink_option))
+                        **_options(args.sink_option))
     elif args.jdbc_url:
         plans = {"marketing": marketing.marketing_kpis_of_records,
                  "support": support.support_kpis_of_records}
@@ -156,9 +170,6 @@ def parser() -> argparse.ArgumentParser:
     stream = job("stream", run_stream, "--checkpoint", warehouse=True)
     stream.add_argument("--kind", required=True,
                         choices=["marketing", "support", "validate", "items", "publish"])
-    stream.add_argument("--source", default="parquet")
-    stream.add_argument("--schema", help="column list of a file source")
-    stream.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     stream.add_argument("--data-column", default="data")
     stream.add_argument("--plain", action="store_true",
                         help="payloads are plain JSON, as in a topic, not base64")
@@ -166,7 +177,15 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--order", nargs="+", default=["timestamp", "id"])
     stream.add_argument("--sink", default="json")
     stream.add_argument("--sink-option", action="append", default=[], metavar="KEY=VALUE")
-    for sub in (ingest, stream):
+    announced = job("announced", run_announced, "--checkpoint", "--bucket", "--prefix")
+    announced.add_argument("--feed", choices=["pos", "inventory"], required=True)
+    announced.add_argument("--body-column", default="body")
+    announced.add_argument("--locate", default="s3a://{}/{}", help="path of a bucket and a key")
+    for sub in (stream, announced):
+        sub.add_argument("--source", default="parquet")
+        sub.add_argument("--schema", help="column list of a file source")
+        sub.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+    for sub in (ingest, stream, announced):
         sub.add_argument("--every", type=int, help="seconds between batches; default: run once")
     return top
 

@@ -90,6 +90,24 @@ def st_file_ingest(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query(feeds(f"SELECT *, '2024-02-01' AS ingest_date FROM ({_POS})", "pos"))
+def st_file_ingest_announced(spark, sf_dir):
+    landed = stage_csv(spark, sf_dir)
+    base, out, checkpoint = work_dir(spark, "messages"), *_folders(spark, "announced-pos")
+    # A message per landed file, as the bucket would send it.
+    name = F.url_encode(F.element_at(F.split("path", "/"), -1))
+    body = F.concat(F.lit('{"Records":[{"s3":{"bucket":{"name":"landing"},"object":{"key":"pos/'),
+                    name, F.lit('"}}}]}'))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", landing.CSV_GLOB).load(landed)
+    files.select(body.alias("body")).write.parquet(base)
+    messages = spark.readStream.schema("body string").parquet(base)
+    streaming.ingest_announced(
+        messages, ("landing", "pos/", ".csv"),
+        lambda session, paths: landing.read_csv(session, paths, POS), out, checkpoint,
+        lambda _, key: f"{landed}/{key.removeprefix('pos/')}", "2024-02-01").awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
+
+
 @query(feeds("""SELECT CAST(id AS VARCHAR) AS "key", id, customer_id, interaction_type, rating,
   "timestamp" FROM crm""", "crm"))
 def snk_stream_publish(spark, sf_dir):

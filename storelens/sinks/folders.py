@@ -19,14 +19,15 @@ def write_run_folder(df: DataFrame, base: str, name: str, stamp: str | None = No
     return path
 
 
-def write_daily(df: DataFrame, path: str, date: dt.date | str | None = None) -> None:
+def write_daily(df: DataFrame, path: str, date: dt.date | str | None = None,
+                mode: str = "append") -> None:
     """Append to a bronze feed under the day of ingestion.
 
     Every task writes files of its own name, so parallel writers cannot collide.
     """
     day = F.current_date() if date is None else F.lit(str(date)).cast("date")
     (df.withColumn("ingest_date", day)
-     .write.mode("append").partitionBy("ingest_date").parquet(path))
+     .write.mode(mode).partitionBy("ingest_date").parquet(path))
 
 
 def append_table(df: DataFrame, path: str, table_format: str = "parquet") -> None:

@@ -27,11 +27,11 @@ def _json(reader, schema: StructType, glob: str):
     return _folder(reader, schema, glob).option("multiLine", True)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
     return _csv(spark.read, schema).csv(path)
 
 
-def read_json(spark: SparkSession, path: str, schema: StructType,
+def read_json(spark: SparkSession, path: str | list[str], schema: StructType,
               glob: str = JSON_GLOB) -> DataFrame:
     return _json(spark.read, schema, glob).json(path)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,9 +17,10 @@ from ..operators.validation import removal_columns, validate_records
 from ..plans.marketing import marketing_kpis_of_records
 from ..plans.support import support_kpis_of_records
 from ..schemas import CRM_REQUIRED
-from ..sinks.folders import write_batch
+from ..sinks.folders import write_batch, write_daily
 from ..sinks.items import put_items
 from ..sinks.publish import POLL_SECONDS
+from ..sources.notifications import accepted_objects, object_manifest
 from ..sources.records import parse_items, parse_records
 
 ONCE = {"availableNow": True}
@@ -89,6 +90,27 @@ def ingest_files(landing: DataFrame, path: str, checkpoint: str,
             .trigger(**(trigger or ONCE)).start(path))
 
 
+def ingest_announced(messages: DataFrame, rule: tuple[str, str, str],
+                     read: Callable[[SparkSession, list[str]], DataFrame], path: str,
+                     checkpoint: str, locate: Callable[[str, str], str] = "s3a://{}/{}".format,
+                     date: dt.date | str | None = None,
+                     trigger: dict | None = None) -> StreamingQuery:
+    """New landing files to bronze as queue messages announce them, without listing the folder.
+
+    ``rule`` is the bucket, prefix and extension to accept, ``locate`` makes a path of bucket and
+    key. Only the names of the files of one micro-batch come to the driver; the message source
+    limits their number. A repeated batch replaces its own folder.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        accepted = accepted_objects(object_manifest(batch), *rule)
+        names = accepted.select("bucket", "key").distinct().collect()
+        if names:
+            files = read(batch.sparkSession, [locate(n.bucket, n.key) for n in names])
+            write_daily(files, f"{path}/batch_id={batch_id}", date, mode="overwrite")
+
+    return _per_batch(messages, handle, checkpoint, trigger)
+
+
 def observe_removals(records: DataFrame, name: str = "removals") -> DataFrame:
     """Counts what cleaning will remove as metrics of the running query, without another pass."""
     return records.observe(name, *removal_columns())

@@ -109,6 +109,34 @@ def test_files_are_ingested_once(spark, tmp_path):
     assert run() == 3
 
 
+def test_announced_files_are_ingested(spark, tmp_path):
+    header = ",".join(POS.names) + "\n"
+    (tmp_path / "pos").mkdir()
+    for name in ("a b.csv", "c.CSV", "d.csv"):
+        (tmp_path / "pos" / name).write_text(header + f"{name},1,1,1,1.0,,1.0\n")
+    entry = '{"s3":{"bucket":{"name":"%s"},"object":{"key":"%s"}}}'
+
+    def message(*objects):
+        return '{"Records":[' + ",".join(entry % o for o in objects) + "]}"
+
+    batches = [[message(("in", "pos/a+b.csv"), ("in", "pos/c.CSV")), message(("in", "pos/c.CSV"))],
+               [message(("out", "pos/d.csv")), "no json", '{"Event":"s3:TestEvent"}'],
+               [message(("in", "pos/c.CSV"))]]
+    for i, bodies in enumerate(batches):
+        (spark.createDataFrame([(b,) for b in bodies], "body string").coalesce(1)
+         .write.parquet(f"{tmp_path}/queue/d{i}"))
+    messages = (spark.readStream.schema("body string").option("maxFilesPerTrigger", 1)
+                .option("recursiveFileLookup", True).parquet(f"{tmp_path}/queue"))
+    streaming.ingest_announced(
+        messages, ("in", "pos/", ".csv"),
+        lambda session, files: landing.read_csv(session, files, POS), f"{tmp_path}/out",
+        f"{tmp_path}/cp", lambda _, key: f"{tmp_path}/{key}", "2024-01-01").awaitTermination()
+    rows = spark.read.parquet(f"{tmp_path}/out").collect()
+    # A file announced again later is ingested again, as a new delivery.
+    assert sorted((r.batch_id, r.transaction_id) for r in rows) == [
+        (0, "a b.csv"), (0, "c.CSV"), (2, "c.CSV")]
+
+
 def test_publish_round_trip(spark, tmp_path):
     raw = deliveries(spark, f"{tmp_path}/in", FIRST)
     keyed = publish.messages(records.parse_records(raw))
@@ -159,6 +187,22 @@ def test_jobs_from_the_command_line(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/valid").count() == len(FIRST)
 
 
+def test_ingest_jobs_from_the_command_line(spark, tmp_path):
+    (tmp_path / "pos").mkdir()
+    (tmp_path / "pos" / "a.csv").write_text(",".join(POS.names) + "\nt1,1,1,1,1.0,,1.0\n")
+    body = '{"Records":[{"s3":{"bucket":{"name":"in"},"object":{"key":"pos/a.csv"}}}]}'
+    spark.createDataFrame([(body,)], "message string").write.parquet(f"{tmp_path}/queue")
+    for argv in (["ingest", "--landing", f"{tmp_path}/pos"],
+                 ["announced", "--bucket", "in", "--prefix", "pos/", "--schema", "message string",
+                  "--body-column", "message", "--locate", f"{tmp_path}/{{1}}",
+                  "--option", f"path={tmp_path}/queue"]):
+        out = f"{tmp_path}/{argv[0]}-out"
+        args = jobs.parser().parse_args(argv + [
+            "--feed", "pos", "--output", out, "--checkpoint", f"{tmp_path}/{argv[0]}-cp"])
+        args.run(spark, args)
+        assert [r.transaction_id for r in spark.read.parquet(out).collect()] == ["t1"]
+
+
 def test_polling_trigger(spark, tmp_path):
     raw = deliveries(spark, f"{tmp_path}/in", FIRST)
     query = streaming.validate(raw, f"{tmp_path}/out", f"{tmp_path}/cp",
