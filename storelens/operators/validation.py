@@ -13,6 +13,7 @@ from ..functions.payload import CORRUPT, decode_text, parse_object
 from ..schemas import CRM_REQUIRED
 from .filters import RATING_MAX, RATING_MIN
 
+# Outcomes a delivery service understands.
 OK, DROPPED, FAILED = "Ok", "Dropped", "ProcessingFailed"
 
 # First valid year and the valid value range.

@@ -12,6 +12,7 @@ from ..operators.enrichment import kpi_stamp
 from ..operators.filters import crm_required, is_engagement, truthy, web_required
 from ..schemas import LOYALTY
 
+# KPI columns of the report, in its order.
 KPIS = ["customer_engagement_score", "avg_session_duration", "bounce_rate_percent",
         "loyalty_activity_rate_percent"]
 
@@ -35,8 +36,9 @@ def loyalty_rate(crm: DataFrame) -> DataFrame:
 
 
 def session_activity(web: DataFrame) -> DataFrame:
+    moment = number(F.col("timestamp"))
     return (web.groupBy("session_id")
-            .agg(F.min("timestamp").alias("start_time"), F.max("timestamp").alias("end_time"),
+            .agg(F.min(moment).alias("start_time"), F.max(moment).alias("end_time"),
                  F.count("*").alias("event_count"))
             .withColumns({
                 "session_duration": F.col("end_time") - F.col("start_time"),

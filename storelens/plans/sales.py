@@ -12,6 +12,7 @@ from ..functions import epoch
 from ..functions.numbers import ratio
 from ..operators.filters import any_present, valid_event_date
 
+# KPI columns of the mart.
 KPIS = ["total_sales", "stock_availability", "product_turnover_rate"]
 
 

@@ -1,4 +1,7 @@
-"""Canonical schemas of the feeds. Integer widths are the widest the sources use."""
+"""Canonical schemas of the feeds.
+
+Fixed values: column names, their order and kind. Integer widths are the widest the sources use.
+"""
 
 from pyspark.sql.types import (
     ArrayType,

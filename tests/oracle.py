@@ -14,6 +14,7 @@ def connect(sf_dir):
     con = duckdb.connect()
     for path in sorted(glob.glob(f"{sf_dir}/*.parquet")):
         name = os.path.basename(path).removesuffix(".parquet")
+        path = f"{path}/*.parquet" if os.path.isdir(path) else path
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
     return con
 
