@@ -47,28 +47,33 @@ def validate_records(raw: DataFrame, required: list[str] = CRM_REQUIRED,
     return parsed.withColumn("result", result).drop("_read")
 
 
-def result_counts(validated: DataFrame) -> DataFrame:
-    """Valid and dropped totals; undecodable records count as dropped."""
-    return validated.agg(
+def result_columns() -> list[Column]:
+    """Valid and dropped totals of validated records; undecodable ones count as dropped."""
+    return [
         F.count("*").alias("records"),
         F.count_if(F.col("result") == OK).alias("valid"),
         F.count_if(F.col("result") != OK).alias("dropped"),
-    )
+    ]
+
+
+def result_counts(validated: DataFrame) -> DataFrame:
+    return validated.agg(*result_columns())
 
 
 def removal_columns() -> list[Column]:
-    """Aggregates over routed CRM records: what cleaning will remove, and why."""
-    complete = F.col("customer_id").isNotNull() & F.col("timestamp").isNotNull()
-    rating = number(F.col("rating"))
+    """What cleaning will remove from the records of a customer, and why."""
+    routed = F.col("customer_id").isNotNull() & (F.col("customer_id") != 0)
+    complete = routed & F.col("timestamp").isNotNull()
+    off_scale = ~number(F.col("rating")).between(RATING_MIN, RATING_MAX)
     return [
-        F.count("*").alias("records"),
-        F.count_if(~complete).alias("missing_keys"),
-        F.count_if(complete & ~rating.between(RATING_MIN, RATING_MAX)).alias("invalid_ratings"),
+        F.count_if(routed).alias("records"),
+        F.count_if(routed & ~complete).alias("missing_keys"),
+        F.count_if(complete & off_scale).alias("invalid_ratings"),
     ]
 
 
-def removal_counts(routed: DataFrame) -> DataFrame:
-    return routed.agg(*removal_columns())
+def removal_counts(records: DataFrame) -> DataFrame:
+    return records.agg(*removal_columns())
 
 
 def date_check(df: DataFrame, as_of: dt.datetime | str | None = None,

@@ -52,7 +52,7 @@ def session_metrics(activity: DataFrame) -> DataFrame:
 
 
 def cross_kpis(*one_row_frames: DataFrame) -> DataFrame:
-    """Side by side; every input is a global aggregate and has exactly one row."""
+    """Side by side; every input is a global aggregate or limited to a single row."""
     combined, *others = one_row_frames
     for other in others:
         combined = combined.crossJoin(F.broadcast(other))

@@ -132,4 +132,4 @@ def support_kpis_of_records(records: DataFrame, as_of: dt.datetime | str | None
         _volume_json(F.col("interaction_type")).alias("interaction_volume_by_type"),
         average("minutes", "resolved").alias("avg_time_to_resolution_minutes"))
     any_routed = routed.select(F.lit(True).alias("routed")).limit(1)
-    return kpi_stamp(figures.crossJoin(any_routed).drop("routed"), as_of)
+    return kpi_stamp(cross_kpis(figures, any_routed).drop("routed"), as_of)

@@ -59,7 +59,7 @@ def flt_rating_range(spark, sf_dir):
   count(*) FILTER (score IS NOT NULL AND score NOT BETWEEN 1 AND 5) AS invalid_ratings
 FROM records WHERE customer_id IS NOT NULL AND customer_id <> 0""", "records"))
 def vld_drop_metrics(spark, sf_dir):
-    return validation.removal_counts(filters.truthy(_records(spark, sf_dir), "customer_id"))
+    return validation.removal_counts(_records(spark, sf_dir))
 
 
 @query(feeds(_FEEDBACK, "crm"))

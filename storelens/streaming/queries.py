@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.validation import removal_columns, validate_records
+from ..operators.validation import removal_columns, result_columns, validate_records
 from ..plans.marketing import marketing_kpis_of_records
 from ..plans.support import support_kpis_of_records
 from ..schemas import CRM_REQUIRED
@@ -39,7 +39,8 @@ def kpi_rows(raw: DataFrame, kpis: Callable[[DataFrame], DataFrame],
              trigger: dict | None = None, encoded: bool = True) -> StreamingQuery:
     """A KPI row per micro-batch of JSON records.
 
-    The parsed batch is held while its aggregates run, since each of them reads it.
+    The parsed batch is held while its aggregates run, since each of them reads it. What cleaning
+    removes shows as the metric ``removals`` in the progress of the query, without another pass.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()
@@ -48,7 +49,8 @@ def kpi_rows(raw: DataFrame, kpis: Callable[[DataFrame], DataFrame],
         finally:
             held.unpersist()
 
-    return _per_batch(parse_records(raw, encoded=encoded), handle, checkpoint, trigger)
+    records = parse_records(raw, encoded=encoded).observe("removals", *removal_columns())
+    return _per_batch(records, handle, checkpoint, trigger)
 
 
 def marketing(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
@@ -67,8 +69,12 @@ def support(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = N
 
 def validate(raw: DataFrame, path: str, checkpoint: str, required: list[str] = CRM_REQUIRED,
              trigger: dict | None = None, encoded: bool = True) -> StreamingQuery:
-    """Every record with its id, original payload and result, a folder per result."""
-    return (validate_records(raw, required, encoded=encoded).writeStream.format("parquet")
+    """Every record with its id, original payload and result, a folder per result.
+
+    Totals show as the metric ``results`` in the progress of the query.
+    """
+    validated = validate_records(raw, required, encoded=encoded)
+    return (validated.observe("results", *result_columns()).writeStream.format("parquet")
             .partitionBy("result").option("checkpointLocation", checkpoint)
             .trigger(**(trigger or ONCE)).start(path))
 
@@ -109,8 +115,3 @@ def ingest_announced(messages: DataFrame, rule: tuple[str, str, str],
             write_daily(files, f"{path}/batch_id={batch_id}", date, mode="overwrite")
 
     return _per_batch(messages, handle, checkpoint, trigger)
-
-
-def observe_removals(records: DataFrame, name: str = "removals") -> DataFrame:
-    """Counts what cleaning will remove as metrics of the running query, without another pass."""
-    return records.observe(name, *removal_columns())

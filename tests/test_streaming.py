@@ -148,14 +148,21 @@ def test_publish_round_trip(spark, tmp_path):
         "id": 4, "session_id": "s", "timestamp": 9.0}
 
 
-def test_removals_are_observed_while_the_query_runs(spark, tmp_path):
-    raw = deliveries(spark, f"{tmp_path}/in", [
-        {"customer_id": 1, "rating": "9", "timestamp": 1.0}, {"customer_id": 1, "rating": "3"}])
-    query = (streaming.observe_removals(records.parse_records(raw)).writeStream.format("noop")
-             .option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start())
+def observed(query, name):
     query.awaitTermination()
-    seen = [p.observedMetrics["removals"] for p in query.recentProgress if p.observedMetrics]
-    assert [(r.records, r.missing_keys, r.invalid_ratings) for r in seen] == [(2, 1, 1)]
+    return [tuple(p.observedMetrics[name]) for p in query.recentProgress if p.observedMetrics]
+
+
+def test_removed_and_dropped_records_are_counted_while_the_query_runs(spark, tmp_path):
+    raw = deliveries(spark, f"{tmp_path}/in", [
+        {"customer_id": 1, "rating": "9", "timestamp": 1.0}, {"customer_id": 1, "rating": "3"},
+        {"customer_id": 0, "rating": "9"}, {"session_id": "s"}, "{bad"])
+    for start in (streaming.support, streaming.marketing):
+        base = f"{tmp_path}/{start.__name__}"
+        assert observed(start(raw, f"{base}/out", f"{base}/cp"), "removals") == [(2, 1, 1)]
+    query = streaming.validate(raw, f"{tmp_path}/valid", f"{tmp_path}/valid-cp",
+                               ["customer_id", "rating"])
+    assert observed(query, "results") == [(5, 3, 2)]
 
 
 def test_jobs_from_the_command_line(spark, tmp_path):
@@ -210,3 +217,24 @@ def test_polling_trigger(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert spark.read.parquet(f"{tmp_path}/out").filter(F.col("result") == "Ok").count() == 4
+
+
+def test_batch_jobs_from_the_command_line(spark, tmp_path):
+    spark.sql("select 't' transaction_id, 1L store_id, 2L product_id, 3L quantity, 4.5d revenue,"
+              " 0.1d discount_applied, 86400.0d timestamp").createOrReplaceTempView("pos_table")
+    spark.sql("select 1L inventory_id, 2L product_id, 1 warehouse_id, 6L stock_level,"
+              " 9.0d restock_threshold, 86400.0d last_updated").createOrReplaceTempView("inv_table")
+
+    def run(*argv):
+        args = jobs.parser().parse_args([*argv, "--output", f"{tmp_path}/{argv[0]}"])
+        args.run(spark, args)
+
+    run("silver", "--pos-table", "pos_table", "--inventory-table", "inv_table")
+    run("sales", "--pos-path", f"{tmp_path}/silver/silver-pos",
+        "--inventory-path", f"{tmp_path}/silver/silver-inventory")
+    row = spark.read.parquet(f"{tmp_path}/sales").first()
+    assert (str(row.date), row.store_id, row.total_sales, row.stock_availability,
+            row.product_turnover_rate) == ("1970-01-02", 1, 4.5, 0.0, 0.5)
+    run("operations", "--pos-table", "pos_table", "--inventory-table", "inv_table")
+    row = spark.read.parquet(f"{tmp_path}/operations").first()
+    assert (row.inventory_turnover, row.restock_frequency, row.stockout_alert) == (0.5, 1, 0)
