@@ -182,4 +182,5 @@ def quality_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(order % 107 == 0, F.lit("1899-06-01").cast("timestamp"))
         .otherwise(F.col("o_orderdate").cast("timestamp")).alias("date_column"),
     )
-    return rows.unionAll(rows.filter(order % 50 == 0))
+    copies = F.array_repeat(F.lit(0), F.when(order % 50 == 0, 2).otherwise(1))
+    return rows.withColumn("copy", F.explode(copies)).drop("copy")
