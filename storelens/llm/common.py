@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import work_dir
+from ..session import prepare, work_dir
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def ready(spark: SparkSession) -> None:
+    """Session settings, and the folder of this package on the path of Python workers."""
+    prepare(spark)
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "")
+    if ROOT not in paths.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, paths]))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import prepare
-from . import licenses, mixing, sharding, simhash, tokenfiles
-from .common import read_table, whole_text
+from . import (decontamination, html, licenses, mixing, quality, sharding, simhash, tokenfiles, topk,
+               toxicity)
+from .common import read_table, ready, whole_text
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -22,7 +22,7 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 def query(sql: str | None = None) -> Callable[[Run], Run]:
     def register(run: Run) -> Run:
         def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-            prepare(spark)
+            ready(spark)
             return run(spark, sf_dir)
         QUERIES[run.__name__] = prepared
         if sql:
@@ -31,6 +31,12 @@ def query(sql: str | None = None) -> Callable[[Run], Run]:
     return register
 
 
+@query()
+def op1_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantized(read_table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
 @query()
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(read_table(spark, sf_dir, "documents"))
@@ -47,11 +53,34 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query()
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return quality.score(documents, *quality.learn(documents, read_table(spark, sf_dir, "labels")))
+
+
+@query()
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read_table(spark, sf_dir, "pages"))
+
+
+@query()
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(read_table(spark, sf_dir, "documents"),
+                                        read_table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), mixing.word_count(whole_text()))
 
 
+@query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.learn(documents, read_table(spark, sf_dir, "labels")))
+
+
 @query()
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.token_digest(read_table(spark, sf_dir, "documents"), TOKENIZER)
