@@ -2,9 +2,10 @@
 
 A folder written by ``write_files`` holds
 
-* ``ids/shard-<n>.bin``: ids of consecutive documents as little-endian unsigned 32-bit integers,
-  without any header; the shards in order hold the documents in ascending doc_id order;
-* ``manifest`` (Parquet): a row per document with its key, shard, byte offset and number of ids;
+* ``ids/shard-<n>.bin``: ids of consecutive documents as little-endian unsigned integers of
+  ``id_width`` bytes, without any header; the shards in order hold the documents in ascending doc_id
+  order;
+* ``manifest`` (Parquet): a row per document with its key, shard, place in it and number of ids;
 * ``index`` (Parquet): a row per hash bucket with the displacements of its minimal perfect hash and
   the fingerprint, shard, offset and number of ids of each slot.
 
@@ -14,12 +15,15 @@ The key of a document is its doc_id and, where rows repeat an id, the number of
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -33,19 +37,25 @@ END_ID = 1
 BUCKET_KEYS = 2_000
 # Keys that share a displacement, on average.
 GROUP_KEYS = 4
-# Encodings of words each Python process keeps.
-CACHE_WORDS = 400_000
+# Encodings of words, and of parts of words, that each Python process keeps.
+CACHE_WORDS, CACHE_PARTS = 400_000, 500_000
 _BATCH_BYTES = 8 << 20
 
 MANIFEST = "doc_id long, repeat long, shard int, pos long, offset long, n_tokens long"
 
 
 class WordEncoder:
-    """Encodes texts by their words, through a ``tokenizers`` tokenizer that never joins a token
-    across white space. Encodings of words are kept, up to ``CACHE_WORDS``."""
+    """Encodes texts by their words, through a ``tokenizers`` tokenizer that lowers the case and never
+    joins a token across white space, nor across the border of letters and other marks.
 
-    # Python takes these for white space, the tokenizer doesn't.
-    ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
+    Encodings of words are kept, and so are those of the letters and marks that plain words consist
+    of: an unseen word is often a seen one in other case or before other marks.
+    """
+
+    # Arrow takes these for white space, the tokenizer doesn't.
+    ODD = re.compile("[\x1c-\x1f]")
+    # Latin letters and then ASCII marks. Apostrophes are left out: the tokenizer cuts at some.
+    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
 
     def __init__(self, path: str) -> None:
         # The cores belong to Spark's tasks.
@@ -53,28 +63,61 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, four bytes an id."""
-        split = [None if any(odd in text for odd in self.ODD) else text.split() for text in texts]
-        new: set[str] = set()
-        for words in split:
-            if words:
-                new.update(words)
-        new.difference_update(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {}
-            new = {word for words in split if words for word in words}
-        words_new = list(new)
-        self.known.update(zip(words_new, self._library(words_new)))
-        whole = iter(self._library([t for t, words in zip(texts, split) if words is None]))
-        known = self.known
-        return [next(whole) if words is None else b"".join([known[w] for w in words]) for words in split]
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        odd = [i for i, text in enumerate(texts) if self.ODD.search(text)]
+        whole = self._library([texts[i] for i in odd])
+        plain = list(texts)
+        for i in odd:
+            plain[i] = ""
+        split = pc.utf8_split_whitespace(pa.array(plain, pa.string()))
+        coded = split.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy()
+        encoded = self._encoded(coded.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded)) // 4
+        pool = np.frombuffer(b"".join(encoded), dtype=np.uint32)
+        each = lengths[codes]
+        ends = np.cumsum(each)
+        # Where the ids of each word stand in the pool, less where they go.
+        moves = (np.cumsum(lengths) - lengths)[codes] - (ends - each)
+        ids = pool[np.arange(len(pool) and ends[-1]) + np.repeat(moves, each)]
+        bounds = np.concatenate([[0], ends])[split.offsets.to_numpy()]
+        out = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        for i, data in zip(odd, whole):
+            out[i] = np.frombuffer(data, dtype=np.uint32)
+        return out
+
+    def _encoded(self, distinct: list[str]) -> list[bytes]:
+        known = self.words
+        new = [w for w in distinct if w not in known]
+        cut = list(map(self.PLAIN.fullmatch, new))
+        pairs = [(w, m[1].lower(), m[2]) for w, m in zip(new, cut) if m]
+        other = [w for w, m in zip(new, cut) if not m]
+        parts = self.parts
+        missing = list({part for _, *both in pairs for part in both if part not in parts})
+        parts.update(zip(missing, self._library(missing)))
+        known.update([(w, parts[letters] + parts[marks]) for w, letters, marks in pairs])
+        known.update(zip(other, self._library(other)))
+        out = [known[w] for w in distinct]
+        if len(known) > CACHE_WORDS:
+            self.words = dict(zip(distinct[:CACHE_WORDS], out))
+        if len(parts) > CACHE_PARTS:
+            self.parts = {"": b""}
+        return out
 
     def _library(self, texts: list[str]) -> Iterator[bytes]:
         for encoding in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(encoding.ids, dtype="<u4").tobytes()
+            yield array("I", encoding.ids).tobytes()
+
+
+def id_width(tokenizer_path: str, end_id: int = END_ID) -> int:
+    """Bytes of an id in the files: two where all ids fit, else four."""
+    from tokenizers import Tokenizer
+
+    return 2 if max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -113,6 +156,8 @@ def write_files(documents: DataFrame, tokenizer_path: str, folder: str, end_id:
     follow each other and are numbered from 0; equal ids are ordered by the hash of their text.
     An empty table gives no shards. Other columns are ignored.
     """
+    kind = f"<u{id_width(tokenizer_path, end_id)}"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         shard = context.partitionId()
@@ -120,21 +165,20 @@ def write_files(documents: DataFrame, tokenizer_path: str, folder: str, end_id:
         files.create_dir(root, recursive=True)
         name = f"{root}/shard-{shard:06d}.bin"
         attempt = f"{name}.{context.taskAttemptId()}"
-        end = np.array([end_id], dtype="<u4").tobytes()
         encoder, out = _encoder(tokenizer_path), None
         position = offset = repeat = 0
         last: object = object()
         for ids, texts in _portions(batches):
             out = out or files.open_output_stream(attempt)
             rows: list[tuple] = []
-            for doc_id, data in zip(ids, encoder.encode(texts)):
+            for doc_id, values in zip(ids, encoder.encode(texts)):
                 repeat = repeat + 1 if doc_id == last else 0
                 last = doc_id
-                out.write(data + end)
-                n = len(data) // 4 + 1
-                rows.append((doc_id, repeat, shard, position, offset, n))
+                values = np.append(values, end_id)
+                out.write(values.astype(kind).tobytes())
+                rows.append((doc_id, repeat, shard, position, offset, len(values)))
                 position += 1
-                offset += 4 * n
+                offset += len(values)
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), _MANIFEST_TYPES)]
             yield pa.RecordBatch.from_arrays(columns, names=_MANIFEST_NAMES)
         if out:
@@ -150,7 +194,7 @@ def write_files(documents: DataFrame, tokenizer_path: str, folder: str, end_id:
     parts = spark.read.schema(MANIFEST).parquet(f"{folder}/parts")
     starts = _starts(parts)
     (parts.join(starts, "shard")
-     .withColumn("start", F.col("_ids_before") + (F.col("offset") / 4).cast("long"))
+     .withColumn("start", F.col("_ids_before") + F.col("offset"))
      .withColumn("repeat", F.col("repeat") + F.when(F.col("doc_id").eqNullSafe(F.col("_first")),
                                                     F.col("_carried")).otherwise(0))
      .drop("_ids_before", "_first", "_carried")
@@ -304,9 +348,9 @@ def look_up(keys: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
     return asked.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(find, schema)
 
 
-def read_ids(found: DataFrame, folder: str) -> DataFrame:
-    """Adds ``ids_crc32`` (over the raw ids) to rows of ``shard, offset, n_tokens``; every task reads
-    the spans of the shards it got, in file order."""
+def read_ids(found: DataFrame, folder: str, width: int) -> DataFrame:
+    """Adds ``ids_crc32`` (over the ids as little-endian unsigned 32-bit integers) to rows of ``shard,
+    offset, n_tokens``; every task reads the spans of the shards it got, in file order."""
     kinds = dict(found.dtypes)
     schema = ", ".join([f"`{n}` {kinds[n]}" for n in found.columns] + ["ids_crc32 long"])
     at = [found.columns.index(n) for n in ("shard", "offset", "n_tokens")]
@@ -321,7 +365,8 @@ def read_ids(found: DataFrame, folder: str) -> DataFrame:
                     if source:
                         source.close()
                     source, opened = files.open_input_file(f"{root}/shard-{shard:06d}.bin"), shard
-                sums.append(zlib.crc32(source.read_at(4 * n, offset)))
+                ids = np.frombuffer(source.read_at(width * n, width * offset), dtype=f"<u{width}")
+                sums.append(zlib.crc32(ids.astype("<u4").tobytes()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.int64())],
                                              names=[*batch.schema.names, "ids_crc32"])
         if source:
@@ -341,4 +386,4 @@ def token_digest(documents: DataFrame, tokenizer_path: str) -> DataFrame:
     buckets = bucket_count(manifest.count())
     index = write_index(manifest, folder, buckets)
     found = look_up(manifest, index, buckets)
-    return read_ids(found, folder).select("doc_id", "repeat", "start", "n_tokens", "ids_crc32")
+    return read_ids(found, folder, id_width(tokenizer_path)).select("doc_id", "repeat", "start", "n_tokens", "ids_crc32")
