@@ -202,12 +202,12 @@ def classify(blocks: list[Block]) -> list[bool]:
 
 def _nearest(blocks: list[Block], decided: list[bool], keep: list[bool]) -> list[bool | None]:
     """For each block, whether the last decided one before it on its side of the article's border is
-    kept."""
+    kept. Blocks that are out for the element they stand in say nothing about others."""
     last: dict[bool, bool | None] = {True: None, False: None}
     out = []
     for block, known, kept in zip(blocks, decided, keep):
         out.append(last[block.article])
-        if known:
+        if known and not block.aside:
             last[block.article] = kept
     return out
 

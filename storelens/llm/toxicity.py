@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import ahocorasick
@@ -77,17 +79,15 @@ def matches(folded: str, automaton: ahocorasick.Automaton) -> list[tuple[int, in
             spared.append((start, end))
     if not spared:
         return hits
-    covered, spans = [], iter(sorted(spared))
-    first, last = next(spans)
-    for start, end, weight in sorted(hits):
-        while last < end and (following := next(spans, None)):
-            # Of spans that begin no later, the one that reaches furthest counts.
-            if following[0] > start:
-                spans = iter([following, *spans])
-                break
-            first, last = (first, max(last, following[1]))
-        covered.append(first <= start and end <= last)
-    return [hit for hit, inside in zip(sorted(hits), covered) if not inside]
+    spared.sort()
+    begins = [start for start, _ in spared]
+    furthest = list(accumulate((end for _, end in spared), max))
+    out = []
+    for hit in hits:
+        before = bisect_right(begins, hit[0])
+        if not before or furthest[before - 1] < hit[1]:
+            out.append(hit)
+    return out
 
 
 def features(text: str | None, automaton: ahocorasick.Automaton) -> tuple[float, float]:
