@@ -28,15 +28,24 @@ def epoch_of(column: str) -> Column:
     return F.unix_micros(F.col(column).cast("timestamp")) / F.lit(1e6)
 
 
+# Product numbers of either feed that the other one doesn't have start here.
+ONLY_POS, ONLY_INVENTORY = 10_000_000, 20_000_000
+
+
+def _product(divisor: int, offset: int) -> Column:
+    """The part; every ``divisor``-th under a number of this feed's own."""
+    part = F.col("l_partkey")
+    return F.when(part % divisor == 0, part + offset).otherwise(part).alias("product_id")
+
+
 def pos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_partkey") % 17 != 0)
         .select(
             F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                      F.col("l_linenumber").cast("string")).alias("transaction_id"),
             (F.col("l_suppkey") % 10).alias("store_id"),
-            F.col("l_partkey").alias("product_id"),
+            _product(17, ONLY_POS),
             F.col("l_quantity").cast("bigint").alias("quantity"),
             F.col("l_extendedprice").alias("revenue"),
             F.col("l_discount").alias("discount_applied"),
@@ -51,11 +60,10 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     next_day = F.when(order % 9 == 0, 86400.0).otherwise(0.0)
     return (
         table(spark, sf_dir, "lineitem")
-        .filter((order % 3 == 0) & (F.col("l_partkey") % 13 != 0))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             (order * 10 + line).alias("inventory_id"),
-            F.col("l_partkey").alias("product_id"),
+            _product(13, ONLY_INVENTORY),
             (F.col("l_suppkey") % 5).cast("int").alias("warehouse_id"),
             ((order * 7 + line * 13) % 40).alias("stock_level"),
             F.when(F.col("p_size") % 11 != 0, (F.col("p_size") % 20).cast("double"))
@@ -114,13 +122,26 @@ def _wrap(payload: Column) -> Column:
 
 
 def stream_records_of(events: DataFrame) -> DataFrame:
-    """Base64 JSON records with the fields of both log feeds; every 29th is broken."""
+    """Base64 JSON records with the fields of both log feeds, as producers of all kinds write them:
+    some ids are texts or decimals, some times are texts, some records have a field more or come in
+    a list beside an element that is none; every 29th is broken."""
+    event_id = F.col("event_id")
+
+    def sometimes(divisor: int, text: Column, pattern: str, written: str) -> Column:
+        return F.when(event_id % divisor == 0, F.regexp_replace(text, pattern, written)).otherwise(text)
+
     record = F.struct(
         F.col("event_id").alias("id"), _session_id().alias("session_id"),
         _customer_id().alias("customer_id"), _interaction_type().alias("interaction_type"),
         _rating().alias("rating"), epoch_of("ts").alias("timestamp"))
-    payload = F.when(F.col("event_id") % 29 == 0, "{bad").otherwise(F.to_json(record))
-    return events.select(F.col("event_id").cast("string").alias("recordId"), _wrap(payload))
+    text = F.to_json(record)
+    text = sometimes(43, text, r'"customer_id":(\d+)', '"customer_id":"C$1"')
+    text = sometimes(47, text, r'"customer_id":(\d+),', '"customer_id":$1.0,')
+    text = sometimes(59, text, r'"timestamp":([^},]+)', '"timestamp":"$1"')
+    text = sometimes(61, text, r"^\{", '{"channel":"web",')
+    text = sometimes(67, text, r"^(.*)$", "[5,$1]")
+    payload = F.when(event_id % 29 == 0, "{bad").otherwise(text)
+    return events.select(event_id.cast("string").alias("recordId"), _wrap(payload))
 
 
 def raw_records_of(events: DataFrame) -> DataFrame:

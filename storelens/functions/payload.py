@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +52,47 @@ def tagged(value: Column, dtype: T.DataType) -> Column:
     return F.struct(value.cast("string").alias("S"), null_tag)
 
 
+class _Number(str):
+    """A JSON number as it was written."""
+
+
+def _tag(value: object) -> dict:
+    if value is None:
+        return {"NULL": True}
+    if isinstance(value, bool):
+        return {"BOOL": value}
+    if isinstance(value, _Number):
+        return {"N": str(value)}
+    if isinstance(value, str):
+        return {"S": value}
+    if isinstance(value, list):
+        return {"L": [_tag(item) for item in value]}
+    return {"M": {name: _tag(item) for name, item in value.items()}}
+
+
+def _tagged_text(text: str | None) -> str | None:
+    try:
+        record = json.loads(text or "", parse_int=_Number, parse_float=_Number, parse_constant=_Number)
+    except (ValueError, RecursionError):
+        return None
+    if not isinstance(record, dict):
+        return None
+    tags = {name: _tag(value) for name, value in record.items()}
+    return json.dumps(tags, ensure_ascii=False, separators=(",", ":"))
+
+
+def tagged_payload(text: Column) -> Column:
+    """JSON object as one JSON text of tagged values, whatever fields it has; null for other texts.
+
+    The fields are not known to the plan, so this runs in Python, on Arrow batches.
+    """
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield batch.map(_tagged_text)
+
+    return F.pandas_udf(run, "string")(text)
+
+
 def tagged_item(schema: T.StructType) -> Column:
     """Whole row as one JSON text of tagged values."""
     return F.to_json(F.struct(*[tagged(F.col(f"`{f.name}`"), f.dataType).alias(f.name)

@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import quality
+from .operators.enrichment import envelope
 from .plans import marketing, operations, quality_job, sales, silver, support
 from .schemas import INVENTORY, POS
-from .session import build_session
+from .session import build_session, clear_work
 from .sinks import folders, jdbc
-from .sinks.publish import messages, publish
+from .sinks.publish import payload_messages, publish, requests
 from .sources import landing, records
 from .sources.tables import read_parquet, read_table
 from .streaming import queries as streaming
@@ -78,23 +79,25 @@ def run_quality(spark, args) -> None:
                                  args.output, f"{table}-profile", stamp)
 
 
+# Schema, parser, name pattern and extension of the landing files of each feed.
+FEEDS = {"pos": (POS, landing.parse_csv, landing.CSV_GLOB, ".csv"),
+         "inventory": (INVENTORY, landing.parse_json, landing.JSON_GLOB, ".json")}
+
+
 def run_ingest(spark, args) -> None:
-    read = {"pos": lambda: landing.stream_csv(spark, args.landing, POS, args.max_files),
-            "inventory": lambda: landing.stream_json(spark, args.landing, INVENTORY,
-                                                     args.max_files)}
-    streaming.ingest_files(read[args.feed](), args.output, args.checkpoint,
+    schema, parse, glob, _ = FEEDS[args.feed]
+    files = landing.stream_files(spark, args.landing, glob, args.max_files)
+    streaming.ingest_files(files, schema, parse, args.output, args.checkpoint,
                            trigger=_trigger(args)).awaitTermination()
 
 
 def run_announced(spark, args) -> None:
-    read, extension = {
-        "pos": (lambda session, files: landing.read_csv(session, files, POS), ".csv"),
-        "inventory": (lambda session, files: landing.read_json(session, files, INVENTORY), ".json"),
-    }[args.feed]
+    schema, parse, _, extension = FEEDS[args.feed]
     messages = _open(spark, args).withColumnRenamed(args.body_column, "body")
     streaming.ingest_announced(
-        messages.select(F.col("body").cast("string")), (args.bucket, args.prefix, extension), read,
-        args.output, args.checkpoint, args.locate.format, trigger=_trigger(args)).awaitTermination()
+        messages.select(F.col("body").cast("string")), (args.bucket, args.prefix, extension), schema,
+        parse, args.output, args.checkpoint, args.locate.format,
+        trigger=_trigger(args)).awaitTermination()
 
 
 def _trigger(args) -> dict:
@@ -109,15 +112,27 @@ def _open(spark, args) -> DataFrame:
     return records.open_stream(spark, args.source, args.schema, **_options(args.option))
 
 
+def _messages(raw: DataFrame, args, encoded: bool) -> DataFrame:
+    """Whole payloads as keyed messages, if wanted in an envelope and packed into sends."""
+    keyed = payload_messages(records.read_records(raw, encoded=encoded))
+    if args.envelope:
+        wrapped = envelope(F.parse_json("value"), F.col("key"))
+        keyed = keyed.withColumn("value", F.to_json(wrapped))
+    return requests(keyed, args.pack) if args.pack else keyed
+
+
 def run_stream(spark, args) -> None:
-    raw = _open(spark, args).withColumnRenamed(args.data_column, "data")
+    raw = _open(spark, args)
+    if args.events:
+        raw = records.unpack_events(raw.withColumn("event", F.col(args.data_column).cast("string")))
+    else:
+        raw = raw.withColumnRenamed(args.data_column, "data")
     trigger, encoded = _trigger(args), not args.plain
     if args.kind == "items":
         query = streaming.store_items(raw, args.output, args.checkpoint, args.key, args.order,
                                       trigger, encoded)
     elif args.kind == "publish":
-        query = publish(messages(records.parse_records(raw, encoded=encoded)), args.output,
-                        args.checkpoint, args.sink, trigger,
+        query = publish(_messages(raw, args, encoded), args.output, args.checkpoint, args.sink, trigger,
                         **_options(args.sink_option))
     elif args.jdbc_url:
         plans = {"marketing": marketing.marketing_kpis_of_records,
@@ -125,7 +140,8 @@ def run_stream(spark, args) -> None:
         warehouse = _warehouse(args)
         query = streaming.kpi_rows(
             raw, plans[args.kind],
-            lambda row, _: jdbc.append_rows(jdbc.kpi_defaults(row), warehouse, args.jdbc_table),
+            lambda row, batch_id, query: jdbc.append_rows(
+                jdbc.batch_columns(jdbc.kpi_defaults(row), batch_id, query), warehouse, args.jdbc_table),
             args.checkpoint, trigger, encoded)
     else:
         start = {"marketing": streaming.marketing, "support": streaming.support,
@@ -173,6 +189,11 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--data-column", default="data")
     stream.add_argument("--plain", action="store_true",
                         help="payloads are plain JSON, as in a topic, not base64")
+    stream.add_argument("--events", action="store_true",
+                        help="the data column holds function events with records inside")
+    stream.add_argument("--envelope", action="store_true",
+                        help="publish payloads with arrival time, id and origin around them")
+    stream.add_argument("--pack", type=int, help="publish sends of so many records at most")
     stream.add_argument("--key", default="id")
     stream.add_argument("--order", nargs="+", default=["timestamp", "id"])
     stream.add_argument("--sink", default="json")
@@ -194,6 +215,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"storelens-{args.job}", shuffle_partitions=args.shuffle_partitions)
     args.run(spark, args)
+    clear_work(spark)
 
 
 if __name__ == "__main__":

@@ -33,10 +33,16 @@ def crm_required(df: DataFrame, timestamp_too: bool = False) -> DataFrame:
     return _present(df, "customer_id", *(["timestamp"] if timestamp_too else []))
 
 
+def is_truthy(df: DataFrame, column: str) -> Column:
+    """Whether an id is neither null nor empty nor zero, as a number or as its text."""
+    value = F.col(column)
+    if isinstance(df.schema[column].dataType, StringType):
+        return value.isNotNull() & (value != "") & F.coalesce(number(value) != 0, F.lit(True))
+    return value.isNotNull() & (value != F.lit(0))
+
+
 def truthy(df: DataFrame, column: str) -> DataFrame:
-    """Rows whose id is neither null nor empty (text) nor zero (number)."""
-    empty = "" if isinstance(df.schema[column].dataType, StringType) else 0
-    return df.filter(F.col(column).isNotNull() & (F.col(column) != F.lit(empty)))
+    return df.filter(is_truthy(df, column))
 
 
 def is_engagement() -> Column:

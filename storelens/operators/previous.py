@@ -2,60 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
-# Rows of one key that a single task may sort. Keys above it go through _by_slices.
-HOT_ROWS = 5_000_000
+# Seconds of a slice. One task orders the different instants of a key inside a slice.
+SLICE = 3600.0
+_LAST_SLICE = (1 << 63) - 1
 
 
 def with_previous(df: DataFrame, key: str = "customer_id", time: str = "timestamp",
                   ties: tuple[str, ...] = ("id",), name: str = "prev_timestamp",
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+                  width: float = SLICE) -> DataFrame:
     """Adds ``name``: ``time`` of the row before, per ``key``, ordered by ``time`` then ``ties``.
 
-    A window over the key puts all rows of one key into one task. The row count per key is
-    therefore checked first, and the rows of over-long keys are ordered across tasks instead.
-    The two ways give the same answer.
+    A null key is a key like others. Of the rows of one instant only the first looks back to an
+    earlier one, the others have each other's time. So copies of a row are counted, the rows of an
+    instant reduced to their first one, and only instants are ordered (see ``previous_instant``):
+    no task holds all rows of a key, of an instant or of a repeated row.
     """
-    order = [time, *[t for t in ties if t in df.columns]]
-    # Each hot key stands for more than hot_rows rows, which bounds the list.
-    hot = df.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select(key)
-    if hot.isEmpty():
-        return _by_key(df, key, order, name)
-    ensure_checkpoint_dir(df.sparkSession)
-    hot = hot.checkpoint()
-    cold_rows = df.join(F.broadcast(hot), key, "left_anti")
-    long_rows = df.join(F.broadcast(hot), key, "left_semi")
-    return _by_key(cold_rows, key, order, name).unionByName(
-        _by_slices(long_rows, key, order, name))
+    ordered = [t for t in ties if t in df.columns]
+    others = [c for c in df.columns if c not in (key, time, *ordered)]
+    row = F.struct(*ordered, *others, "_copies")
+    copies = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    instants = copies.groupBy(key, time).agg(F.min(row).alias("_row"))
+    looked = previous_instant(instants, key, time, [], "_previous", width).select(
+        F.col(key).alias("_key"), F.col(time).alias("_time"), F.col("_row").alias("_first"),
+        "_previous")
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(time).eqNullSafe(F.col("_time"))
+    first = row.eqNullSafe(F.col("_first")) & (F.col("_nth") == 1)
+    return (copies.join(looked, same)
+            .withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+            .select(*df.columns, F.when(first, F.col("_previous")).otherwise(F.col(time)).alias(name)))
 
 
-def _by_key(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
-    return df.withColumn(name, F.lag(order[0]).over(Window.partitionBy(key).orderBy(*order)))
+def previous_instant(rows: DataFrame, key: str, time: str, ties: list[str], name: str,
+                     width: float = SLICE) -> DataFrame:
+    """Adds ``name``: ``time`` of the row before, per ``key``, for rows already reduced to a few per
+    key and instant.
 
+    Rows are ordered inside slices of ``width`` seconds. The first row of a slice takes the last time
+    of the slice before it, from a table with one row per key and slice. That table is made of whole
+    rows, so that both sides share one shuffle of the input.
+    """
+    others = [c for c in rows.columns if c not in (key, time)]
+    sliced = rows.select(F.col(key), _slice(F.col(time), width).alias("_slice"),
+                         F.struct(time, *others).alias("_of"))
+    last = F.max("_of")[time]
+    edges = (sliced.groupBy(F.col(key).alias("_edge_key"), F.col("_slice").alias("_edge")).agg(last.alias("_last"))
+             .withColumn("_before", F.lag("_last").over(Window.partitionBy("_edge_key").orderBy("_edge")))
+             .drop("_last"))
+    inside = Window.partitionBy(key, "_slice").orderBy(F.col(f"_of.{time}"), *[F.col(f"_of.{t}") for t in ties])
+    same = F.col(key).eqNullSafe(F.col("_edge_key")) & F.col("_slice").eqNullSafe(F.col("_edge"))
+    before = F.coalesce(F.col("_inside"), F.col("_before"))
+    return (sliced.withColumn("_inside", F.lag(f"_of.{time}").over(inside))
+            .join(edges, same)
+            .select(*[F.col(c) if c == key else F.col(f"_of.{c}").alias(c) for c in rows.columns],
+                    before.alias(name)))
 
-def _by_slices(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
-    """Sort everything into slices of like size, look back within a slice, stitch the edges.
 
-    Rows are numbered first, since copies of a row agree in every column and could not be spread
-    otherwise; the checkpoint fixes the numbers. The second one fixes the slices: their bounds come
-    from a sample and must not be drawn twice. The edge table has one row per slice.
-    """
-    order = [*order, "_number"]
-    numbered = df.withColumn("_number", F.monotonically_increasing_id()).checkpoint()
-    sliced = (numbered.repartitionByRange(key, *order)
-              .withColumn("_slice", F.spark_partition_id())
-              .checkpoint())
-    here = F.struct(key, *order)
-    edges = (sliced.groupBy("_slice").agg(F.max(here).alias("_last"))
-             .withColumn("_before", F.lag("_last").over(Window.orderBy("_slice")))
-             .select("_slice", "_before"))
-    in_slice = Window.partitionBy("_slice").orderBy(key, *order)
-    before = F.coalesce(F.col("_prev"), F.col("_before"))
-    return (sliced.withColumn("_prev", F.lag(here).over(in_slice))
-            .join(F.broadcast(edges), "_slice")
-            .withColumn(name, F.when(before[key] == F.col(key), before[order[0]]))
-            .drop("_slice", "_prev", "_before", "_number"))
+def _slice(time: Column, width: float) -> Column:
+    """Number of the slice: null before all others, what is no number after all others."""
+    seconds = time.cast("double")
+    return F.when(F.isnan(seconds), F.lit(_LAST_SLICE)).otherwise(F.floor(seconds / F.lit(width)))

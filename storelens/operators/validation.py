@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions.numbers import number
 from ..functions.payload import CORRUPT, decode_text, parse_object
 from ..schemas import CRM_REQUIRED
-from .filters import RATING_MAX, RATING_MIN
+from .filters import RATING_MAX, RATING_MIN, is_truthy
 
 # Outcomes a delivery service understands.
 OK, DROPPED, FAILED = "Ok", "Dropped", "ProcessingFailed"
@@ -26,7 +26,9 @@ def validate_records(raw: DataFrame, required: list[str] = CRM_REQUIRED,
     ``ProcessingFailed`` (not decodable).
 
     All fields are read as text, so only presence counts. A JSON list is readable but holds no
-    field, hence dropped. Exploding a list of one keeps Spark from parsing again per condition.
+    field, hence dropped; so is a JSON text, unless the name of the first field stands in it (a text
+    that seems to have a field can't be processed). Exploding a list of one keeps Spark from parsing
+    again per condition.
     """
     fields = StructType([StructField(f, StringType()) for f in required])
     text = F.col("_read.text")
@@ -42,11 +44,17 @@ def validate_records(raw: DataFrame, required: list[str] = CRM_REQUIRED,
         F.when(~unreadable & missing, DROPPED)
         .when(~unreadable, OK)
         .when(F.json_array_length("_read.text").isNotNull(), DROPPED)
+        .when(_is_json_text(text) & ~F.contains(text, F.lit(required[0])), DROPPED)
         .otherwise(FAILED)
     )
     return parsed.withColumn("result", result).drop("_read")
 
 
+def _is_json_text(text: Column) -> Column:
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    return F.trim(text).startswith('"') & F.coalesce(alone, F.lit(False))
+
+
 def result_columns() -> list[Column]:
     """Valid and dropped totals of validated records; undecodable ones count as dropped."""
     return [
@@ -60,9 +68,9 @@ def result_counts(validated: DataFrame) -> DataFrame:
     return validated.agg(*result_columns())
 
 
-def removal_columns() -> list[Column]:
+def removal_columns(records: DataFrame) -> list[Column]:
     """What cleaning will remove from the records of a customer, and why."""
-    routed = F.col("customer_id").isNotNull() & (F.col("customer_id") != 0)
+    routed = is_truthy(records, "customer_id")
     complete = routed & F.col("timestamp").isNotNull()
     off_scale = ~number(F.col("rating")).between(RATING_MIN, RATING_MAX)
     return [
@@ -73,7 +81,7 @@ def removal_columns() -> list[Column]:
 
 
 def removal_counts(records: DataFrame) -> DataFrame:
-    return records.agg(*removal_columns())
+    return records.agg(*removal_columns(records))
 
 
 def date_check(df: DataFrame, as_of: dt.datetime | str | None = None,

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def query(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
-    """Runs ``sql`` with the frames under their keyword names; the statement stays lazy."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+    """Runs ``sql``, in which ``{name}`` stands for the frame of that name; the statement stays lazy and
+    views of the session keep their names."""
+    return spark.sql(sql, **tables)

@@ -7,9 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import number, percent
+from ..functions.numbers import number, percent, ratio
 from ..operators.enrichment import kpi_stamp
-from ..operators.filters import crm_required, is_engagement, truthy, web_required
+from ..operators.filters import crm_required, is_engagement, is_truthy, web_required
 from ..schemas import LOYALTY
 
 # KPI columns of the report, in its order.
@@ -74,18 +74,24 @@ def marketing_kpis_of_records(records: DataFrame,
                               as_of: dt.datetime | str | None = None) -> DataFrame:
     """Stream definition: zeros for missing KPIs, no row when no record has an id.
 
-    A record with both a session and a customer id counts on both sides.
+    A record with both a session and a customer id counts on both sides. All KPIs come from sums per
+    session, so that the records are read once.
     """
-    web = web_required(truthy(records, "session_id"))
-    sessions = session_metrics(session_activity(web))
-    session_id, customer_id = F.col("session_id"), F.col("customer_id")
-    is_crm = customer_id.isNotNull() & (customer_id != 0)
-    is_web = session_id.isNotNull() & (session_id != "")
-    loyal = F.count_if(is_crm & (F.col("interaction_type") == LOYALTY))
-    from_records = records.agg(
-        F.avg(F.when(is_crm & is_engagement(), number(F.col("rating")))).alias(KPIS[0]),
-        percent(loyal, F.count_if(is_crm)).alias(KPIS[3]),
-        F.count_if(is_crm | is_web).alias("routed"),
-    )
-    kpis = cross_kpis(from_records, sessions).filter(F.col("routed") > 0)
+    is_crm, is_web = is_truthy(records, "customer_id"), is_truthy(records, "session_id")
+    moment = number(F.col("timestamp"))
+    rating = F.when(is_crm & is_engagement(), number(F.col("rating")))
+    # Records that belong to no session share the null one.
+    session = F.when(is_web & F.col("timestamp").isNotNull(), F.col("session_id")).alias("session_id")
+    per_session = records.groupBy(session).agg(
+        (F.max(moment) - F.min(moment)).alias("duration"), F.count("*").alias("events"),
+        F.sum(rating).alias("rating"), F.count(rating).alias("rated"),
+        F.count_if(is_crm & (F.col("interaction_type") == LOYALTY)).alias("loyal"),
+        F.count_if(is_crm).alias("crm"), F.count_if(is_crm | is_web).alias("routed"))
+    known = F.col("session_id").isNotNull()
+    kpis = per_session.agg(
+        ratio(F.sum("rating"), F.sum("rated")).alias(KPIS[0]),
+        F.avg(F.when(known, F.col("duration"))).alias(KPIS[1]),
+        percent(F.count_if(known & (F.col("events") == 1)), F.count_if(known)).alias(KPIS[2]),
+        percent(F.sum("loyal"), F.sum("crm")).alias(KPIS[3]),
+        F.sum("routed").alias("routed")).filter(F.col("routed") > 0)
     return kpi_stamp(kpis.select(*[F.coalesce(k, F.lit(0.0)).alias(k) for k in KPIS]), as_of)

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import number, ratio
 from ..operators.enrichment import ISO, kpi_stamp
-from ..operators.filters import crm_required, of_type, rating_in_range, truthy
-from ..operators.previous import HOT_ROWS, with_previous
+from ..operators.filters import crm_required, is_usable, of_type, rating_in_range, truthy
+from ..operators.previous import previous_instant
 from ..schemas import COMPLAINT, FEEDBACK, RESOLUTION
 from .marketing import cross_kpis
 
@@ -86,43 +86,58 @@ def clean_interactions(records: DataFrame) -> DataFrame:
     return rating_in_range(crm_required(truthy(records, "customer_id"), timestamp_too=True))
 
 
-def _minutes_to_resolve() -> Column:
-    """Minutes since the previous interaction, on resolutions that have one."""
-    minutes = (F.col("timestamp") - F.col("prev_timestamp")) / F.lit(60.0)
-    return F.when(F.col("interaction_type") == RESOLUTION, minutes)
+def _clean(records: DataFrame) -> Column:
+    """``clean_interactions`` as a condition."""
+    return (F.col("customer_id").isNotNull() & F.col("timestamp").isNotNull()
+            & F.coalesce(is_usable(number(F.col("rating"))), F.lit(True)))
 
 
-def time_to_resolution(cleaned: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def _instants(rows: DataFrame, clean: Column) -> DataFrame:
+    """Rows counted per customer, instant and type, with the time of the interaction before; rows
+    that aren't clean share one group. ``minutes`` and ``resolved`` are those of the resolutions
+    that have an interaction before them.
+
+    Interactions of one instant follow each other without delay, so that their first one alone looks
+    back.
+    """
+    first = F.min("id") if "id" in rows.columns else F.lit(None).cast("string")
+    rating = number(F.col("rating")) if "rating" in rows.columns else F.lit(None).cast("double")
+    flagged = rows.withColumn("clean", clean)
+    kept = [F.when(F.col("clean"), F.col(c)).alias(c) for c in ("customer_id", "timestamp", "interaction_type")]
+    counted = flagged.groupBy(*kept, "clean").agg(
+        F.count("*").alias("n"), first.alias("first_id"),
+        F.sum(F.when(F.col("clean"), rating)).alias("total"),
+        F.count(F.when(F.col("clean"), rating)).alias("rated"))
+    seen = previous_instant(counted, "customer_id", "timestamp", ["first_id", "interaction_type"],
+                            "prev_timestamp")
+    resolution = F.col("clean") & (F.col("interaction_type") == RESOLUTION)
+    return seen.withColumns({
+        "minutes": F.when(resolution, (F.col("timestamp") - F.col("prev_timestamp")) / F.lit(60.0)),
+        "resolved": F.when(resolution, F.col("n") - F.col("prev_timestamp").isNull().cast("bigint")),
+    })
+
+
+def time_to_resolution(cleaned: DataFrame) -> DataFrame:
     """Average minutes from the previous interaction to a resolution.
 
     A resolution that is the first interaction of its customer is left out.
     """
-    seen = with_previous(_ordered_columns(cleaned), hot_rows=hot_rows)
-    return seen.agg(F.coalesce(F.avg(_minutes_to_resolve()), F.lit(0.0))
-                    .alias("avg_time_to_resolution_minutes"))
-
-
-def _ordered_columns(cleaned: DataFrame, *more: str) -> DataFrame:
-    names = ["customer_id", "interaction_type", "timestamp", "id", *more]
-    return cleaned.select(*[n for n in names if n in cleaned.columns])
+    average = ratio(F.sum("minutes"), F.sum("resolved"))
+    return _instants(cleaned, F.lit(True)).agg(
+        F.coalesce(average, F.lit(0.0)).alias("avg_time_to_resolution_minutes"))
 
 
-def support_kpis_of_records(records: DataFrame, as_of: dt.datetime | str | None = None,
-                            hot_rows: int = HOT_ROWS) -> DataFrame:
+def support_kpis_of_records(records: DataFrame, as_of: dt.datetime | str | None = None) -> DataFrame:
     """The support mart, stream definition.
 
     No row when no record has a customer; zeros when cleaning leaves nothing. All KPIs come from
-    sums per type over the rows that carry their previous interaction, so the records are ordered
-    once and not read again per KPI.
+    sums per customer, instant and type, and the records are read once: those that cleaning
+    removes are counted beside the others.
     """
     routed = truthy(records, "customer_id")
-    seen = with_previous(_ordered_columns(clean_interactions(routed), "rating"),
-                         hot_rows=hot_rows)
-    minutes = _minutes_to_resolve()
-    per_type = seen.groupBy("interaction_type").agg(
-        F.count("*").alias("volume"),
-        F.sum("rating").alias("total"), F.count("rating").alias("rated"),
-        F.sum(minutes).alias("minutes"), F.count(minutes).alias("resolved"))
+    per_type = _instants(routed, _clean(routed)).groupBy("interaction_type").agg(
+        F.sum(F.when(F.col("clean"), F.col("n"))).alias("volume"), F.sum("n").alias("routed"),
+        *[F.sum(c).alias(c) for c in ("total", "rated", "minutes", "resolved")])
 
     def average(top: str, bottom: str) -> Column:
         return F.coalesce(ratio(F.sum(top), F.sum(bottom)), F.lit(0.0))
@@ -130,6 +145,6 @@ def support_kpis_of_records(records: DataFrame, as_of: dt.datetime | str | None
     figures = per_type.agg(
         average("total", "rated").alias("feedback_score"),
         _volume_json(F.col("interaction_type")).alias("interaction_volume_by_type"),
-        average("minutes", "resolved").alias("avg_time_to_resolution_minutes"))
-    any_routed = routed.select(F.lit(True).alias("routed")).limit(1)
-    return kpi_stamp(cross_kpis(figures, any_routed).drop("routed"), as_of)
+        average("minutes", "resolved").alias("avg_time_to_resolution_minutes"),
+        F.sum("routed").alias("routed"))
+    return kpi_stamp(figures.filter(F.col("routed") > 0).drop("routed"), as_of)

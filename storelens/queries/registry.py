@@ -81,20 +81,21 @@ _RATING = ("CASE WHEN event_id % 9 = 0 THEN NULL WHEN event_id % 53 = 0 THEN 'n/
 FEEDS = {
     "pos": f"""pos AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS transaction_id,
-         l_suppkey % 10 AS store_id, l_partkey AS product_id,
+         l_suppkey % 10 AS store_id,
+         CASE WHEN l_partkey % 17 = 0 THEN l_partkey + 10000000 ELSE l_partkey END AS product_id,
          CAST(l_quantity AS BIGINT) AS quantity, l_extendedprice AS revenue,
          l_discount AS discount_applied, epoch(l_shipdate) AS "timestamp",
          {day('epoch(l_shipdate)')} AS "date"
-  FROM lineitem WHERE l_partkey % 17 <> 0)""",
+  FROM lineitem)""",
     "inventory": f"""inventory0 AS (
-  SELECT l_orderkey * 10 + l_linenumber AS inventory_id, l_partkey AS product_id,
+  SELECT l_orderkey * 10 + l_linenumber AS inventory_id,
+         CASE WHEN l_partkey % 13 = 0 THEN l_partkey + 20000000 ELSE l_partkey END AS product_id,
          CAST(l_suppkey % 5 AS INTEGER) AS warehouse_id,
          (l_orderkey * 7 + l_linenumber * 13) % 40 AS stock_level,
          CASE WHEN p_size % 11 <> 0 THEN CAST(p_size % 20 AS DOUBLE) END AS restock_threshold,
          epoch(l_shipdate) + l_linenumber * 3600
            + CASE WHEN l_orderkey % 9 = 0 THEN 86400 ELSE 0 END AS last_updated
-  FROM lineitem JOIN part ON l_partkey = p_partkey
-  WHERE l_orderkey % 3 = 0 AND l_partkey % 13 <> 0),
+  FROM lineitem JOIN part ON l_partkey = p_partkey),
 inventory AS (SELECT *, {day('last_updated')} AS "date" FROM inventory0)""",
     "web": f"""web AS (
   SELECT {_SESSION} AS session_id, user_id, event_type AS page, epoch(ts) AS "timestamp"
@@ -103,16 +104,17 @@ inventory AS (SELECT *, {day('last_updated')} AS "date" FROM inventory0)""",
   SELECT event_id AS id, {_CUSTOMER} AS customer_id, {_TYPE} AS interaction_type,
          {_RATING} AS rating, TRY_CAST({_RATING} AS DOUBLE) AS score, epoch(ts) AS "timestamp"
   FROM events)""",
-    # Records of the stream that can be decoded.
+    # Records of the stream that can be decoded; their ids are texts.
     "records": f"""records AS (
-  SELECT event_id AS id, {_SESSION} AS session_id, {_CUSTOMER} AS customer_id,
+  SELECT CAST(event_id AS VARCHAR) AS id, {_SESSION} AS session_id, CASE WHEN event_id % 43 = 0
+           THEN 'C' ELSE '' END || CAST({_CUSTOMER} AS VARCHAR) AS customer_id,
          {_TYPE} AS interaction_type, {_RATING} AS rating,
          TRY_CAST({_RATING} AS DOUBLE) AS score, epoch(ts) AS "timestamp"
   FROM events WHERE event_id % 29 <> 0)""",
     # CRM records after routing and cleaning, as the support stream sees them.
     "cleaned": """cleaned AS (
   SELECT id, customer_id, interaction_type, score AS rating, "timestamp" FROM records
-  WHERE customer_id IS NOT NULL AND customer_id <> 0 AND "timestamp" IS NOT NULL
+  WHERE customer_id IS NOT NULL AND customer_id <> '0' AND "timestamp" IS NOT NULL
     AND (score IS NULL OR score BETWEEN 1 AND 5))""",
     "validated": """validated AS (
   SELECT CAST(event_id AS VARCHAR) AS "recordId",
@@ -129,9 +131,9 @@ inventory AS (SELECT *, {day('last_updated')} AS "date" FROM inventory0)""",
   FROM orders),
 quality AS (SELECT * FROM quality0 UNION ALL SELECT * FROM quality0 WHERE o_orderkey % 50 = 0)""",
     "tidy": """tidy AS (
-  SELECT DISTINCT o_orderkey, common_column, coalesce(value_column, 0) AS value_column,
+  SELECT o_orderkey, common_column, coalesce(value_column, 0) AS value_column,
          coalesce(date_column, TIMESTAMP '1900-01-01 00:00:00') AS date_column
-  FROM quality)""",
+  FROM (SELECT DISTINCT * FROM quality))""",
     "notices": """notices AS (
   SELECT o_orderkey AS message_id, o_orderkey % 11 AS kind,
          CAST(o_orderkey AS VARCHAR) AS name FROM orders)""",

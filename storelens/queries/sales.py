@@ -108,6 +108,6 @@ def sql_adhoc(spark, sf_dir):
         spark,
         """SELECT store_id, count(*) AS days, round(sum(total_sales), 2) AS total_sales
            FROM (SELECT date, store_id, sum(total_sales) AS total_sales
-                 FROM sales_kpis GROUP BY date, store_id)
+                 FROM {sales_kpis} GROUP BY date, store_id)
            GROUP BY store_id""",
         sales_kpis=sales.total_sales(fixtures.pos(spark, sf_dir)))

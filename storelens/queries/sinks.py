@@ -12,7 +12,7 @@ from ..sinks import folders, items, jdbc
 from . import operations as operations_queries
 from . import support as support_queries
 from .registry import REGISTRY, feeds, query, rounded
-from .sources import _POS
+from .sources import _POS, named
 
 _STAMP = "2024-02-01_00-00-00"
 _AS_OF = "2024-02-01 00:00:00"
@@ -54,7 +54,7 @@ def snk_table_snapshot(spark, sf_dir):
     return spark.read.parquet(base)
 
 
-@query(feeds(f"""SELECT *, '{_AS_OF}' AS kpi_date, 0 AS batch_id
+@query(feeds(f"""SELECT *, '{_AS_OF}' AS kpi_date, 'batch' AS query, 0 AS batch_id
 FROM ({support_queries.STREAM_MART})""", "records", "cleaned"))
 def snk_kpi_row_insert(spark, sf_dir):
     path = work_dir(spark, "support-kpis")
@@ -93,11 +93,11 @@ def snk_validated_delivery(spark, sf_dir):
 UNION ALL SELECT 'inventory', count(*), CAST(sum(stock_level) AS DOUBLE) FROM inventory""",
              "pos", "inventory"))
 def job_bronze_to_silver(spark, sf_dir):
-    fixtures.pos(spark, sf_dir).createOrReplaceTempView("bronze_pos")
-    fixtures.inventory(spark, sf_dir).createOrReplaceTempView("bronze_inventory")
-    written = silver.bronze_to_silver(
-        spark, {"silver-pos": "bronze_pos", "silver-inventory": "bronze_inventory"},
-        work_dir(spark, "silver"), stamp=_STAMP)
+    with (named(fixtures.pos(spark, sf_dir)) as bronze_pos,
+          named(fixtures.inventory(spark, sf_dir)) as bronze_inventory):
+        written = silver.bronze_to_silver(
+            spark, {"silver-pos": bronze_pos, "silver-inventory": bronze_inventory},
+            work_dir(spark, "silver"), stamp=_STAMP)
     pos = spark.read.parquet(written["silver-pos"]).agg(
         F.lit("pos").alias("dataset"), F.count("*").alias("records"),
         F.round(F.sum("revenue"), 2).alias("total"))

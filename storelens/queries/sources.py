@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixtures
@@ -28,10 +33,30 @@ UNION ALL SELECT message_id, 'landing', 'pos/a' || name || '.csv' FROM notices W
 UNION ALL SELECT message_id, 'landing', 'pos/b' || name || '.csv' FROM notices WHERE kind = 7"""
 
 
+@contextlib.contextmanager
+def named(df: DataFrame) -> Iterator[str]:
+    """A name for ``df`` that no other view of the session has, for the time of the block."""
+    name = f"storelens_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(name)
+    try:
+        yield name
+    finally:
+        df.sparkSession.catalog.dropTempView(name)
+
+
 def stage_csv(spark, sf_dir) -> str:
-    """The POS feed as CSV landing files."""
+    """The POS feed as CSV landing files of all kinds: columns in another order, one more or one less,
+    whole numbers as decimals, quoted cells with line breaks."""
     path = work_dir(spark, "landing-pos")
-    fixtures.pos(spark, sf_dir).write.option("header", True).csv(path)
+    rows, line = fixtures.pos(spark, sf_dir), F.xxhash64("transaction_id") % 3
+
+    def write(some: DataFrame, folder: str, **options: str) -> None:
+        some.write.option("header", True).options(**options).csv(f"{path}/{folder}")
+
+    write(rows.filter(line == 0), "plain")
+    more = rows.filter(line > 0).withColumn("note", F.lit('said "no",\nthen yes'))
+    write(more.select("note", *reversed(rows.columns)), "more", escape='"')
+    write(rows.filter(line < 0).withColumn("quantity", F.concat(F.col("quantity").cast("string"), F.lit(".0"))), "decimal")
     return path
 
 
@@ -48,8 +73,8 @@ def stage_json(spark, sf_dir) -> str:
 
 @query(feeds(_POS, "pos"))
 def src_catalog_table(spark, sf_dir):
-    fixtures.pos(spark, sf_dir).createOrReplaceTempView("bronze_pos")
-    return tables.read_table(spark, "bronze_pos")
+    with named(fixtures.pos(spark, sf_dir)) as bronze_pos:
+        return tables.read_table(spark, bronze_pos)
 
 
 @query(feeds(_POS, "pos"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import fixtures
-from ..schemas import CRM_LOGS, POS
+from ..plans.marketing import cross_kpis
+from ..schemas import POS
 from ..session import work_dir
 from ..sinks import items, publish
 from ..sources import landing
-from ..sources.records import parse_records
+from ..sources.records import parse_records, read_records
 from ..streaming import queries as streaming
 from . import support as support_queries
 from .registry import feeds, query, rounded
@@ -41,18 +42,18 @@ def src_stream_json(spark, sf_dir):
 
 @query(feeds(f"""SELECT
   (SELECT round(coalesce(avg(score), 0), 6) FROM records WHERE customer_id IS NOT NULL
-    AND customer_id <> 0 AND interaction_type IN ('Feedback', 'Complaint')
+    AND customer_id <> '0' AND interaction_type IN ('Feedback', 'Complaint')
     AND rating IS NOT NULL) AS customer_engagement_score,
   (SELECT round(avg(span), 6) FROM ({_SESSIONS})) AS avg_session_duration,
   (SELECT round(100 * count(*) FILTER (n = 1) / count(*), 6) FROM ({_SESSIONS}))
     AS bounce_rate_percent,
   (SELECT round(100 * count(*) FILTER (interaction_type = 'Loyalty') / count(*), 6) FROM records
-    WHERE customer_id IS NOT NULL AND customer_id <> 0) AS loyalty_activity_rate_percent,
+    WHERE customer_id IS NOT NULL AND customer_id <> '0') AS loyalty_activity_rate_percent,
   '{_AS_OF}' AS kpi_date""", "records"))
 def st_marketing_kpis(spark, sf_dir):
     path, checkpoint = _folders(spark, "marketing")
     streaming.marketing(_stream(spark, sf_dir), path, checkpoint, as_of=_AS_OF).awaitTermination()
-    return rounded(spark.read.parquet(path).drop("batch_id"))
+    return rounded(spark.read.parquet(path).drop("query", "batch_id"))
 
 
 @query(feeds(f"SELECT *, '{_AS_OF}' AS kpi_date FROM ({support_queries.STREAM_MART})",
@@ -60,7 +61,7 @@ def st_marketing_kpis(spark, sf_dir):
 def st_support_kpis(spark, sf_dir):
     path, checkpoint = _folders(spark, "support")
     streaming.support(_stream(spark, sf_dir), path, checkpoint, as_of=_AS_OF).awaitTermination()
-    return rounded(spark.read.parquet(path).drop("batch_id"))
+    return rounded(spark.read.parquet(path).drop("query", "batch_id"))
 
 
 @query(feeds("""SELECT "recordId", result FROM validated""", "validated"))
@@ -72,58 +73,116 @@ def st_validate(spark, sf_dir):
 
 
 @query(feeds("""SELECT customer_id, arg_max(id, struct_pack(t := "timestamp", i := id)) AS id,
-  arg_max(interaction_type, struct_pack(t := "timestamp", i := id)) AS interaction_type
+  arg_max(interaction_type, struct_pack(t := "timestamp", i := id)) AS interaction_type,
+  '{"N":"' || arg_max(id, struct_pack(t := "timestamp", i := id)) || '"}' AS id_tag,
+  '{"S":"' || arg_max(interaction_type, struct_pack(t := "timestamp", i := id)) || '"}' AS type_tag,
+  CASE WHEN CAST(arg_max(id, struct_pack(t := "timestamp", i := id)) AS BIGINT) % 61 = 0
+    THEN '{"S":"web"}' END AS channel_tag
 FROM records WHERE customer_id IS NOT NULL GROUP BY customer_id""", "records"))
 def st_item_store(spark, sf_dir):
     path, checkpoint = _folders(spark, "items")
     streaming.store_items(_stream(spark, sf_dir), path, checkpoint, "customer_id",
                           ["timestamp", "id"]).awaitTermination()
+    items.fold_items(spark, path, "customer_id")
     return items.current_items(spark, path, "customer_id").select(
-        "customer_id", "id", "interaction_type")
+        "customer_id", "id", "interaction_type", *[
+            F.get_json_object("item", f"$.{field}").alias(name) for field, name in
+            (("id", "id_tag"), ("interaction_type", "type_tag"), ("channel", "channel_tag"))])
 
 
 @query(feeds(f"SELECT *, '2024-02-01' AS ingest_date FROM ({_POS})", "pos"))
 def st_file_ingest(spark, sf_dir):
     path, checkpoint = _folders(spark, "bronze-pos")
-    files = landing.stream_csv(spark, stage_csv(spark, sf_dir), POS)
-    streaming.ingest_files(files, path, checkpoint, "2024-02-01").awaitTermination()
-    return spark.read.parquet(path)
+    files = landing.stream_files(spark, stage_csv(spark, sf_dir), landing.CSV_GLOB)
+    streaming.ingest_files(files, POS, landing.parse_csv, path, checkpoint, "2024-02-01").awaitTermination()
+    return spark.read.parquet(f"{path}/rows").drop("query", "batch_id")
 
 
-@query(feeds(f"SELECT *, '2024-02-01' AS ingest_date FROM ({_POS})", "pos"))
-def st_file_ingest_announced(spark, sf_dir):
+def _announced(spark, sf_dir) -> str:
+    """The POS feed ingested from messages: one per landed file as the bucket would send it, one of a
+    file that never came and one that is no message."""
     landed = stage_csv(spark, sf_dir)
     base, out, checkpoint = work_dir(spark, "messages"), *_folders(spark, "announced-pos")
-    # A message per landed file, as the bucket would send it.
-    name = F.url_encode(F.element_at(F.split("path", "/"), -1))
-    body = F.concat(F.lit('{"Records":[{"s3":{"bucket":{"name":"landing"},"object":{"key":"pos/'),
-                    name, F.lit('"}}}]}'))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", landing.CSV_GLOB).load(landed)
-    files.select(body.alias("body")).write.parquet(base)
+    name = F.url_encode(F.regexp_extract("path", "[^/]+/[^/]+$", 0))
+
+    def body(name):
+        return F.concat(F.lit('{"Records":[{"s3":{"bucket":{"name":"landing"},"object":{"key":"pos/'),
+                        name, F.lit('"}}}]}')).alias("body")
+
+    files = landing.files(spark, landed, landing.CSV_GLOB)
+    lost = spark.range(1).select(body(F.lit("never-came.csv")))
+    other = spark.range(1).select(F.lit("no json").alias("body"))
+    files.select(body(name)).union(lost).union(other).write.parquet(base)
     messages = spark.readStream.schema("body string").parquet(base)
     streaming.ingest_announced(
-        messages, ("landing", "pos/", ".csv"),
-        lambda session, paths: landing.read_csv(session, paths, POS), out, checkpoint,
+        messages, ("landing", "pos/", ".csv"), POS, landing.parse_csv, out, checkpoint,
         lambda _, key: f"{landed}/{key.removeprefix('pos/')}", "2024-02-01").awaitTermination()
-    return spark.read.parquet(out).drop("batch_id")
+    return out
 
 
-@query(feeds("""SELECT CAST(id AS VARCHAR) AS "key", id, customer_id, interaction_type, rating,
-  "timestamp" FROM crm""", "crm"))
+@query(feeds(f"SELECT *, '2024-02-01' AS ingest_date FROM ({_POS})", "pos"))
+def st_file_ingest_announced(spark, sf_dir):
+    rows = streaming.announced_rows(spark, _announced(spark, sf_dir))
+    return rows.drop("part", "query", "batch_id")
+
+
+@query(feeds("""SELECT count(*) AS landed, CAST(1 AS BIGINT) AS missing, CAST(2 AS BIGINT) AS failed
+FROM pos""", "pos"))
+def st_file_ingest_counts(spark, sf_dir):
+    """Rows ingested, announced files that never came, and all objects that failed."""
+    out = _announced(spark, sf_dir)
+    counts = spark.read.parquet(f"{out}/counts").agg(F.sum("failed").alias("failed"))
+    missing = spark.read.option("basePath", out).parquet(f"{out}/part=*/missing")
+    landed = streaming.announced_rows(spark, out).agg(F.count("*").alias("landed"))
+    return cross_kpis(landed, missing.agg(F.count("*").alias("missing")), counts)
+
+
+@query(feeds("""SELECT id AS "key", id, customer_id, interaction_type, rating,
+  CASE WHEN CAST(id AS BIGINT) % 61 = 0 THEN 'web' END AS channel FROM records""", "records"))
 def snk_stream_publish(spark, sf_dir):
     path, checkpoint = _folders(spark, "published")
-    crm = fixtures.crm_of(fixtures.events_stream(spark, sf_dir))
-    publish.publish(publish.messages(crm), path, checkpoint,
-                    trigger=streaming.ONCE).awaitTermination()
+    keyed = publish.payload_messages(read_records(_stream(spark, sf_dir)))
+    publish.publish(keyed, path, checkpoint, trigger=streaming.ONCE).awaitTermination()
     sent = spark.read.schema("key string, value string").json(path)
-    return sent.select("key", F.from_json("value", CRM_LOGS).alias("r")).select("key", "r.*")
-
-
-@query(feeds("SELECT count(*) AS records, 0 AS oversized FROM crm", "crm"))
+    whole = "id string, customer_id string, interaction_type string, rating string, channel string"
+    fields = sent.select("key", F.from_json("value", whole).alias("r")).select("key", "r.*")
+    return fields.withColumn("customer_id", F.regexp_replace("customer_id", r"\.0$", ""))
+
+
+@query(feeds("""SELECT id, customer_id, "timestamp", prev_timestamp FROM (
+  SELECT *, lag("timestamp") OVER (PARTITION BY customer_id ORDER BY "timestamp", id) AS prev_timestamp
+  FROM cleaned) WHERE interaction_type = 'Resolution'""", "records", "cleaned"))
+def st_ext_prev_interaction(spark, sf_dir):
+    """Deliveries by time, each a micro-batch; customers carry over from one to the next."""
+    base, (path, checkpoint) = work_dir(spark, "ordered"), _folders(spark, "resolutions")
+    # Four deliveries of seven to eight days and a last one; interactions of a day come together.
+    part = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3))
+    events = fixtures.events(spark, sf_dir)
+    for i in range(4):
+        fixtures.stream_records_of(events.filter(part == i)).coalesce(1).write.parquet(f"{base}/d{i}")
+    raw = (spark.readStream.schema("recordId string, data string").option("maxFilesPerTrigger", 1)
+           .option("recursiveFileLookup", True).parquet(base))
+    streaming.resolutions(raw, path, checkpoint).awaitTermination()
+    return spark.read.parquet(f"{path}/resolutions").drop("query", "batch_id")
+
+
+@query(feeds("""SELECT strftime(date_trunc('day', make_timestamp(CAST(floor("timestamp") * 1000000 AS BIGINT))),
+    '%Y-%m-%d %H:%M:%S') AS window_start, interaction_type, count(*) AS volume,
+  round(avg(rating), 6) AS feedback_score
+FROM cleaned WHERE "timestamp" < (SELECT epoch(date_trunc('day', make_timestamp(
+    CAST(floor(max("timestamp")) * 1000000 AS BIGINT) - 3600000000))) FROM cleaned)
+GROUP BY ALL""", "records", "cleaned"))
+def st_ext_windowed_support(spark, sf_dir):
+    """Windows that the watermark has passed: all days but the last."""
+    path, checkpoint = _folders(spark, "windows")
+    streaming.windowed_support(_stream(spark, sf_dir), path, checkpoint).awaitTermination()
+    return rounded(spark.read.parquet(path))
+
+
+@query(feeds("SELECT count(*) AS records, 0 AS oversized FROM records", "records"))
 def st_microbatch_limits(spark, sf_dir):
     path, checkpoint = _folders(spark, "limited")
-    crm = fixtures.crm_of(fixtures.events_stream(spark, sf_dir))
-    sends = publish.requests(publish.messages(crm))
+    sends = publish.requests(publish.payload_messages(read_records(_stream(spark, sf_dir))))
     publish.publish(sends, path, checkpoint, "parquet", streaming.ONCE).awaitTermination()
     size = F.size("entries")
     return spark.read.parquet(path).agg(

@@ -57,7 +57,7 @@ def flt_rating_range(spark, sf_dir):
 @query(feeds("""SELECT count(*) AS records,
   count(*) FILTER ("timestamp" IS NULL) AS missing_keys,
   count(*) FILTER (score IS NOT NULL AND score NOT BETWEEN 1 AND 5) AS invalid_ratings
-FROM records WHERE customer_id IS NOT NULL AND customer_id <> 0""", "records"))
+FROM records WHERE customer_id IS NOT NULL AND customer_id <> '0'""", "records"))
 def vld_drop_metrics(spark, sf_dir):
     return validation.removal_counts(_records(spark, sf_dir))
 

@@ -53,11 +53,12 @@ CRM_LOGS = _schema(
     timestamp=DoubleType(),
 )
 
-# One stream may carry web and CRM records, so a decoded record has the fields of both.
+# One stream may carry web and CRM records, so a decoded record has the fields of both. Ids may be
+# numbers or texts.
 RECORD = _schema(
-    id=LongType(),
+    id=StringType(),
     session_id=StringType(),
-    customer_id=LongType(),
+    customer_id=StringType(),
     interaction_type=StringType(),
     rating=StringType(),
     timestamp=DoubleType(),

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import os
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+# What deletes the staged folders of each application.
+_STAGED: dict[str, Callable[[], object]] = {}
+_PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
-# Settings the results or the handling of busy keys depend on. A join on a busy key is split even
+# Settings that results, the handling of busy keys or the memory of tasks depend on. A join on a busy key is split even
 # where that costs the aggregate above it a shuffle of partial results.
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,9 +52,14 @@ def build_session(app: str = "storelens", master: str | None = None,
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bring a session made elsewhere to the settings of ``build_session``."""
+    """Bring a session made elsewhere to the settings of ``build_session``, and put the folder of this
+    package on the path of its Python workers."""
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "")
+    if _PACKAGE_ROOT not in paths.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [_PACKAGE_ROOT, paths]))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -60,13 +74,42 @@ def shared_dir(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.applicationId not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="run-")
+        root = _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="run-")
+        # The folder is this process's own and goes with it.
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     return _LOCAL_ROOTS[context.applicationId]
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared root; nothing is created yet."""
-    return f"{shared_dir(spark)}/storelens/{name}-{uuid.uuid4().hex}"
+    """A new folder name under the shared root; nothing is created yet.
+
+    Folders of a session lie under the name of its application, for ``clear_work`` to find.
+    """
+    return f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _session_dir(spark: SparkSession) -> str:
+    application = spark.sparkContext.applicationId
+    folder = f"{shared_dir(spark)}/storelens/{application}"
+    if application not in _STAGED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        _STAGED[application] = lambda: files.delete(path, True)
+        atexit.register(_clear, application)
+    return folder
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete what the session has staged under the shared root; results that are still lazy can't be
+    read any more. Else this happens when the process ends."""
+    _clear(spark.sparkContext.applicationId)
+
+
+def _clear(application: str) -> None:
+    delete = _STAGED.pop(application, None)
+    if delete:
+        with contextlib.suppress(Py4JError, OSError):  # the JVM may have ended before
+            delete()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -4,12 +4,25 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Fixed value: pattern of the stamp in the name of a run folder.
+STAMP = "%Y-%m-%d_%H-%M-%S"
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it doesn't exist."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory())
+
+
 def run_stamp(now: dt.datetime | None = None) -> str:
-    return (now or dt.datetime.now(dt.timezone.utc)).strftime("%Y-%m-%d_%H-%M-%S")
+    return (now or dt.datetime.now(dt.timezone.utc)).strftime(STAMP)
 
 
 def write_run_folder(df: DataFrame, base: str, name: str, stamp: str | None = None) -> str:
@@ -43,9 +56,10 @@ def write_snapshot(df: DataFrame, base: str, stamp: str | None = None,
     return path
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """KPI row of a micro-batch. A replayed batch replaces its own folder, never adds a row."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def write_batch(df: DataFrame, path: str, batch_id: int, query: str = "batch") -> None:
+    """Rows of a micro-batch. A replayed batch replaces its own folder, never adds a row; the batches
+    of another query have folders of their own."""
+    df.write.mode("overwrite").parquet(f"{path}/query={query}/batch_id={batch_id}")
 
 
 def write_delivery(validated: DataFrame, path: str, batch_id: int | None = None) -> None:

@@ -1,10 +1,19 @@
-"""Keyed items, the last write of a key winning."""
+"""Keyed items, the last write of a key winning.
+
+A store holds one folder per run and batch (``run=<number>_<query>/version=<batch>``). Runs are
+numbered as they come, so that a new query beats an older one whatever its batch numbers. Folders
+are folded into a snapshot now and then; reading takes the snapshot and the folders after it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .folders import children
+
+SNAPSHOTS = "_snapshots"
+
 
 def newest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Last row per key by ``order``; combined before the shuffle, so a busy key stays cheap."""
@@ -13,24 +22,70 @@ def newest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return df.groupBy(key).agg(newest.alias("_item")).select(key, "_item.*").select(*df.columns)
 
 
-def put_items(batch: DataFrame, path: str, batch_id: int, key: str, order: list[str]) -> None:
-    """Adds a batch as version ``batch_id``. Cost follows the batch, not the store.
+def _run_folder(spark: SparkSession, path: str, query: str) -> str:
+    """The folder of a query: its own if it wrote before, else one with the next number."""
+    runs = [name for name in children(spark, path) if name.startswith("run=")]
+    own = [name for name in runs if name.endswith(f"_{query}")]
+    highest = max([int(name[4:].split("_", 1)[0]) for name in runs], default=0)
+    return own[0] if own else f"run={highest + 1}_{query}"
+
+
+def put_items(batch: DataFrame, path: str, batch_id: int, key: str, order: list[str],
+              query: str = "batch") -> None:
+    """Adds a batch as version ``batch_id`` of its query. Cost follows the batch, not the store.
 
     A record without a key is no item.
     """
-    newest_per_key(batch.filter(F.col(key).isNotNull()), key, order).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+    folder = _run_folder(batch.sparkSession, path, query)
+    (newest_per_key(batch.filter(F.col(key).isNotNull()), key, order)
+     .write.mode("overwrite").parquet(f"{path}/{folder}/version={batch_id}"))
+
+
+def _snapshot(spark: SparkSession, path: str) -> tuple[int, list[str]]:
+    """Number of the newest complete snapshot, 0 if there is none, and the folders it holds."""
+    for number in sorted(map(int, children(spark, f"{path}/{SNAPSHOTS}")), reverse=True):
+        if "folded" in children(spark, f"{path}/{SNAPSHOTS}/{number}"):
+            names = spark.read.text(f"{path}/{SNAPSHOTS}/{number}/folded").collect()
+            return number, [row.value for row in names]
+    return 0, []
+
+
+def _stored(spark: SparkSession, path: str,
+            before: tuple[str, int] | None = None) -> tuple[DataFrame, int, list[str]]:
+    """Items of the snapshot and of the folders after it; the snapshot; all folders."""
+    number, folded = _snapshot(spark, path)
+    folders = [f"{run}/{version}" for run in children(spark, path) if run.startswith("run=")
+               for version in children(spark, f"{path}/{run}")
+               if not (before and run.endswith(f"_{before[0]}") and int(version[8:]) >= before[1])]
+    later = [f"{path}/{name}" for name in folders if name not in folded]
+    parts = [spark.read.parquet(f"{path}/{SNAPSHOTS}/{number}/items")] if number else []
+    if later:
+        parts.append(spark.read.option("basePath", path).parquet(*later))
+    if not parts:
+        raise ValueError(f"no items in {path}")
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return rows, number, folders
+
+
+def _newest(rows: DataFrame, key: str) -> DataFrame:
+    number = F.split("run", "_")[0].cast("int").alias("number")
+    ranked = rows.withColumn("_rank", F.struct(number, "run", "version"))
+    return newest_per_key(ranked, key, ["_rank"]).drop("_rank")
 
 
-def current_items(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """The store as of now: of each key the item of the highest version."""
-    return newest_per_key(spark.read.parquet(path), key, ["version"])
+def current_items(spark: SparkSession, path: str, key: str,
+                  before: tuple[str, int] | None = None) -> DataFrame:
+    """The store as of now: of each key the item of the highest run and version. ``before`` (a query
+    and a batch) leaves out this batch of the query and later ones."""
+    return _newest(_stored(spark, path, before)[0], key)
 
 
-def merge_items(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """One snapshot out of a stored one and newer items, both with unique keys."""
-    old, new = stored.alias("old"), incoming.alias("new")
-    others = [c for c in stored.columns if c != key]
-    fresh = F.col(f"new.{key}").isNotNull()
-    return old.join(new, key, "full_outer").select(
-        key, *[F.when(fresh, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c)
-               for c in others])
+def fold_items(spark: SparkSession, path: str, key: str) -> None:
+    """Folds all folders into the next snapshot. The list of folded folders is written last and makes
+    it complete; readers don't touch those folders any more, and a fold that breaks off changes
+    nothing."""
+    rows, number, folders = _stored(spark, path)
+    base = f"{path}/{SNAPSHOTS}/{number + 1}"
+    _newest(rows, key).write.mode("overwrite").parquet(f"{base}/items")
+    names = spark.createDataFrame([(name,) for name in folders], "value string")
+    names.coalesce(1).write.mode("overwrite").text(f"{base}/folded")

@@ -43,6 +43,12 @@ def kpi_defaults(kpis: DataFrame) -> DataFrame:
     return kpis.withColumns(defaults)
 
 
+def batch_columns(kpis: DataFrame, batch_id: int, query: str) -> DataFrame:
+    """Rows with the query and the micro-batch they come from. A batch that is repeated after a failure
+    appends its rows again; these columns tell them apart, as a key or by a reader."""
+    return kpis.withColumns({"query_id": F.lit(query), "batch_id": F.lit(batch_id)})
+
+
 def append_rows(df: DataFrame, warehouse: Warehouse, table: str) -> None:
     df.write.format("jdbc").options(**warehouse.options(table)).mode("append").save()
 

@@ -19,6 +19,13 @@ def messages(df: DataFrame, id_column: str = "id") -> DataFrame:
     return df.select(key.alias("key"), value.alias("value"))
 
 
+def payload_messages(records: DataFrame, id_column: str = "id") -> DataFrame:
+    """``key`` and ``value`` of decoded records (``sources.records.read_records``): the whole payload,
+    with fields this library doesn't know, keyed by its id or else by a stable hash."""
+    key = F.coalesce(F.col(id_column).cast("string"), F.xxhash64("payload").cast("string"))
+    return records.filter("decoded").select(key.alias("key"), F.col("payload").alias("value"))
+
+
 def requests(keyed: DataFrame, size: int = BATCH_RECORDS) -> DataFrame:
     """Messages packed into sends of at most ``size`` records, one row per send.
 

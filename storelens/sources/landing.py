@@ -1,50 +1,151 @@
-"""Landing folders with CSV or JSON documents, read at once or as a stream of new files."""
+"""Landing folders with CSV or JSON documents, read at once or as a stream of new files.
+
+A landing file is read whole by one task (as objects of up to 2 GB) and its cells are read as text,
+so that nothing a file holds is lost on the way: rows that don't fit the schema, and files that
+can't be read, come back with the reason and their text.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+import csv
+import io
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.numbers import number
+from ..functions.payload import CORRUPT, parse_object
 
 # Extensions in either case; Hadoop globs know no case folding.
 CSV_GLOB, JSON_GLOB = "*.[cC][sS][vV]", "*.[jJ][sS][oO][nN]"
 
+# Texts that stand for a missing cell.
+MISSING = ["", "NA", "N/A", "n/a", "NaN", "nan", "NULL", "null", "None"]
 
-def _folder(reader, schema: StructType, glob: str):
-    return (reader.schema(schema)
-            .option("pathGlobFilter", glob)
+# Fixed value: columns of the file source.
+FILES = "path string, modificationTime timestamp, length bigint, content binary"
+UNREADABLE, TOO_LONG, NO_OBJECT = "unreadable file", "more cells than columns", "no object"
+_BATCH_ROWS = 5_000
+
+
+def _listed(reader, glob: str):
+    return (reader.format("binaryFile").schema(FILES).option("pathGlobFilter", glob)
             .option("recursiveFileLookup", True))
 
 
-def _csv(reader, schema: StructType):
-    # enforceSchema=False checks the header, so that moved columns fail instead of mixing.
-    return (_folder(reader, schema, CSV_GLOB)
-            .option("header", True)
-            .option("enforceSchema", False))
+def files(spark: SparkSession, path: str | list[str], glob: str) -> DataFrame:
+    return _listed(spark.read, glob).load(path)
+
+
+def stream_files(spark: SparkSession, path: str, glob: str, max_files: int | None = None) -> DataFrame:
+    reader = _listed(spark.readStream, glob)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(path)
+
 
+def _csv_rows(files: DataFrame, names: list[str]) -> DataFrame:
+    """``path, line, cells, text, reject`` of each row, cells in the order of ``names``.
 
-def _json(reader, schema: StructType, glob: str):
-    # One document per file; a top-level array gives a row per element.
-    return _folder(reader, schema, glob).option("multiLine", True)
+    Columns are found by their name in the header; one that a file lacks is null and one that the
+    schema lacks is left out. Quoted cells may hold line breaks.
+    """
+    kinds = {"path": pa.string(), "line": pa.int64(), "cells": pa.list_(pa.string()), "text": pa.string(),
+             "reject": pa.string()}
 
+    def rows(path: str, content: bytes) -> Iterator[tuple]:
+        try:
+            reader = csv.reader(io.StringIO(content.decode("utf-8-sig"), newline=""), strict=True)
+            header = [name.strip() for name in next(reader, [])]
+            places = [header.index(name) if name in header else None for name in names]
+            for row in reader:
+                if len(row) > len(header):
+                    yield path, reader.line_num, None, ",".join(row), TOO_LONG
+                elif row:
+                    cells = [row[p] if p is not None and p < len(row) else None for p in places]
+                    yield path, reader.line_num, cells, ",".join(row), None
+        except (UnicodeDecodeError, csv.Error) as error:
+            yield path, None, None, str(error), UNREADABLE
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    return _csv(spark.read, schema).csv(path)
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(some: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), kinds.values())],
+                                              names=list(kinds))
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1)):
+                some: list[tuple] = []
+                for row in rows(path.as_py(), content.as_py()):
+                    some.append(row)
+                    if len(some) == _BATCH_ROWS:
+                        yield packed(some)
+                        some = []
+                if some:
+                    yield packed(some)
 
+    return files.select("path", "content").mapInArrow(
+        parse, "path string, line bigint, cells array<string>, text string, reject string")
 
-def read_json(spark: SparkSession, path: str | list[str], schema: StructType,
-              glob: str = JSON_GLOB) -> DataFrame:
-    return _json(spark.read, schema, glob).json(path)
 
+def _json_rows(files: DataFrame, names: list[str]) -> DataFrame:
+    """The same for documents that hold one object or a list of them."""
+    text = F.try_validate_utf8(F.col("content").cast("string"))
+    listed = F.coalesce(F.from_json(text, "array<string>"), F.array(F.lit(None).cast("string")))
+    elements = F.when(F.ltrim(text).startswith("["), listed).otherwise(F.array(text))
+    fields = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    rows = files.select("path", F.posexplode(elements).alias("line", "text"))
+    rows = rows.withColumn("record", F.explode(F.array(parse_object(F.col("text"), fields))))
+    bad = F.col("record").isNull() | F.col(f"record.{CORRUPT}").isNotNull()
+    return rows.select(
+        "path", F.col("line").cast("bigint").alias("line"),
+        F.when(~bad, F.array(*[F.col(f"record.{name}") for name in names])).alias("cells"), "text",
+        F.when(F.col("text").isNull(), UNREADABLE).when(bad, NO_OBJECT).alias("reject"))
 
-def stream_csv(spark: SparkSession, path: str, schema: StructType,
-               max_files: int | None = None) -> DataFrame:
-    return _limited(_csv(spark.readStream, schema), max_files).csv(path)
 
+def _cell(cell: Column, kind: T.DataType) -> tuple[Column, Column]:
+    """Value of a cell, and whether it has one that the type can't hold."""
+    given = F.when(~cell.isin(MISSING), cell)
+    if isinstance(kind, T.StringType):
+        return F.when(cell != "", cell), F.lit(False)
+    value = number(given).try_cast(kind)
+    if isinstance(kind, T.LongType):
+        # Whole numbers beyond the exact range of doubles are read as they stand.
+        value = F.coalesce(given.try_cast("bigint"), value)
+    return value, given.isNotNull() & value.isNull()
 
-def stream_json(spark: SparkSession, path: str, schema: StructType,
-                max_files: int | None = None, glob: str = JSON_GLOB) -> DataFrame:
-    return _limited(_json(spark.readStream, schema, glob), max_files).json(path)
 
+def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """``path, line, text, reject`` and the columns of the schema: rows with a cell that doesn't fit are
+    rejects that name its column, and have no values."""
+    cells = [_cell(F.get("cells", i), f.dataType) for i, f in enumerate(schema)]
+    misfits = F.concat_ws(",", *[F.when(bad, F.lit(f.name)) for (_, bad), f in zip(cells, schema)])
+    reject = F.coalesce("reject", F.when(misfits != "", F.concat(F.lit("does not fit: "), misfits)))
+    rows = rows.withColumn("reject", reject)
+    return rows.select("path", "line", "text", "reject",
+                       *[F.when(F.col("reject").isNull(), value).alias(f.name) for (value, _), f in zip(cells, schema)])
 
-def _limited(reader, max_files: int | None):
-    return reader.option("maxFilesPerTrigger", max_files) if max_files else reader
+
+def parse_csv(files: DataFrame, schema: T.StructType) -> DataFrame:
+    return typed(_csv_rows(files, schema.names), schema)
+
+
+def parse_json(files: DataFrame, schema: T.StructType) -> DataFrame:
+    return typed(_json_rows(files, schema.names), schema)
+
+
+def landed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows that fit, in the columns of the schema."""
+    return rows.filter(F.col("reject").isNull()).select(*schema.names)
+
+
+def rejected(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("reject").isNotNull()).select("path", "line", "text", "reject")
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, glob: str = CSV_GLOB) -> DataFrame:
+    return landed(parse_csv(files(spark, path, glob), schema), schema)
+
+
+def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType,
+              glob: str = JSON_GLOB) -> DataFrame:
+    return landed(parse_json(files(spark, path, glob), schema), schema)

@@ -12,6 +12,7 @@ from ..schemas import NOTIFICATION
 TEST_EVENT = "s3:TestEvent"
 
 OBJECT, TEST, BAD_MESSAGE, BAD_ENTRY = "object", "test event", "bad message", "bad entry"
+EMPTY = "empty message"
 
 
 def object_manifest(messages: DataFrame, body: str = "body") -> DataFrame:
@@ -26,10 +27,11 @@ def object_manifest(messages: DataFrame, body: str = "body") -> DataFrame:
     key = F.try_url_decode(F.col("entry.s3.object.key"))
     found = bucket.isNotNull() & (bucket != "") & key.isNotNull() & (key != "")
     announces_nothing = (F.col("m").isNull() | F.col(f"m.{CORRUPT}").isNotNull()
-                         | F.col("m.Records").isNull() | (F.size("m.Records") == 0))
+                         | F.col("m.Records").isNull())
     outcome = (
         F.when(F.col("m.Event") == TEST_EVENT, TEST)
         .when(announces_nothing, BAD_MESSAGE)
+        .when(F.size("m.Records") == 0, EMPTY)
         .when(found, OBJECT)
         .otherwise(BAD_ENTRY)
     )
@@ -50,9 +52,10 @@ def accepted_objects(manifest: DataFrame, bucket: str, prefix: str, extension: s
 
 
 def manifest_counts(manifest: DataFrame, bucket: str, prefix: str, extension: str) -> DataFrame:
-    """Objects to process and failures of a batch of messages; test events count as neither."""
+    """Objects to process and failures of a batch of messages; test events and empty lists count as
+    neither."""
     accepted = F.coalesce(_accepted(bucket, prefix, extension), F.lit(False))
     return manifest.agg(
         F.count_if(accepted).alias("processed"),
-        F.count_if(~accepted & (F.col("outcome") != TEST)).alias("failed"),
+        F.count_if(~accepted & ~F.col("outcome").isin(TEST, EMPTY)).alias("failed"),
     )

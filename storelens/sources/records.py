@@ -4,48 +4,81 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
-from ..functions.payload import decode_text
+from ..functions.numbers import number
+from ..functions.payload import CORRUPT, decode_text, parse_object
 from ..schemas import RECORD
 
 _STREAM_EVENT = "Records array<struct<kinesis:struct<data:string>>>"
 _DELIVERIES = "array<struct<recordId:string,data:string>>"
 
 
-def open_stream(spark: SparkSession, source: str, schema: StructType | None = None,
+def open_stream(spark: SparkSession, source: str, schema: T.StructType | None = None,
                 **options: str) -> DataFrame:
     """Any streaming source by configuration: files, Kafka, or a connector on the classpath."""
     reader = spark.readStream.format(source).options(**options)
     return (reader.schema(schema) if schema else reader).load()
 
 
-def explode_payload(raw: DataFrame, schema: StructType | str, text: Column,
-                    keep: list[str] | None = None) -> DataFrame:
-    """Rows of a payload that is either one JSON object or a list of them.
+def read_payload(raw: DataFrame, schema: T.StructType, text: Column,
+                 keep: list[str] | None = None) -> DataFrame:
+    """A row per element of a payload that is either one JSON object or a list of them.
 
-    The array reading takes a single object too; a payload that cannot be read gives no row, a
-    field of the wrong type a null. ``inline`` also keeps filters above the parsing, which would
-    otherwise be repeated inside each of them.
+    Beside the kept columns: ``payload`` (the element's text), ``record`` (its fields) and
+    ``decoded``. A payload or an element that is no object is not ``decoded``; other elements of
+    its list are. A field of the wrong type is null. ``inline`` keeps filters above the parsing, which
+    would otherwise be repeated inside each of them.
     """
-    kind = schema if isinstance(schema, str) else schema.simpleString()
-    return raw.select(*(keep or []), F.inline(F.from_json(text, f"array<{kind}>")))
+    kept = keep or []
+    listed = F.coalesce(F.from_json(text, "array<string>"), F.array(F.lit(None).cast("string")))
+    elements = F.when(F.ltrim(text).startswith("["), listed).otherwise(F.array(text))
+    rows = raw.select(*kept, F.explode(elements).alias("_element"))
+    read = F.struct(F.col("_element").alias("payload"), parse_object(F.col("_element"), schema).alias("record"))
+    rows = rows.select(*kept, F.inline(F.array(read)))
+    corrupt = F.col(f"record.{CORRUPT}").isNotNull() & F.json_object_keys("payload").isNull()
+    return rows.withColumn("decoded", F.col("record").isNotNull() & ~corrupt)
 
 
-def parse_records(raw: DataFrame, schema: StructType = RECORD, data: str = "data",
-                  keep: list[str] | None = None, encoded: bool = True) -> DataFrame:
-    """Typed records of a stream of JSON payloads; one that cannot be decoded is left out.
+def explode_payload(raw: DataFrame, schema: T.StructType | str, text: Column,
+                    keep: list[str] | None = None) -> DataFrame:
+    """The decoded elements of a payload, a column per field."""
+    kind = T.StructType.fromDDL(schema.removeprefix("struct<").removesuffix(">")) if isinstance(schema, str) else schema
+    rows = read_payload(raw, kind, text, keep).filter("decoded")
+    return rows.select(*(keep or []), *[F.col(f"record.{f.name}").alias(f.name) for f in kind])
+
+
+def _identifier(text: Column) -> Column:
+    """Text of an id; a whole number written as a decimal loses its zeros."""
+    return F.when(text.rlike(r"^-?(0|[1-9]\d*)\.0+$"), F.regexp_replace(text, r"\.0+$", "")).otherwise(text)
 
-    Function events carry payloads in base64, topics carry the plain text (``encoded=False``).
+
+def _typed(field: T.StructField) -> Column:
+    text = F.col(f"record.{field.name}")
+    if isinstance(field.dataType, T.NumericType):
+        text = number(text).try_cast(field.dataType)
+    elif field.name == "id" or field.name.endswith("_id"):
+        text = _identifier(text)
+    return text.alias(field.name)
+
+
+def read_records(raw: DataFrame, schema: T.StructType = RECORD, data: str = "data",
+                 keep: list[str] | None = None, encoded: bool = True) -> DataFrame:
+    """Typed records of a stream of JSON payloads, each with its ``payload`` text and whether it was
+    ``decoded``; one that was not has no fields.
+
+    Fields are read as text first, so that ids may be texts or numbers and times texts. Function
+    events carry payloads in base64, topics carry the plain text (``encoded=False``).
     """
-    return explode_payload(raw, schema, decode_text(F.col(data), encoded), keep)
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    rows = read_payload(raw, texts, decode_text(F.col(data), encoded), keep)
+    return rows.select(*(keep or []), *[_typed(f) for f in schema], "payload", "decoded")
 
 
-def parse_items(raw: DataFrame, schema: StructType = RECORD, data: str = "data",
-                encoded: bool = True) -> DataFrame:
-    """Typed records that also carry their whole JSON text as ``payload``."""
-    texts = raw.select(decode_text(F.col(data), encoded).alias("payload"))
-    return explode_payload(texts, schema, F.col("payload"), ["payload"])
+def parse_records(raw: DataFrame, schema: T.StructType = RECORD, data: str = "data",
+                  keep: list[str] | None = None, encoded: bool = True) -> DataFrame:
+    """The decoded records of ``read_records``."""
+    return read_records(raw, schema, data, keep, encoded).filter("decoded").drop("payload", "decoded")
 
 
 def unpack_events(events: DataFrame, event: str = "event") -> DataFrame:

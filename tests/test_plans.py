@@ -28,6 +28,25 @@ def test_plan_spreads_its_work(spark, name):
             assert re.search("Aggregate|LocalLimit", below), (line, below)
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_support_stream_reads_once(spark):
+    """One scan, one parse: what the customers' slices need twice is shuffled once."""
+    plan = final_plan(REGISTRY["mart_support_stream"].run(spark, SF_DIR))
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1
+    plan = final_plan(REGISTRY["st_marketing_kpis"].run(spark, SF_DIR))
+    assert "InMemoryTableScan" not in plan
+
+
+def test_quality_job_cleans_once(spark):
+    """The duplicates are removed by one shuffle of whole rows, which both sides of the job use."""
+    plan = final_plan(REGISTRY["job_quality"].run(spark, SF_DIR))
+    assert "ReusedExchange" in plan and plan.count("FileScan") == 1
+
+
 @pytest.mark.parametrize("name, scans, joins", [
     ("mart_sales", 3, 1), ("mart_operations", 3, 1), ("mart_marketing", 2, 0),
     ("mart_support_batch", 2, 0), ("job_quality_profile", 1, 0)])

@@ -2,6 +2,7 @@ import json
 from unittest.mock import MagicMock
 
 import pytest
+from pyspark.sql.functions import lit
 
 from storelens import session
 from storelens.sinks import folders, items, jdbc, publish
@@ -24,7 +25,8 @@ def test_rerun_of_a_snapshot_or_batch_replaces_it(spark, tmp_path):
     folders.write_snapshot(spark.range(2), f"{tmp_path}/snap", "s2")
     folders.write_batch(spark.range(1), f"{tmp_path}/rows", 5)
     assert spark.read.parquet(f"{tmp_path}/snap").count() == 5
-    assert spark.read.parquet(f"{tmp_path}/rows").count() == 2
+    folders.write_batch(spark.range(1), f"{tmp_path}/rows", 5, "other")
+    assert spark.read.parquet(f"{tmp_path}/rows").count() == 3
 
 
 def test_append_table_keeps_earlier_rows(spark, tmp_path):
@@ -60,6 +62,7 @@ def test_warehouse_options_and_modes():
 def test_kpi_defaults(spark):
     df = spark.createDataFrame([(None, None, None)], "a double, b string, c bigint")
     assert tuple(jdbc.kpi_defaults(df).first()) == (0.0, "{}", 0)
+    assert tuple(jdbc.batch_columns(df, 3, "q").select("query_id", "batch_id").first()) == ("q", 3)
 
 
 def test_items_last_write_wins(spark, tmp_path):
@@ -73,10 +76,43 @@ def test_items_last_write_wins(spark, tmp_path):
     # A later delivery replaces an item even if its own time is earlier.
     items.put_items(batch((2, None, 3.0), (3, "e", 1.0)), path, 1, "k", ["t"])
     items.put_items(batch((2, None, 3.0), (3, "e", 1.0)), path, 1, "k", ["t"])
-    stored = {r.k: (r.v, r.t) for r in items.current_items(spark, path, "k").collect()}
-    assert stored == {1: ("b", 2.0), 2: (None, 3.0), 3: ("e", 1.0)}
-    merged = items.merge_items(batch((1, "a", 1.0), (2, "c", 9.0)), batch((2, None, 3.0), (3, "e", 1.0)), "k")
-    assert {tuple(r) for r in merged.collect()} == {(1, "a", 1.0), (2, None, 3.0), (3, "e", 1.0)}
+
+    def stored(**options):
+        return {r.k: (r.v, r.t) for r in items.current_items(spark, path, "k", **options).collect()}
+
+    assert stored() == {1: ("b", 2.0), 2: (None, 3.0), 3: ("e", 1.0)}
+    # Another query starts anew with its batch numbers and still beats the older one.
+    items.put_items(batch((3, "f", 0.5), (4, "g", 1.0)), path, 0, "k", ["t"], "later")
+    assert stored() == {1: ("b", 2.0), 2: (None, 3.0), 3: ("f", 0.5), 4: ("g", 1.0)}
+    assert stored(before=("later", 0)) == {1: ("b", 2.0), 2: (None, 3.0), 3: ("e", 1.0)}
+
+
+def test_folded_items_are_read_from_the_snapshot_alone(spark, tmp_path):
+    path = f"{tmp_path}/items"
+
+    def batch(*rows):
+        return spark.createDataFrame(rows, "k bigint, v string, t double")
+
+    def stored():
+        return {r.k: r.v for r in items.current_items(spark, path, "k").collect()}
+
+    for i in range(3):
+        items.put_items(batch((1, f"a{i}", 1.0), (10 + i, "b", 1.0)), path, i, "k", ["t"])
+    before = stored()
+    items.fold_items(spark, path, "k")
+    files = items.current_items(spark, path, "k").inputFiles()
+    assert stored() == before and all(items.SNAPSHOTS in name for name in files)
+    items.put_items(batch((1, "new", 0.0)), path, 3, "k", ["t"])
+    items.put_items(batch((1, "newer", 0.0)), path, 0, "k", ["t"], "other")
+    assert stored() == before | {1: "newer"}
+    items.fold_items(spark, path, "k")
+    assert stored() == before | {1: "newer"}
+    # A fold that broke off before its list was written doesn't count.
+    batch((1, "broken", 0.0)).withColumns({"run": lit("run"), "version": lit(0)}).write.parquet(
+        f"{path}/{items.SNAPSHOTS}/9/items")
+    assert stored() == before | {1: "newer"}
+    with pytest.raises(ValueError, match="no items"):
+        items.current_items(spark, f"{tmp_path}/nothing", "k")
 
 
 def test_messages_and_sends(spark):
@@ -93,7 +129,8 @@ def test_messages_and_sends(spark):
     assert publish.requests(publish.messages(many.limit(0))).count() == 0
 
 
-def test_shared_dir_follows_the_session_setting():
+def test_shared_dir_follows_the_session_setting(spark):
+    assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", session.shared_dir(spark)).rstrip("/")
     spark = MagicMock()
     spark.conf.get.return_value = "hdfs:///shared/"
     assert session.shared_dir(spark) == "hdfs:///shared"
@@ -104,3 +141,13 @@ def test_shared_dir_follows_the_session_setting():
     spark.sparkContext.master = "local[2]"
     spark.sparkContext.applicationId = "app-1"
     assert session.shared_dir(spark) == session.shared_dir(spark)
+
+
+def test_staged_folders_go_with_the_session(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    monkeypatch.setattr(session, "_STAGED", {})
+    path = session.work_dir(spark, "staged")
+    spark.range(2).write.parquet(path)
+    assert spark.read.parquet(path).count() == 2
+    session.clear_work(spark)
+    assert not list(tmp_path.glob("storelens/*"))

@@ -20,11 +20,39 @@ def test_csv_landing_takes_any_case_of_the_extension(spark, tmp_path):
                                         ("t2", 1, 2, 3, 4.5, 0.1, 1.0)]
 
 
-def test_csv_with_moved_columns_fails(spark, tmp_path):
-    (tmp_path / "a.csv").write_text(HEADER.replace("store_id,product_id", "product_id,store_id")
-                                    + "t1,1,2,3,4.5,,1\n")
-    with pytest.raises(Exception, match="CSV header"):
-        landing.read_csv(spark, str(tmp_path), POS).collect()
+def test_csv_columns_go_by_name_and_nothing_is_lost(spark, tmp_path):
+    (tmp_path / "moved.csv").write_text(HEADER.replace("store_id,product_id", "product_id, store_id")
+                                        + "t1,1,2,3.0,4.5,,1\n\n")
+    (tmp_path / "other.csv").write_text(
+        '\ufefftransaction_id,note,store_id,product_id,quantity,revenue,timestamp\r\n'
+        '"t,2","two\nlines, ""quoted""",1,9007199254740993,1e2,NaN, 7 \r\nt3,short\r\n', newline="")
+    (tmp_path / "odd.csv").write_text(HEADER + "t4,1,2,abc,4.5,,x\nt5,1,2,3,4,5,6,7\nt6,1,2,3,4.5,,1\n")
+    (tmp_path / "bytes.csv").write_bytes(HEADER.encode() + b"t7,\xff\n")
+    (tmp_path / "quote.csv").write_text(HEADER + 't8,1,"2\n')
+    (tmp_path / "empty.csv").write_text("")
+    rows = landing.parse_csv(landing.files(spark, str(tmp_path), landing.CSV_GLOB), POS).cache()
+    good = sorted(tuple(r) for r in landing.landed(rows, POS).collect())
+    assert good == [("t,2", 1, 9007199254740993, 100, None, None, 7.0), ("t1", 2, 1, 3, 4.5, None, 1.0),
+                    ("t3", None, None, None, None, None, None), ("t6", 1, 2, 3, 4.5, None, 1.0)]
+    bad = {(r.path.rsplit("/", 1)[1], r.reject) for r in landing.rejected(rows).collect()}
+    assert bad == {("odd.csv", "does not fit: quantity,timestamp"), ("odd.csv", landing.TOO_LONG),
+                   ("bytes.csv", landing.UNREADABLE), ("quote.csv", landing.UNREADABLE)}
+    assert rows.filter("line = 2 and reject like 'does%'").first().text == "t4,1,2,abc,4.5,,x"
+    assert landing.read_csv(spark, str(tmp_path), POS).count() == 4
+    rows.unpersist()
+
+
+def test_json_elements_that_fit_are_kept(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"inventory_id": "1", "stock_level": 2.0, "extra": 1}, 5,'
+                                     ' {"inventory_id": "x"}, {"product_id": 3}]')
+    (tmp_path / "b.json").write_text('[{"inventory_id": 1}')
+    (tmp_path / "c.json").write_bytes(b"\xff")
+    (tmp_path / "d.json").write_text("[]")
+    rows = landing.parse_json(landing.files(spark, str(tmp_path), landing.JSON_GLOB), INVENTORY)
+    good = landing.landed(rows, INVENTORY).select("inventory_id", "product_id", "stock_level")
+    assert sorted(map(tuple, good.collect()), key=str) == [(1, None, 2), (None, 3, None)]
+    assert sorted(r.reject for r in landing.rejected(rows).collect()) == [
+        "does not fit: inventory_id", landing.NO_OBJECT, landing.UNREADABLE, landing.UNREADABLE]
 
 
 def test_json_landing_reads_whole_documents(spark, tmp_path):
@@ -61,7 +89,7 @@ def test_notifications(spark):
         json.dumps({"Records": [entry("in", "other/a.csv"), entry("in", "pos/a.txt")]}),
         json.dumps({"Records": [{"s3": {"bucket": {"name": "in"}}}, entry("in", "pos/%zz.csv")]}),
         json.dumps({"Event": "s3:TestEvent", "Bucket": "in"}),
-        json.dumps({"hello": 1}), "no json", None)
+        json.dumps({"hello": 1}), "no json", None, json.dumps({"Records": []}))
     rule = ("in", "pos/", ".csv")
     accepted = notifications.accepted_objects(found, *rule)
     assert sorted(r.key for r in accepted.collect()) == ["pos/a b c.csv", "pos/d.CSV"]
@@ -69,16 +97,16 @@ def test_notifications(spark):
     assert outcomes == [
         (0, "object"), (0, "object"), (1, "object"), (2, "object"), (2, "object"),
         (3, "bad entry"), (3, "bad entry"), (4, "test event"), (5, "bad message"),
-        (6, "bad message"), (7, "bad message")]
+        (6, "bad message"), (7, "bad message"), (8, "empty message")]
     assert tuple(notifications.manifest_counts(found, *rule).first()) == (2, 8)
 
 
 def test_payload_of_one_or_many(spark):
     df = spark.createDataFrame([(1, '{"a":1}'), (2, '[{"a":2},{"a":3}]'), (3, "{bad"), (4, "[]"),
-                                (5, None), (6, '{"a":"x","b":"y"}')], "k int, p string")
+                                (5, None), (6, '{"a":"x","b":"y"}'), (7, '[5,{"a":4},"x",[{"a":9}]]')], "k int, p string")
     got = records.explode_payload(df, "struct<a:bigint,b:string>", F.col("p"), ["k"])
     assert sorted((tuple(r) for r in got.collect()), key=str) == [
-        (1, 1, None), (2, 2, None), (2, 3, None), (6, None, "y")]
+        (1, 1, None), (2, 2, None), (2, 3, None), (6, None, "y"), (7, 4, None)]
 
 
 def test_function_events(spark):
@@ -92,7 +120,17 @@ def test_function_events(spark):
 
 def test_plain_payloads(spark):
     df = spark.createDataFrame([(bytearray(b'{"id":5}'),)], "value binary")
-    assert records.parse_records(df, data="value", encoded=False).first().id == 5
+    assert records.parse_records(df, data="value", encoded=False).first().id == "5"
+
+
+def test_ids_and_times_of_any_kind(spark):
+    texts = ['{"customer_id":"C12","timestamp":"1700000000"}', '{"customer_id":7.0,"timestamp":1.5}',
+             '{"customer_id":"007","id":9007199254740993,"timestamp":"soon"}', '{"customer_id":true,"more":[1]}']
+    df = spark.createDataFrame([(t,) for t in texts], "data string")
+    rows = records.read_records(df, encoded=False)
+    assert [(r.id, r.customer_id, r.timestamp) for r in rows.collect()] == [
+        (None, "C12", 1700000000.0), (None, "7", 1.5), ("9007199254740993", "007", None), (None, "true", None)]
+    assert [r.payload for r in rows.collect()] == texts
 
 
 def test_record_parsing_happens_once(spark, tmp_path):
@@ -100,7 +138,8 @@ def test_record_parsing_happens_once(spark, tmp_path):
     parsed = records.parse_records(spark.read.parquet(f"{tmp_path}/r"))
     plan = (parsed.filter("customer_id <> 0 and rating is not null")
             ._jdf.queryExecution().executedPlan().toString())
-    assert plan.count("from_json") == 1
+    # One reads the elements of a payload, one the fields of an element.
+    assert plan.count("from_json") == 2
 
 
 def test_silver_copy_and_adhoc_sql(spark, tmp_path):
@@ -110,7 +149,7 @@ def test_silver_copy_and_adhoc_sql(spark, tmp_path):
                                       stamp="2024-01-01_00-00-00")
     assert written["a"] == f"{tmp_path}/a/run_ts=2024-01-01_00-00-00"
     a, b = (spark.read.parquet(written[k]) for k in "ab")
-    joined = adhoc.query(spark, "select count(*) n from left_t join right_t using (id)",
+    joined = adhoc.query(spark, "select count(*) n from {left_t} join {right_t} using (id)",
                          left_t=a, right_t=b)
     assert joined.first().n == 2
     assert spark.read.parquet(f"{tmp_path}/a").filter("run_ts = '2024-01-01_00-00-00'").count() == 4

@@ -45,7 +45,7 @@ THIRD = [{"id": 7, "customer_id": 1, "interaction_type": "Resolution", "rating":
 def test_support_rows_per_batch(spark, tmp_path):
     raw = deliveries(spark, f"{tmp_path}/in", FIRST, SECOND, THIRD)
     streaming.support(raw, f"{tmp_path}/out", f"{tmp_path}/cp", as_of=AS_OF).awaitTermination()
-    out = spark.read.parquet(f"{tmp_path}/out").drop("kpi_date").orderBy("batch_id").collect()
+    out = spark.read.parquet(f"{tmp_path}/out").drop("kpi_date", "query").orderBy("batch_id").collect()
     # Batches know nothing of each other, and one without customers writes no row.
     assert [tuple(r) for r in out] == [
         (2.0, '{"Complaint":1,"Loyalty":1,"Resolution":1}', 2.0, 0),
@@ -55,7 +55,7 @@ def test_support_rows_per_batch(spark, tmp_path):
 def test_marketing_rows_per_batch(spark, tmp_path):
     raw = deliveries(spark, f"{tmp_path}/in", FIRST, SECOND, THIRD)
     streaming.marketing(raw, f"{tmp_path}/out", f"{tmp_path}/cp", as_of=AS_OF).awaitTermination()
-    out = spark.read.parquet(f"{tmp_path}/out").drop("kpi_date").orderBy("batch_id").collect()
+    out = spark.read.parquet(f"{tmp_path}/out").drop("kpi_date", "query").orderBy("batch_id").collect()
     assert [tuple(r) for r in out] == [(2.0, 4.0, 0.0, pytest.approx(100 / 3), 0),
                                        (0.0, 0.0, 0.0, 0.0, 2)]
 
@@ -67,7 +67,7 @@ def test_one_batch_equals_the_batch_functions(spark, tmp_path):
                         (streaming.marketing, marketing.marketing_kpis_of_records)):
         base = f"{tmp_path}/{start.__name__}"
         start(raw, f"{base}/out", f"{base}/cp", as_of=AS_OF).awaitTermination()
-        streamed = spark.read.parquet(f"{base}/out").drop("batch_id").collect()
+        streamed = spark.read.parquet(f"{base}/out").drop("query", "batch_id").collect()
         assert streamed == plan(parsed, AS_OF).collect()
 
 
@@ -87,8 +87,32 @@ def test_item_store_across_batches(spark, tmp_path):
                           ["timestamp", "id"]).awaitTermination()
     stored = items.current_items(spark, f"{tmp_path}/out", "customer_id")
     rows = {r.customer_id: r for r in stored.collect()}
-    assert {customer: r.id for customer, r in rows.items()} == {0: 5, 1: 7, 2: 3}
-    assert json.loads(rows[1].payload) == THIRD[0]
+    assert {customer: r.id for customer, r in rows.items()} == {"0": "5", "1": "7", "2": "3"}
+    assert json.loads(rows["1"].payload) == THIRD[0]
+    assert json.loads(rows["1"].item) == {
+        "id": {"N": "7"}, "customer_id": {"N": "1"}, "interaction_type": {"S": "Resolution"},
+        "rating": {"S": "n/a"}, "timestamp": {"N": "180.0"}}
+
+
+def test_a_new_checkpoint_keeps_what_is_stored(spark, tmp_path):
+    """Two queries, with batch numbers from 0 each, into one output; then the first one again."""
+    first, second = f"{tmp_path}/first", f"{tmp_path}/second"
+    raw = deliveries(spark, first, FIRST, SECOND)
+    other = deliveries(spark, second, THIRD)
+
+    def run(raw, name):
+        streaming.store_items(raw, f"{tmp_path}/items", f"{tmp_path}/cp-{name}-i", "customer_id",
+                              ["timestamp", "id"]).awaitTermination()
+        streaming.support(raw, f"{tmp_path}/kpis", f"{tmp_path}/cp-{name}-k", as_of=AS_OF).awaitTermination()
+        stored = items.current_items(spark, f"{tmp_path}/items", "customer_id").collect()
+        return {r.customer_id: r.id for r in stored}, spark.read.parquet(f"{tmp_path}/kpis").count()
+
+    assert run(raw, "a") == ({"0": "5", "1": "2", "2": "3"}, 1)
+    assert run(other, "b") == ({"0": "5", "1": "7", "2": "3"}, 2)
+    assert run(raw, "a") == ({"0": "5", "1": "7", "2": "3"}, 2)
+    # The first query goes on under its own number, which is older than that of the second.
+    spark.createDataFrame([("x", wrap({"id": 8, "customer_id": 1, "timestamp": 500.0}))], RAW).coalesce(1).write.parquet(f"{first}/d9")
+    assert run(raw, "a") == ({"0": "5", "1": "7", "2": "3"}, 3)
 
 
 def test_files_are_ingested_once(spark, tmp_path):
@@ -97,16 +121,18 @@ def test_files_are_ingested_once(spark, tmp_path):
     inbox.mkdir()
 
     def run():
-        files = landing.stream_csv(spark, str(inbox), POS)
-        streaming.ingest_files(files, out, checkpoint, "2024-01-01").awaitTermination()
-        return spark.read.parquet(out).count()
+        files = landing.stream_files(spark, str(inbox), landing.CSV_GLOB)
+        streaming.ingest_files(files, POS, landing.parse_csv, out, checkpoint, "2024-01-01").awaitTermination()
+        return spark.read.parquet(f"{out}/rows").count()
 
     (inbox / "a.csv").write_text(header + "t1,1,1,1,1.0,,1.0\n")
     assert run() == 1
     assert run() == 1
     (inbox / "b.Csv").write_text(header + "t2,1,1,1,1.0,,1.0\nt3,1,1,1,1.0,,1.0\n")
     (inbox / "c.tmp").write_text("nothing")
+    (inbox / "d.csv").write_bytes(b"\xff\xfe")
     assert run() == 3
+    assert [r.reject for r in spark.read.parquet(f"{out}/rejects").collect()] == [landing.UNREADABLE]
 
 
 def test_announced_files_are_ingested(spark, tmp_path):
@@ -121,17 +147,18 @@ def test_announced_files_are_ingested(spark, tmp_path):
 
     batches = [[message(("in", "pos/a+b.csv"), ("in", "pos/c.CSV")), message(("in", "pos/c.CSV"))],
                [message(("out", "pos/d.csv")), "no json", '{"Event":"s3:TestEvent"}'],
-               [message(("in", "pos/c.CSV"))]]
+               [message(("in", "pos/c.CSV"), ("in", "pos/gone.csv"))]]
     for i, bodies in enumerate(batches):
         (spark.createDataFrame([(b,) for b in bodies], "body string").coalesce(1)
          .write.parquet(f"{tmp_path}/queue/d{i}"))
     messages = (spark.readStream.schema("body string").option("maxFilesPerTrigger", 1)
                 .option("recursiveFileLookup", True).parquet(f"{tmp_path}/queue"))
     streaming.ingest_announced(
-        messages, ("in", "pos/", ".csv"),
-        lambda session, files: landing.read_csv(session, files, POS), f"{tmp_path}/out",
+        messages, ("in", "pos/", ".csv"), POS, landing.parse_csv, f"{tmp_path}/out",
         f"{tmp_path}/cp", lambda _, key: f"{tmp_path}/{key}", "2024-01-01").awaitTermination()
-    rows = spark.read.parquet(f"{tmp_path}/out").collect()
+    rows = streaming.announced_rows(spark, f"{tmp_path}/out").collect()
+    counts = spark.read.parquet(f"{tmp_path}/out/counts").orderBy("batch_id").collect()
+    assert [(r.processed, r.failed) for r in counts] == [(3, 0), (0, 2), (1, 1)]
     # A file announced again later is ingested again, as a new delivery.
     assert sorted((r.batch_id, r.transaction_id) for r in rows) == [
         (0, "a b.csv"), (0, "c.CSV"), (2, "c.CSV")]
@@ -139,7 +166,7 @@ def test_announced_files_are_ingested(spark, tmp_path):
 
 def test_publish_round_trip(spark, tmp_path):
     raw = deliveries(spark, f"{tmp_path}/in", FIRST)
-    keyed = publish.messages(records.parse_records(raw))
+    keyed = publish.payload_messages(records.read_records(raw))
     publish.publish(keyed, f"{tmp_path}/out", f"{tmp_path}/cp",
                     trigger=streaming.ONCE).awaitTermination()
     sent = spark.read.schema("key string, value string").json(f"{tmp_path}/out").collect()
@@ -148,6 +175,16 @@ def test_publish_round_trip(spark, tmp_path):
         "id": 4, "session_id": "s", "timestamp": 9.0}
 
 
+def test_previous_interaction_across_batches(spark, tmp_path):
+    later = [{"id": 8, "customer_id": 2, "interaction_type": "Resolution", "timestamp": 65.0},
+             {"id": 9, "customer_id": 3, "interaction_type": "Resolution", "timestamp": 70.0}]
+    raw = deliveries(spark, f"{tmp_path}/in", FIRST, later, THIRD)
+    streaming.resolutions(raw, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    rows = spark.read.parquet(f"{tmp_path}/out/resolutions").collect()
+    assert sorted((r.customer_id, r.id, r.prev_timestamp) for r in rows) == [
+        ("1", "2", 0.0), ("1", "7", 120.0), ("2", "8", 5.0), ("3", "9", None)]
+
+
 def observed(query, name):
     query.awaitTermination()
     return [tuple(p.observedMetrics[name]) for p in query.recentProgress if p.observedMetrics]
@@ -159,7 +196,9 @@ def test_removed_and_dropped_records_are_counted_while_the_query_runs(spark, tmp
         {"customer_id": 0, "rating": "9"}, {"session_id": "s"}, "{bad"])
     for start in (streaming.support, streaming.marketing):
         base = f"{tmp_path}/{start.__name__}"
-        assert observed(start(raw, f"{base}/out", f"{base}/cp"), "removals") == [(2, 1, 1)]
+        assert observed(start(raw, f"{base}/out", f"{base}/cp"), "removals") == [(2, 1, 1, 1)]
+    query = streaming.store_items(raw, f"{tmp_path}/items", f"{tmp_path}/items-cp", "customer_id", ["id"])
+    assert observed(query, "items") == [(3, 1, 1)]
     query = streaming.validate(raw, f"{tmp_path}/valid", f"{tmp_path}/valid-cp",
                                ["customer_id", "rating"])
     assert observed(query, "results") == [(5, 3, 2)]
@@ -207,8 +246,33 @@ def test_ingest_jobs_from_the_command_line(spark, tmp_path):
         args = jobs.parser().parse_args(argv + [
             "--feed", "pos", "--output", out, "--checkpoint", f"{tmp_path}/{argv[0]}-cp"])
         args.run(spark, args)
-        assert [r.transaction_id for r in spark.read.parquet(out).collect()] == ["t1"]
+        stored = spark.read.parquet(f"{out}/rows") if argv[0] == "ingest" else streaming.announced_rows(spark, out)
+        assert [r.transaction_id for r in stored.collect()] == ["t1"]
+
+
+def test_publish_jobs_from_the_command_line(spark, tmp_path):
+    event = json.dumps({"Records": [{"kinesis": {"data": wrap(p)}} for p in FIRST]})
+    spark.createDataFrame([(event,)], "event string").write.parquet(f"{tmp_path}/events")
+
+    def run(name, *argv):
+        args = jobs.parser().parse_args([
+            "stream", "--kind", "publish", "--schema", "event string", "--data-column", "event", "--events",
+            "--option", f"path={tmp_path}/events", "--output", f"{tmp_path}/{name}",
+            "--checkpoint", f"{tmp_path}/{name}-cp", *argv])
+        args.run(spark, args)
 
+    run("plain")
+    sent = spark.read.schema("key string, value string").json(f"{tmp_path}/plain").collect()
+    assert sorted(json.dumps(json.loads(r.value)) for r in sent) == sorted(
+        json.dumps(p) for p in FIRST if isinstance(p, dict))
+    run("enveloped", "--envelope")
+    wrapped = [json.loads(r.value) for r in
+               spark.read.schema("key string, value string").json(f"{tmp_path}/enveloped").collect()]
+    assert {w["source"] for w in wrapped} == {"api-gateway"}
+    assert sorted(w["data"]["id"] for w in wrapped) == [1, 2, 3, 4, 5]
+    run("packed", "--pack", "2", "--sink", "parquet")
+    sends = spark.read.parquet(f"{tmp_path}/packed").collect()
+    assert sorted(len(r.entries) for r in sends) == [1, 2, 2]
 
 def test_polling_trigger(spark, tmp_path):
     raw = deliveries(spark, f"{tmp_path}/in", FIRST)

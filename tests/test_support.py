@@ -64,37 +64,45 @@ def test_stream_mart_cleaned_to_nothing_gives_zeros(spark):
     assert tuple(row) == (0.0, "{}", 0.0, AS_OF)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 50, 10_000])
-def test_previous_is_the_same_whichever_way_a_key_is_handled(spark, hot_rows):
-    """One customer holds most rows, many of them at the same instant."""
+@pytest.mark.parametrize("width", [1.0, 50.0, 3600.0])
+def test_previous_is_the_same_for_all_slices(spark, width):
+    """One customer holds most rows, many of them at the same instant; some have none, or no time."""
     pick = random.Random(7)
-    rows = [(pick.choice([1, 1, 1, 1, 2, 3, 4 + i % 40]), "Feedback", None,
-             float(pick.choice([5, 5, 5, pick.randrange(500)]))) for i in range(3000)]
+    rows = [(pick.choice([1, 1, 1, 1, 2, 3, None, None, 4 + i % 40]), "Feedback", None,
+             pick.choice([5.0, 5.0, 5.0, None, -7.5, float(pick.randrange(500))])) for i in range(3000)]
     got = {r.id: r.prev_timestamp
-           for r in with_previous(crm(spark, rows), hot_rows=hot_rows).collect()}
+           for r in with_previous(crm(spark, rows), width=width).collect()}
     want, last = {}, {}
-    for i in sorted(range(len(rows)), key=lambda i: (rows[i][0], rows[i][3], i)):
+    for i in sorted(range(len(rows)), key=lambda i: (str(rows[i][0]), rows[i][3] is not None, rows[i][3] or 0, i)):
         customer, _, _, moment = rows[i]
         want[i] = last.get(customer)
         last[customer] = moment
     assert got == want
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10_000])
-def test_previous_of_copies(spark, hot_rows):
+def test_previous_of_copies(spark):
     """Copies of one record agree in every column, id included."""
     rows = spark.createDataFrame(
         [(1, 1, "Complaint", None, 5.0)] * 900 + [(2, 1, "Resolution", None, 65.0)] * 600
         + [(3, 2, "Resolution", None, 1.0)], CRM_LOGS).repartition(7)
-    seen = with_previous(rows, hot_rows=hot_rows)
+    seen = with_previous(rows)
     counts = {tuple(r)[:2]: r["count"]
               for r in seen.groupBy("timestamp", "prev_timestamp").count().collect()}
     assert counts == {(5.0, None): 1, (5.0, 5.0): 899, (65.0, 5.0): 1, (65.0, 65.0): 599,
                       (1.0, None): 1}
-    average = support.time_to_resolution(rows, hot_rows).first()[0]
+    average = support.time_to_resolution(rows).first()[0]
     assert average == 1.0 / 600
 
 
+def test_no_window_holds_a_whole_key(spark):
+    """Rows of a key are ordered inside slices; per key only the slices are."""
+    seen = with_previous(crm(spark, [(1, "Feedback", None, 5.0)]))
+    plan = seen._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 2
+    assert any("_slice" in line for line in windows) and any("_edge_key" in line for line in windows)
+
+
 def test_volume_json_can_name_rows_without_type(spark):
     c = crm(spark, [(1, None, None, 1.0), (1, "A", None, 1.0)])
     assert support.interaction_volume_json(c).first()[0] == '{"A":1}'
