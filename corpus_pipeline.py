@@ -7,36 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from storelens.llm import decontamination, mixing, queries, simhash, tokenfiles, toxicity
-from storelens.llm.common import read_table, ready, stored
+from storelens.llm.common import read_table, stored
+from storelens.session import prepare
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the toxicity score, learned from the labels, doesn't reject."""
-    ready(spark)
+    prepare(spark)
     return toxicity.clean(docs, toxicity.learn(docs, read_table(spark, sf_dir, "labels")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    ready(spark)
+    prepare(spark)
     return simhash.one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in which no benchmark item stands."""
-    ready(spark)
+    prepare(spark)
     return decontamination.decontaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    ready(spark)
+    prepare(spark)
     return mixing.mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of what is left, and their digest."""
-    ready(spark)
+    prepare(spark)
     return tokenfiles.token_digest(docs, queries.TOKENIZER)
 
 

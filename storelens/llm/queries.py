@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, html, licenses, mixing, quality, sharding, simhash, tokenfiles, topk,
-               toxicity)
-from .common import read_table, ready, whole_text
+from ..session import prepare
+from . import (decontamination, html, licenses, mixing, quality, sharding, simhash, sql, tokenfiles,
+               topk, toxicity)
+from .common import read_table, whole_text
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -19,30 +20,30 @@ SQL: dict[str, str] = {}
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
-def query(sql: str | None = None) -> Callable[[Run], Run]:
+def query(oracle: str | None = None) -> Callable[[Run], Run]:
     def register(run: Run) -> Run:
         def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ready(spark)
+            prepare(spark)
             return run(spark, sf_dir)
         QUERIES[run.__name__] = prepared
-        if sql:
-            SQL[run.__name__] = sql
+        if oracle:
+            SQL[run.__name__] = oracle
         return run
     return register
 
 
-@query()
+@query(sql.TOP_K)
 def op1_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantized(read_table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
-@query()
+@query(sql.MIXING)
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(read_table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(sql.license_scan())
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
 
