@@ -33,11 +33,13 @@ _WORD = re.compile(r"[^\W\d_]+")
 SHORTEST, LONGEST = 3, 12
 # Entries of the lexicon and exception phrases that are kept.
 MOST_ENTRIES, MOST_EXCEPTIONS = 500, 500
-# Evidence (twice the log-likelihood ratio) that an entry or exception needs, far beyond what the
-# best of a million candidates reaches by chance.
-EVIDENCE = 36.0
+# Evidence (twice the log-likelihood ratio) that an exception needs. An entry needs this much beyond
+# what the best of all candidates reaches by chance, and a candidate so many documents.
+EVIDENCE, LEAST_DOCUMENTS = 10.0, 5
+# Share of a document's words from which a prefix counts as dense.
+DENSE = 0.005
 # Different prefixes a task counts before it hands them on.
-_COUNTED = 400_000
+_COUNTED = 100_000
 FOLDS, FOLD = 5, 0
 
 
@@ -112,28 +114,39 @@ def evidence(with_1: np.ndarray, with_0: np.ndarray, all_1: int, all_0: int) ->
 
 
 def _prefix_counts(sample: DataFrame) -> DataFrame:
-    """``prefix, ones, zeros``: documents of either label with a word that begins so."""
+    """``prefix`` and how many documents of either label have a word that begins so (``ones, zeros``),
+    and how many have several such words in close order (``dense_ones, dense_zeros``)."""
+    names = ["ones", "zeros", "dense_ones", "dense_zeros"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
+        counts: dict[str, list[int]] = {}
 
         def rows() -> pa.RecordBatch:
-            names = list({*counts[0], *counts[1]})
-            columns = [pa.array(names, pa.string()), *[pa.array([c[n] for n in names], pa.int64()) for c in counts[::-1]]]
-            for c in counts:
-                c.clear()
-            return pa.RecordBatch.from_arrays(columns, ["prefix", "ones", "zeros"])
+            columns = [pa.array(list(counts), pa.string()),
+                       *[pa.array([c[i] for c in counts.values()], pa.int64()) for i in range(len(names))]]
+            counts.clear()
+            return pa.RecordBatch.from_arrays(columns, ["prefix", *names])
 
         for batch in batches:
             for text, label in zip(batch.column(0), batch.column(1)):
-                words = set(_WORD.findall(fold(text.as_py() or "")))
-                counts[1 if label.as_py() else 0].update(
-                    {w[:n] for w in words for n in range(SHORTEST, min(LONGEST, len(w)) + 1)})
-                if len(counts[0]) + len(counts[1]) > _COUNTED:
+                words = Counter(_WORD.findall(fold(text.as_py() or "")))
+                found: Counter[str] = Counter()
+                for word, times in words.items():
+                    for n in range(SHORTEST, min(LONGEST, len(word)) + 1):
+                        found[word[:n]] += times
+                side, many = int(not label.as_py()), max(2, DENSE * words.total())
+                for prefix, times in found.items():
+                    own = counts.setdefault(prefix, [0, 0, 0, 0])
+                    own[side] += 1
+                    if times >= many:
+                        own[2 + side] += 1
+                if len(counts) > _COUNTED:
                     yield rows()
         yield rows()
 
-    parts = sample.select("text", "label").mapInArrow(run, "prefix string, ones long, zeros long")
-    return parts.groupBy("prefix").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
+    parts = sample.select("text", "label").mapInArrow(
+        run, "prefix string, " + ", ".join(f"{name} long" for name in names))
+    return parts.groupBy("prefix").agg(*[F.sum(name).alias(name) for name in names])
 
 
 def _phrase_counts(sample: DataFrame, automaton: ahocorasick.Automaton) -> DataFrame:
@@ -161,17 +174,22 @@ def _phrase_counts(sample: DataFrame, automaton: ahocorasick.Automaton) -> DataF
     return parts.groupBy("phrase").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
 
 
-def choose(candidates: Iterable[tuple[str, int, int]], all_1: int, all_0: int) -> dict[str, float]:
+def choose(candidates: Iterable[tuple[str, int, int, int, int]], all_1: int, all_0: int,
+           needed: float) -> dict[str, float]:
     """The entries of the lexicon: word beginnings in the order of their evidence (the longest of
-    equals), none of which begins another. The weight is the log of the odds."""
+    equals), none of which begins another. The evidence is that of their presence or that of their
+    density, whichever is more; the weight is the log of the odds."""
     rows = list(candidates)
-    proof = evidence(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), all_1, all_0)
+    counts = np.array([r[1:] for r in rows], dtype=float).reshape(-1, 4)
+    proofs = np.stack([evidence(counts[:, i], counts[:, i + 1], all_1, all_0) for i in (0, 2)])
+    best = proofs.argmax(axis=0)
     chosen: dict[str, float] = {}
-    for i in sorted(range(len(rows)), key=lambda i: (-proof[i], -len(rows[i][0]), rows[i][0])):
-        prefix, ones, zeros = rows[i]
-        if proof[i] < EVIDENCE or len(chosen) == MOST_ENTRIES:
+    for i in sorted(range(len(rows)), key=lambda i: (-proofs[best[i], i], -len(rows[i][0]), rows[i][0])):
+        prefix = rows[i][0]
+        if proofs[best[i], i] < needed or len(chosen) == MOST_ENTRIES:
             break
         if not any(c.startswith(prefix) or prefix.startswith(c) for c in chosen):
+            ones, zeros = counts[i, 2 * best[i]:2 * best[i] + 2]
             odds = math.log((ones + 0.5) / (all_1 + 1) / ((zeros + 0.5) / (all_0 + 1)))
             chosen[prefix] = min(6.0, max(0.1, odds))
     return chosen
@@ -181,28 +199,35 @@ def learn(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> L
     """Lexicon, exceptions and calibration from about ``rows`` labelled documents that are not held
     out. Without both labels the lexicon is empty and the score even.
 
-    Documents whose least word hash agrees count once for the lexicon, so that a text with many copies
-    doesn't lift its words. Candidates come to the driver only with enough documents to reach the
+    Documents whose least hash of three words in a row agrees count once for the lexicon, so that a text
+    with many copies doesn't lift its words. Candidates come to the driver only with enough documents to reach the
     evidence asked for, which bounds them by the size of the sample.
     """
     sample = stored(labelled_sample(documents, labels, "toxic", FOLDS, FOLD, rows), "toxicity")
-    spread = sample.withColumn("_likeness", F.array_min(F.transform(
-        F.split(F.lower(whole_text()), r"\s+"), lambda w: F.xxhash64(w)))).dropDuplicates(["_likeness", "label"])
-    spread = stored(spread, "toxicity")
+    words = F.col("_words")
+    pairs = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.xxhash64(a, b))
+    triples = F.zip_with(pairs, F.slice(words, 3, F.size(words)), lambda a, b: F.xxhash64(a, b))
+    spread = stored(
+        sample.withColumn("_words", F.split(F.lower(whole_text()), r"\s+"))
+        .withColumn("_likeness", F.array_min(triples))
+        .dropDuplicates(["_likeness", "label"]).select("text", "label"), "toxicity")
     totals = spread.agg(F.sum(F.col("label")).alias("ones"), F.count("*").alias("n")).first()
     all_1, all_0 = totals["ones"] or 0, (totals["n"] or 0) - (totals["ones"] or 0)
     if not all_1 or not all_0:
         return Lexicon({}, [], [0.0, 0.0, 0.0])
-    least = math.ceil(EVIDENCE / 2 / math.log((all_1 + all_0) / all_1))
-    likely = F.col("ones") * all_0 > F.col("zeros") * all_1
-    found = _prefix_counts(spread).filter((F.col("ones") >= least) & likely).collect()
-    weights = choose([(r["prefix"], r["ones"], r["zeros"]) for r in found], all_1, all_0)
+    counted = stored(_prefix_counts(spread), "toxicity")
+    tested = counted.filter(F.col("ones") + F.col("zeros") >= LEAST_DOCUMENTS).count()
+    needed = EVIDENCE + 2 * math.log(max(1, tested))
+    least = math.ceil(needed / 2 / math.log((all_1 + all_0) / all_1))
+    likely = [(F.col(a) >= least) & (F.col(a) * all_0 > F.col(b) * all_1)
+              for a, b in (("ones", "zeros"), ("dense_ones", "dense_zeros"))]
+    weights = choose(map(tuple, counted.filter(likely[0] | likely[1]).collect()), all_1, all_0, needed)
     lexicon = Lexicon(weights, [], [])
     # Exceptions: phrases that speak for the other label.
-    spared = (_phrase_counts(spread, lexicon.automaton()).filter(F.col("zeros") >= 5)
+    spared = (_phrase_counts(spread, lexicon.automaton()).filter(F.col("zeros") >= LEAST_DOCUMENTS)
               .orderBy(F.col("zeros").desc(), "phrase").limit(20 * MOST_EXCEPTIONS).collect())
     proof = evidence(np.array([r["zeros"] for r in spared]), np.array([r["ones"] for r in spared]), 1, 1)
-    exceptions = [r["phrase"] for r, p in zip(spared, proof) if p >= EVIDENCE / 6 and r["ones"] == 0][:MOST_EXCEPTIONS]
+    exceptions = [r["phrase"] for r, p in zip(spared, proof) if p >= EVIDENCE and r["ones"] == 0][:MOST_EXCEPTIONS]
     lexicon = Lexicon(weights, exceptions, [])
     measured = _features(sample, lexicon).toPandas()
     x = measured[["share", "weight"]].to_numpy(dtype=float)
