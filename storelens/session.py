@@ -24,6 +24,8 @@ RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # What goes to Python comes in batches of so many bytes, however long the texts are.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 
 
