@@ -38,7 +38,7 @@ BUCKET_KEYS = 2_000
 # Keys that share a displacement, on average.
 GROUP_KEYS = 4
 # Encodings of words, and of parts of words, that each Python process keeps.
-CACHE_WORDS, CACHE_PARTS = 400_000, 500_000
+CACHE_WORDS, CACHE_PARTS = 300_000, 400_000
 _BATCH_BYTES = 8 << 20
 
 MANIFEST = "doc_id long, repeat long, shard int, pos long, offset long, n_tokens long"
