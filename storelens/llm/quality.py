@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, whole_text
+from .common import whole_text
 from .labels import SAMPLE_ROWS, held_out, labelled_sample
 
 FOLDS, FOLD = 4, 2
@@ -18,14 +18,20 @@ LEARNING_RATE = 0.4
 LEAST_LEAF = 10
 LASSO = 2e-3
 THRESHOLD = 0.7
+STATISTICS = ["words", "word_length", "different_words", "lines", "different_lines", "words_a_line", "symbols",
+              "bars", "exclaimed", "stops", "capitals", "digits"]
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """The statistics the rules speak of. Shares are of characters, words or lines; 0 for none."""
-    length = F.length(text)
-    words = F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " ")
-    count = F.when(F.trim(text) == "", 0).otherwise(F.size(words))
-    lines = F.split(text, "\n")
+def with_statistics(rows: DataFrame, *keep: str) -> DataFrame:
+    """The kept columns and ``_of``, a struct of the statistics the rules speak of. Shares are of
+    characters, words or lines; 0 for none.
+
+    Words and lines are split once, in a projection below.
+    """
+    split = rows.select(*keep, whole_text().alias("_text"),
+                        F.split(whole_text(), r"\s+").alias("_words"), F.split(whole_text(), "\n").alias("_lines"))
+    text, words, lines = F.col("_text"), F.col("_words"), F.col("_lines")
+    length, count, rows_of = F.length(text), F.when(text == "", 0).otherwise(F.size(words)), F.size(lines)
 
     def share(part: Column, whole: Column) -> Column:
         return F.when(whole > 0, part / whole.cast("double")).otherwise(0.0)
@@ -33,13 +39,13 @@ def statistics(text: Column) -> dict[str, Column]:
     def of(*marks: str) -> Column:
         return reduce(lambda a, b: a + b, [length - F.length(F.replace(text, F.lit(m), F.lit(""))) for m in marks])
 
-    return {
+    measures = {
         "words": count.cast("double"),
         "word_length": share(length, count),
         "different_words": share(F.size(F.array_distinct(words)), count),
-        "lines": F.size(lines).cast("double"),
-        "different_lines": share(F.size(F.array_distinct(lines)), F.size(lines)),
-        "words_a_line": share(count, F.size(lines)),
+        "lines": rows_of.cast("double"),
+        "different_lines": share(F.size(F.array_distinct(lines)), rows_of),
+        "words_a_line": share(count, rows_of),
         "symbols": share(of("#", "$", "%", "&", "*", "@", "~", "^", "="), length),
         "bars": share(of("|", "\t"), length),
         "exclaimed": share(of("!", "?"), length),
@@ -47,6 +53,7 @@ def statistics(text: Column) -> dict[str, Column]:
         "capitals": share(length - F.length(F.regexp_replace(text, "[A-Z]+", "")), length),
         "digits": share(length - F.length(F.regexp_replace(text, "[0-9]+", "")), length),
     }
+    return split.select(*keep, F.struct(*[measures[n].alias(n) for n in STATISTICS]).alias("_of"))
 
 
 class Condition(NamedTuple):
@@ -140,8 +147,7 @@ def fit_rules(x: np.ndarray, y: np.ndarray) -> tuple[list[Rule], float]:
 def learn(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[Rule], float]:
     """Rules from about ``rows`` labelled documents that are not held out."""
     sample = labelled_sample(documents, labels, "quality", FOLDS, FOLD, rows)
-    measured = stored(sample.select("label", *[c.alias(n) for n, c in statistics(whole_text()).items()]), "quality")
-    frame = measured.toPandas()
+    frame = with_statistics(sample, "label").select("label", "_of.*").toPandas()
     return fit_rules(frame.drop(columns="label").to_numpy(dtype=float), frame["label"].to_numpy(dtype=float))
 
 
@@ -162,12 +168,9 @@ def score(documents: DataFrame, rules: list[Rule], intercept: float) -> DataFram
     labels the score is the same for all. Repeated rows give a row each, null ids keep theirs; an
     empty table gives none; other columns are ignored.
     """
-    measures = statistics(whole_text())
-    # Statistics come before the rules in a projection of their own, or each rule would compute them anew.
-    measured = documents.select("doc_id", F.struct(*[c.alias(n) for n, c in measures.items()]).alias("_of"))
-    names = [f"_of.{n}" for n in measures]
     return (
-        measured.withColumn("score", compiled(rules, intercept, names))
+        with_statistics(documents, "doc_id")
+        .withColumn("score", compiled(rules, intercept, [f"_of.{n}" for n in STATISTICS]))
         .select("doc_id", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out"), "score",
                 (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
     )
