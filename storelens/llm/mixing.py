@@ -12,7 +12,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 MOST_EPOCHS = 3
 # Sampling weights are clipped to this range, which bounds the rows of a key bucket.
 LEAST_WEIGHT, MOST_WEIGHT = 0.25, 1.0
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 
 
 def word_count(text: Column) -> Column:
