@@ -33,16 +33,18 @@ def crm_required(df: DataFrame, timestamp_too: bool = False) -> DataFrame:
     return _present(df, "customer_id", *(["timestamp"] if timestamp_too else []))
 
 
-def is_truthy(df: DataFrame, column: str) -> Column:
-    """Whether an id is neither null nor empty nor zero, as a number or as its text."""
+def is_truthy(df: DataFrame, column: str, numeric: bool = False) -> Column:
+    """Whether an id is neither null nor empty (text) nor zero (number). ``numeric`` says that a text may
+    be that of a number, as those of records read as text."""
     value = F.col(column)
-    if isinstance(df.schema[column].dataType, StringType):
-        return value.isNotNull() & (value != "") & F.coalesce(number(value) != 0, F.lit(True))
-    return value.isNotNull() & (value != F.lit(0))
+    if not isinstance(df.schema[column].dataType, StringType):
+        return value.isNotNull() & (value != F.lit(0))
+    given = value.isNotNull() & (value != "")
+    return given & F.coalesce(number(value) != 0, F.lit(True)) if numeric else given
 
 
-def truthy(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(is_truthy(df, column))
+def truthy(df: DataFrame, column: str, numeric: bool = False) -> DataFrame:
+    return df.filter(is_truthy(df, column, numeric))
 
 
 def is_engagement() -> Column:

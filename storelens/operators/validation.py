@@ -70,7 +70,7 @@ def result_counts(validated: DataFrame) -> DataFrame:
 
 def removal_columns(records: DataFrame) -> list[Column]:
     """What cleaning will remove from the records of a customer, and why."""
-    routed = is_truthy(records, "customer_id")
+    routed = is_truthy(records, "customer_id", numeric=True)
     complete = routed & F.col("timestamp").isNotNull()
     off_scale = ~number(F.col("rating")).between(RATING_MIN, RATING_MAX)
     return [

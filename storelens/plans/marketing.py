@@ -77,7 +77,7 @@ def marketing_kpis_of_records(records: DataFrame,
     A record with both a session and a customer id counts on both sides. All KPIs come from sums per
     session, so that the records are read once.
     """
-    is_crm, is_web = is_truthy(records, "customer_id"), is_truthy(records, "session_id")
+    is_crm, is_web = is_truthy(records, "customer_id", numeric=True), is_truthy(records, "session_id")
     moment = number(F.col("timestamp"))
     rating = F.when(is_crm & is_engagement(), number(F.col("rating")))
     # Records that belong to no session share the null one.

@@ -83,7 +83,7 @@ def support_kpis(crm: DataFrame, as_of: dt.datetime | str | None = None) -> Data
 
 def clean_interactions(records: DataFrame) -> DataFrame:
     """Records of a customer, complete and with a usable or missing rating."""
-    return rating_in_range(crm_required(truthy(records, "customer_id"), timestamp_too=True))
+    return rating_in_range(crm_required(truthy(records, "customer_id", numeric=True), timestamp_too=True))
 
 
 def _clean(records: DataFrame) -> Column:
@@ -134,7 +134,7 @@ def support_kpis_of_records(records: DataFrame, as_of: dt.datetime | str | None
     sums per customer, instant and type, and the records are read once: those that cleaning
     removes are counted beside the others.
     """
-    routed = truthy(records, "customer_id")
+    routed = truthy(records, "customer_id", numeric=True)
     per_type = _instants(routed, _clean(routed)).groupBy("interaction_type").agg(
         F.sum(F.when(F.col("clean"), F.col("n"))).alias("volume"), F.sum("n").alias("routed"),
         *[F.sum(c).alias(c) for c in ("total", "rated", "minutes", "resolved")])

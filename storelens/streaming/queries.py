@@ -18,7 +18,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.payload import tagged_payload
-from ..operators.filters import is_truthy
 from ..operators.previous import with_previous
 from ..operators.validation import removal_columns, result_columns, validate_records
 from ..plans.marketing import marketing_kpis_of_records
@@ -213,7 +212,7 @@ def windowed_support(raw: DataFrame, path: str, checkpoint: str, width: str = "1
     """Support KPIs per tumbling window of event time and type: volume and average rating. A window is
     written once, when the watermark passes its end."""
     records = read_records(raw, encoded=encoded)
-    rows = clean_interactions(records.filter(F.col("decoded") & is_truthy(records, "customer_id")))
+    rows = clean_interactions(records.filter("decoded"))
     timed = rows.withColumn("event_time", F.timestamp_seconds("timestamp")).withWatermark("event_time", delay)
     kpis = timed.groupBy(F.window("event_time", width), "interaction_type").agg(
         F.count("*").alias("volume"), F.avg("rating").alias("feedback_score"))

@@ -37,6 +37,7 @@ def test_truthy_by_type(spark):
     df = spark.createDataFrame([(0, ""), (None, None), (5, "0")], "n bigint, s string")
     assert [r.n for r in filters.truthy(df, "n").collect()] == [5]
     assert [r.s for r in filters.truthy(df, "s").collect()] == ["0"]
+    assert filters.truthy(df, "s", numeric=True).count() == 0
 
 
 def test_rating_range(spark):
