@@ -37,8 +37,8 @@ END_ID = 1
 BUCKET_KEYS = 2_000
 # Keys that share a displacement, on average.
 GROUP_KEYS = 4
-# Encodings of words, and of parts of words, that each Python process keeps.
-CACHE_WORDS, CACHE_PARTS = 300_000, 400_000
+# Encodings of parts of words that each Python process keeps.
+CACHE_PARTS = 700_000
 _BATCH_BYTES = 8 << 20
 
 MANIFEST = "doc_id long, repeat long, shard int, pos long, offset long, n_tokens long"
@@ -48,14 +48,15 @@ class WordEncoder:
     """Encodes texts by their words, through a ``tokenizers`` tokenizer that lowers the case and never
     joins a token across white space, nor across the border of letters and other marks.
 
-    Encodings of words are kept, and so are those of the letters and marks that plain words consist
-    of: an unseen word is often a seen one in other case or before other marks.
+    Words are split and told apart by Arrow; plain ones consist of letters and of marks behind them. The
+    library encodes these parts, each once as long as it is kept, and what isn't plain as a whole. The
+    ids of the texts are then gathered with numpy.
     """
 
     # Arrow takes these for white space, the tokenizer doesn't.
     ODD = re.compile("[\x1c-\x1f]")
     # Latin letters and then ASCII marks. Apostrophes are left out: the tokenizer cuts at some.
-    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
+    PLAIN = "^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-&(-/:-@\\[-`{-~]*)$"
 
     def __init__(self, path: str) -> None:
         # The cores belong to Spark's tasks.
@@ -63,8 +64,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
@@ -75,37 +75,43 @@ class WordEncoder:
             plain[i] = ""
         split = pc.utf8_split_whitespace(pa.array(plain, pa.string()))
         coded = split.flatten().dictionary_encode()
+        pieces, first, second = self._pieces(coded.dictionary)
+        lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // 4
+        pool = np.frombuffer(b"".join(pieces), dtype=np.uint32)
         codes = coded.indices.to_numpy()
-        encoded = self._encoded(coded.dictionary.to_pylist())
-        lengths = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded)) // 4
-        pool = np.frombuffer(b"".join(encoded), dtype=np.uint32)
-        each = lengths[codes]
+        used = np.stack([first[codes], second[codes]], axis=1).ravel()
+        each = lengths[used]
         ends = np.cumsum(each)
-        # Where the ids of each word stand in the pool, less where they go.
-        moves = (np.cumsum(lengths) - lengths)[codes] - (ends - each)
-        ids = pool[np.arange(len(pool) and ends[-1]) + np.repeat(moves, each)]
-        bounds = np.concatenate([[0], ends])[split.offsets.to_numpy()]
+        # Where the ids of each piece stand in the pool, less where they go.
+        moves = (np.cumsum(lengths) - lengths)[used] - (ends - each)
+        ids = pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(moves, each)]
+        bounds = np.concatenate([[0], ends[1::2]])[split.offsets.to_numpy()]
         out = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
         for i, data in zip(odd, whole):
             out[i] = np.frombuffer(data, dtype=np.uint32)
         return out
 
-    def _encoded(self, distinct: list[str]) -> list[bytes]:
-        known = self.words
-        new = [w for w in distinct if w not in known]
-        cut = list(map(self.PLAIN.fullmatch, new))
-        pairs = [(w, m[1].lower(), m[2]) for w, m in zip(new, cut) if m]
-        other = [w for w, m in zip(new, cut) if not m]
+    def _pieces(self, words: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Encoded pieces, and for each word the first and second piece that it consists of."""
+        cut = pc.extract_regex(words, self.PLAIN)
+        letters = pc.utf8_lower(pc.struct_field(cut, 0)).dictionary_encode()
+        marks = pc.struct_field(cut, 1).dictionary_encode()
+        other = cut.is_null().to_numpy(zero_copy_only=False)
+        known = [self._known(letters.dictionary.to_pylist()), self._known(marks.dictionary.to_pylist()),
+                 list(self._library(words.filter(pa.array(other)).to_pylist()))]
+        first = letters.indices.fill_null(0).to_numpy().astype(np.int64)
+        second = marks.indices.fill_null(0).to_numpy() + len(known[0])
+        first[other] = len(known[0]) + len(known[1]) + np.arange(other.sum())
+        second[other] = sum(map(len, known))
+        return [*known[0], *known[1], *known[2], b""], first, second
+
+    def _known(self, names: list[str]) -> list[bytes]:
         parts = self.parts
-        missing = list({part for _, *both in pairs for part in both if part not in parts})
+        missing = [name for name in names if name not in parts]
         parts.update(zip(missing, self._library(missing)))
-        known.update([(w, parts[letters] + parts[marks]) for w, letters, marks in pairs])
-        known.update(zip(other, self._library(other)))
-        out = [known[w] for w in distinct]
-        if len(known) > CACHE_WORDS:
-            self.words = dict(zip(distinct[:CACHE_WORDS], out))
+        out = [parts[name] for name in names]
         if len(parts) > CACHE_PARTS:
-            self.parts = {"": b""}
+            self.parts = {}
         return out
 
     def _library(self, texts: list[str]) -> Iterator[bytes]:
@@ -183,6 +189,9 @@ def write_files(documents: DataFrame, tokenizer_path: str, folder: str, end_id:
             yield pa.RecordBatch.from_arrays(columns, names=_MANIFEST_NAMES)
         if out:
             out.close()
+            # Some file systems don't rename onto a file that an earlier attempt has left.
+            if files.get_file_info(name).type != pafs.FileType.NotFound:
+                files.delete_file(name)
             files.move(attempt, name)
 
     keyed = documents.select("doc_id", whole_text().alias("text"))

@@ -65,7 +65,6 @@ def test_displacements_are_minimal_and_perfect():
 
 
 def test_word_encoding_equals_whole_texts(documents, monkeypatch):
-    monkeypatch.setattr(tokenfiles, "CACHE_WORDS", 50)
     monkeypatch.setattr(tokenfiles, "CACHE_PARTS", 20)
     texts = [r["text"] or "" for r in documents.limit(60).collect()]
     texts += ["a\x1cb \x1f c", "x\u0085y z　w", "e ́ é", "<|endoftext|>x <|startoftext|>", "ΣΣ İI",
