@@ -10,6 +10,7 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -102,27 +103,31 @@ def _json_rows(files: DataFrame, names: list[str]) -> DataFrame:
         F.when(F.col("text").isNull(), UNREADABLE).when(bad, NO_OBJECT).alias("reject"))
 
 
-def _cell(cell: Column, kind: T.DataType) -> tuple[Column, Column]:
-    """Value of a cell, and whether it has one that the type can't hold."""
-    given = F.when(~cell.isin(MISSING), cell)
+def _value(given: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
-        return F.when(cell != "", cell), F.lit(False)
+        return given
     value = number(given).try_cast(kind)
-    if isinstance(kind, T.LongType):
-        # Whole numbers beyond the exact range of doubles are read as they stand.
-        value = F.coalesce(given.try_cast("bigint"), value)
-    return value, given.isNotNull() & value.isNull()
+    # Whole numbers beyond the exact range of doubles are read as they stand.
+    return F.coalesce(given.try_cast("bigint"), value) if isinstance(kind, T.LongType) else value
 
 
 def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """``path, line, text, reject`` and the columns of the schema: rows with a cell that doesn't fit are
     rejects that name its column, and have no values."""
-    cells = [_cell(F.get("cells", i), f.dataType) for i, f in enumerate(schema)]
-    misfits = F.concat_ws(",", *[F.when(bad, F.lit(f.name)) for (_, bad), f in zip(cells, schema)])
-    reject = F.coalesce("reject", F.when(misfits != "", F.concat(F.lit("does not fit: "), misfits)))
-    rows = rows.withColumn("reject", reject)
-    return rows.select("path", "line", "text", "reject",
-                       *[F.when(F.col("reject").isNull(), value).alias(f.name) for (value, _), f in zip(cells, schema)])
+    base = ["path", "line", "text", "reject"]
+    texts = [isinstance(f.dataType, T.StringType) for f in schema]
+    given = [F.when(F.get("cells", i) != "" if text else ~F.get("cells", i).isin(MISSING), F.get("cells", i)).alias(f"_g{i}")
+             for i, text in enumerate(texts)]
+    # The generators keep the cells from being read anew for each use of them below.
+    rows = rows.select(*base, F.inline(F.array(F.struct(*given))))
+    values = [_value(F.col(f"_g{i}"), f.dataType).alias(f"_v{i}") for i, f in enumerate(schema)]
+    rows = rows.select(*base, *[f"_g{i}" for i in range(len(texts))], F.inline(F.array(F.struct(*values))))
+    bad = [F.col(f"_g{i}").isNotNull() & F.col(f"_v{i}").isNull() for i in range(len(texts))]
+    fits = F.col("reject").isNull() & ~reduce(lambda a, b: a | b, bad)
+    misfits = F.concat_ws(",", *[F.when(b, F.lit(f.name)) for b, f in zip(bad, schema)])
+    reject = F.when(~fits, F.coalesce("reject", F.concat(F.lit("does not fit: "), misfits)))
+    return rows.select("path", "line", "text", reject.alias("reject"),
+                       *[F.when(fits, F.col(f"_v{i}")).alias(f.name) for i, f in enumerate(schema)])
 
 
 def parse_csv(files: DataFrame, schema: T.StructType) -> DataFrame:

@@ -116,11 +116,15 @@ def store_items(raw: DataFrame, path: str, checkpoint: str, key: str, order: lis
 
 def _ingest(files: DataFrame, schema: StructType, parse: ParseFiles, path: str, batch_id: int,
             query: str, day: dt.date | str | None) -> None:
-    rows = parse(files, schema)
+    # Parsed once for both writes; what memory can't hold goes to the executors' disks.
+    rows = parse(files, schema).persist()
     date = F.current_date() if day is None else F.lit(str(day)).cast("date")
     fits = rows.filter(F.col("reject").isNull()).select(*schema.names, date.alias("ingest_date"))
-    write_batch(fits, f"{path}/rows", batch_id, query)
-    write_batch(landing.rejected(rows), f"{path}/rejects", batch_id, query)
+    try:
+        write_batch(fits, f"{path}/rows", batch_id, query)
+        write_batch(landing.rejected(rows), f"{path}/rejects", batch_id, query)
+    finally:
+        rows.unpersist()
 
 
 def ingest_files(files: DataFrame, schema: StructType, parse: ParseFiles, path: str, checkpoint: str,
