@@ -27,10 +27,12 @@ def read_payload(raw: DataFrame, schema: T.StructType, text: Column,
 
     Beside the kept columns: ``payload`` (the element's text), ``record`` (its fields) and
     ``decoded``. A payload or an element that is no object is not ``decoded``; other elements of
-    its list are. A field of the wrong type is null. ``inline`` keeps filters above the parsing, which
-    would otherwise be repeated inside each of them.
+    its list are. A field of the wrong type is null. Generators keep what is above from repeating the
+    decoding and parsing.
     """
     kept = keep or []
+    raw = raw.select(*kept, F.explode(F.array(text)).alias("_text"))
+    text = F.col("_text")
     listed = F.coalesce(F.from_json(text, "array<string>"), F.array(F.lit(None).cast("string")))
     elements = F.when(F.ltrim(text).startswith("["), listed).otherwise(F.array(text))
     rows = raw.select(*kept, F.explode(elements).alias("_element"))
@@ -72,7 +74,10 @@ def read_records(raw: DataFrame, schema: T.StructType = RECORD, data: str = "dat
     """
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     rows = read_payload(raw, texts, decode_text(F.col(data), encoded), keep)
-    return rows.select(*(keep or []), *[_typed(f) for f in schema], "payload", "decoded")
+    # Fields are computed once, however often plans above speak of them.
+    fields = F.inline(F.array(F.struct(*[_typed(f) for f in schema])))
+    rows = rows.select(*(keep or []), "payload", "decoded", fields)
+    return rows.select(*(keep or []), *schema.names, "payload", "decoded")
 
 
 def parse_records(raw: DataFrame, schema: T.StructType = RECORD, data: str = "data",
