@@ -18,9 +18,10 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: by SimHash, or at a five-word Jaccard similarity of
+    4/5 or more."""
     prepare(spark)
-    return simhash.one_of_each(docs)
+    return simhash.one_of_each(docs, by_overlap=True)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

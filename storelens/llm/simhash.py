@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import overlap
 from .common import stored, whole_text
 from .components import connected_components
 
@@ -178,13 +179,18 @@ def _dense(prints: DataFrame) -> DataFrame:
             .filter(F.col("a") != F.col("b")))
 
 
-def labelled(documents: DataFrame) -> DataFrame:
+def labelled(documents: DataFrame, by_overlap: bool = False) -> DataFrame:
     """``doc_id, content, fp, root, component_id`` of every document; ``root`` is the component's
-    smallest fingerprint. Documents with equal fingerprints meet in an aggregate, not as pairs."""
+    smallest fingerprint. Documents with equal fingerprints meet in an aggregate, not as pairs.
+    ``by_overlap`` also links texts at a five-word Jaccard similarity of 4/5 or more."""
     rows = stored(fingerprints(documents), "fingerprints")
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     classes = stored(classes, "classes")
-    found = connected_components(links(classes.select("fp")))
+    linked = links(classes.select("fp"))
+    if by_overlap:
+        linked = stored(linked, "links")
+        linked = linked.union(overlap.links(documents, rows, linked))
+    found = connected_components(linked)
     named = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
     least = named.groupBy(F.col("root").alias("_root")).agg(F.min("least").alias("component_id"))
@@ -205,13 +211,14 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return labelled(documents).select("doc_id", "fp", "component_id")
 
 
-def one_of_each(documents: DataFrame) -> DataFrame:
+def one_of_each(documents: DataFrame, by_overlap: bool = False) -> DataFrame:
     """The documents, one of each near-duplicate component: the one whose doc_id names it.
+    ``by_overlap`` also links texts at a five-word Jaccard similarity of 4/5 or more.
 
     Where rows repeat this doc_id the one with the smallest fingerprint and content hash stays, and
     one of those that repeat these too. A component without ids keeps one row alike.
     """
-    naming = labelled(documents).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    naming = labelled(documents, by_overlap).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = (naming.groupBy("root").agg(F.min(F.struct("fp", "content", "doc_id")).alias("_kept"))
             .select(F.col("_kept.doc_id").alias("_id"), F.col("_kept.content").alias("_kept_content")))
     copies = Window.partitionBy("doc_id", "_content").orderBy(F.lit(0))
