@@ -31,8 +31,6 @@ _FOLD = str.maketrans(HOMOGLYPHS | DIGITS | _WIDE)
 _WORD = re.compile(r"[^\W\d_]+")
 
 SHORTEST, LONGEST = 3, 12
-# Entries of the lexicon and exception phrases that are kept.
-MOST_ENTRIES, MOST_EXCEPTIONS = 500, 500
 # Evidence (twice the log-likelihood ratio) that an exception needs. An entry needs this much beyond
 # what the best of all candidates reaches by chance, and a candidate so many documents.
 EVIDENCE, LEAST_DOCUMENTS = 10.0, 5
@@ -184,11 +182,14 @@ def choose(candidates: Iterable[tuple[str, int, int, int, int]], all_1: int, all
     proofs = np.stack([evidence(counts[:, i], counts[:, i + 1], all_1, all_0) for i in (0, 2)])
     best = proofs.argmax(axis=0)
     chosen: dict[str, float] = {}
+    begun: set[str] = set()
     for i in sorted(range(len(rows)), key=lambda i: (-proofs[best[i], i], -len(rows[i][0]), rows[i][0])):
         prefix = rows[i][0]
-        if proofs[best[i], i] < needed or len(chosen) == MOST_ENTRIES:
+        if proofs[best[i], i] < needed:
             break
-        if not any(c.startswith(prefix) or prefix.startswith(c) for c in chosen):
+        beginnings = [prefix[:n] for n in range(1, len(prefix) + 1)]
+        if prefix not in begun and not any(b in chosen for b in beginnings):
+            begun.update(beginnings)
             ones, zeros = counts[i, 2 * best[i]:2 * best[i] + 2]
             odds = math.log((ones + 0.5) / (all_1 + 1) / ((zeros + 0.5) / (all_0 + 1)))
             chosen[prefix] = min(6.0, max(0.1, odds))
@@ -223,11 +224,12 @@ def learn(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> L
               for a, b in (("ones", "zeros"), ("dense_ones", "dense_zeros"))]
     weights = choose(map(tuple, counted.filter(likely[0] | likely[1]).collect()), all_1, all_0, needed)
     lexicon = Lexicon(weights, [], [])
-    # Exceptions: phrases that speak for the other label.
-    spared = (_phrase_counts(spread, lexicon.automaton()).filter(F.col("zeros") >= LEAST_DOCUMENTS)
-              .orderBy(F.col("zeros").desc(), "phrase").limit(20 * MOST_EXCEPTIONS).collect())
-    proof = evidence(np.array([r["zeros"] for r in spared]), np.array([r["ones"] for r in spared]), 1, 1)
-    exceptions = [r["phrase"] for r, p in zip(spared, proof) if p >= EVIDENCE and r["ones"] == 0][:MOST_EXCEPTIONS]
+    # Exceptions: phrases that speak for the other label, and stand in so many of its documents only that
+    # their evidence, 2 n log 2, suffices.
+    enough = max(LEAST_DOCUMENTS, math.ceil(EVIDENCE / 2 / math.log(2)))
+    spared = (_phrase_counts(spread, lexicon.automaton()).filter((F.col("ones") == 0) & (F.col("zeros") >= enough))
+              .orderBy(F.col("zeros").desc(), "phrase").collect())
+    exceptions = [r["phrase"] for r in spared]
     lexicon = Lexicon(weights, exceptions, [])
     measured = _features(sample, lexicon).toPandas()
     x = measured[["share", "weight"]].to_numpy(dtype=float)

@@ -152,3 +152,22 @@ def test_rules_compile_to_what_was_fitted(spark):
     assert np.mean((np.array(got) > 0.5) == y) > 0.98
     proposed = 16 * 14
     assert len(rules) < proposed / 2
+
+
+def test_entries_and_exceptions_have_no_cap(spark):
+    letters = "bcdfghjklm"
+    names = [a + "a" + b + "o" + c for a in letters for b in letters for c in letters]
+    assert len(toxicity.choose([(n, 300, 0, 300, 0) for n in names], 1000, 1000, 30.0)) == len(names)
+    rng, rows = random.Random(4), []
+    for i in range(400):
+        some = [rng.choice(names) for _ in range(30)]
+        rows.append((i, " ".join([*some, *["scum"] * 4]) if i % 2 else " ".join(some)))
+    for i in range(20):
+        pairs = [f"scum {n}ix" for n in names[:700]]
+        rng.shuffle(pairs)
+        rows.append((1000 + i, " ".join(pairs)))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = documents.selectExpr("doc_id", "1 AS quality", "int(doc_id < 1000 AND doc_id % 2 = 1) AS toxic")
+    lexicon = toxicity.learn(documents, labels)
+    assert "scum" in lexicon.weights
+    assert {f"scum {n}ix" for n in names[:700]} <= set(lexicon.exceptions)
