@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 from collections.abc import Iterator
 from functools import reduce
 
@@ -28,7 +29,7 @@ MISSING = ["", "NA", "N/A", "n/a", "NaN", "nan", "NULL", "null", "None"]
 
 # Fixed value: columns of the file source.
 FILES = "path string, modificationTime timestamp, length bigint, content binary"
-UNREADABLE, TOO_LONG, NO_OBJECT = "unreadable file", "more cells than columns", "no object"
+UNREADABLE, TOO_LONG, NO_OBJECT = "unreadable", "more cells than columns", "no object"
 _BATCH_ROWS = 5_000
 
 
@@ -46,6 +47,24 @@ def stream_files(spark: SparkSession, path: str, glob: str, max_files: int | Non
     return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(path)
 
 
+def _records(lines: list[str]) -> Iterator[tuple[int, list[str] | None, str]]:
+    """Last line, cells and text of each CSV record. One that can't be parsed has no cells and ends with
+    its first line, after which parsing goes on; the text of others is not given."""
+    csv.field_size_limit(sys.maxsize)
+    at = 0
+    while at < len(lines):
+        first = at
+        reader = csv.reader((lines[i] for i in range(first, len(lines))), strict=True)
+        try:
+            for row in reader:
+                at = first + reader.line_num
+                yield at, row, ""
+            return
+        except csv.Error:
+            yield at + 1, None, lines[at].rstrip("\r\n")
+            at += 1
+
+
 def _csv_rows(files: DataFrame, names: list[str]) -> DataFrame:
     """``path, line, cells, text, reject`` of each row, cells in the order of ``names``.
 
@@ -56,18 +75,30 @@ def _csv_rows(files: DataFrame, names: list[str]) -> DataFrame:
              "reject": pa.string()}
 
     def rows(path: str, content: bytes) -> Iterator[tuple]:
+        whole, header, places = True, None, []
         try:
-            reader = csv.reader(io.StringIO(content.decode("utf-8-sig"), newline=""), strict=True)
-            header = [name.strip() for name in next(reader, [])]
-            places = [header.index(name) if name in header else None for name in names]
-            for row in reader:
-                if len(row) > len(header):
-                    yield path, reader.line_num, None, ",".join(row), TOO_LONG
-                elif row:
-                    cells = [row[p] if p is not None and p < len(row) else None for p in places]
-                    yield path, reader.line_num, cells, ",".join(row), None
-        except (UnicodeDecodeError, csv.Error) as error:
-            yield path, None, None, str(error), UNREADABLE
+            given = content.decode("utf-8-sig")
+        except UnicodeDecodeError:
+            whole, given = False, content.decode("utf-8-sig", "surrogateescape")
+        for line, row, text in _records(list(io.StringIO(given, newline=""))):
+            if not whole:
+                bytes_ = (text if row is None else ",".join(row)).encode("utf-8", "surrogateescape")
+                try:
+                    bytes_.decode("utf-8")
+                except UnicodeDecodeError:
+                    row, text = None, bytes_.decode("utf-8", "replace")
+            if row is None:
+                header = [] if header is None else header
+                yield path, line, None, text, UNREADABLE
+            elif header is None:
+                header = [name.strip() for name in row]
+                places = [header.index(name) if name in header else None for name in names]
+            elif len(row) > len(header):
+                # Without a header that can be read no cell has a name.
+                yield path, line, None, ",".join(row), TOO_LONG if header else UNREADABLE
+            elif row:
+                cells = [row[p] if p is not None and p < len(row) else None for p in places]
+                yield path, line, cells, ",".join(row), None
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def packed(some: list[tuple]) -> pa.RecordBatch:
@@ -147,10 +178,15 @@ def rejected(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("reject").isNotNull()).select("path", "line", "text", "reject")
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """``rows``; those that ``landed`` leaves out are counted by the observed metrics ``landing``."""
+    return rows.observe("landing", F.count("*").alias("rows"), F.count("reject").alias("rejected"))
+
+
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, glob: str = CSV_GLOB) -> DataFrame:
-    return landed(parse_csv(files(spark, path, glob), schema), schema)
+    return landed(_counted(parse_csv(files(spark, path, glob), schema)), schema)
 
 
 def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType,
               glob: str = JSON_GLOB) -> DataFrame:
-    return landed(parse_json(files(spark, path, glob), schema), schema)
+    return landed(_counted(parse_json(files(spark, path, glob), schema)), schema)

@@ -42,6 +42,21 @@ def test_csv_columns_go_by_name_and_nothing_is_lost(spark, tmp_path):
     rows.unpersist()
 
 
+def test_csv_rows_after_a_bad_one_are_kept(spark, tmp_path):
+    good = [f"t{i},1,2,3,4.5,,1\n" for i in range(7)]
+    big = "x" * 200_000
+    (tmp_path / "a.csv").write_bytes("".join(
+        [HEADER, good[0], 't10,"x"y,3\n', good[1], f"{big},1,2,3,4.5,,1\n", good[2], 't11,"open\n', good[3],
+         '"t,4",1,2,3,4.5,,1\n']).encode() + b"t12,\xff\n" + "".join(good[5:]).encode())
+    rows = landing.parse_csv(landing.files(spark, str(tmp_path), landing.CSV_GLOB), POS).cache()
+    ids = sorted(r.transaction_id for r in landing.landed(rows, POS).collect())
+    assert ids == sorted(["t0", "t1", "t2", "t3", "t,4", "t5", "t6", big])
+    bad = sorted((r.line, r.text, r.reject) for r in landing.rejected(rows).collect())
+    assert bad == [(3, 't10,"x"y,3', landing.UNREADABLE), (7, 't11,"open', landing.UNREADABLE),
+                   (10, "t12,\ufffd", landing.UNREADABLE)]
+    rows.unpersist()
+
+
 def test_json_elements_that_fit_are_kept(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"inventory_id": "1", "stock_level": 2.0, "extra": 1}, 5,'
                                      ' {"inventory_id": "x"}, {"product_id": 3}]')
