@@ -50,8 +50,10 @@ MOST_LINKS = 0.33
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
-_NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+# Classes that say what stands beside or about an element, not what it is.
+_ABOUT = ("has-", "no-", "with-", "without-", "tag-", "not-")
+_ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|$)|'([^']*)(?:'|$)|([^\s>\"']+)))?")
+_NONE = re.compile(r"display\s*:\s*none", re.I)
 _CLOSE = {name: re.compile(rf"</{name}\b[^>]*(?:>|$)", re.I) for name in ("script", "style")}
 _WORD = re.compile(r"\w+")
 _SPACE = re.compile(r"\s+")
@@ -72,15 +74,47 @@ class Inside(NamedTuple):
     article: bool
     link: bool
     heading: bool
+    # Places of the elements around whose class, id or role names what is not the article.
+    named: tuple[int, ...]
 
 
-_OUTSIDE = Inside("", False, False, False, False, False)
+_OUTSIDE = Inside("", False, False, False, False, False, ())
+
+
+def _attributes(text: str) -> tuple[bool, bool]:
+    """Whether attributes hide an element, and whether they name what is not the article."""
+    hidden = named = False
+    for match in _ATTRIBUTE.finditer(text):
+        name, value = match[1].lower(), (match[2] or match[3] or match[4] or "").lower()
+        if name == "hidden" or (name == "aria-hidden" and value.strip() == "true") or (
+                name == "style" and _NONE.search(value)):
+            hidden = True
+        elif name in ("class", "id", "role"):
+            named = named or any(NAMED.search(token) for token in value.split() if not token.startswith(_ABOUT))
+    return hidden, named
+
+
+def _cleared(blocks: list[Block], around: list[tuple[int, ...]], articles: list[tuple[int, ...]]) -> set[int]:
+    """The named elements whose names don't count, since they hold the article: those around the articles
+    with the fewest of them, or in pages that mark none, those with most of the text."""
+    if articles:
+        fewest = min(map(len, articles))
+        return {place for chain in articles if len(chain) == fewest for place in chain}
+    sizes: Counter[int] = Counter()
+    for block, chain in zip(blocks, around):
+        if not block.aside:
+            sizes.update(dict.fromkeys(chain, len(block.text)))
+    total = sum(len(block.text) for block in blocks if not block.aside)
+    return {place for place, size in sizes.items() if 2 * size > total}
 
 
 def blocks_of(html: str) -> list[Block]:
     """Blocks of a page in order: the texts between block elements, references decoded, white space
     made one space, without empty ones."""
     found: list[Block] = []
+    around: list[tuple[int, ...]] = []
+    articles: list[tuple[int, ...]] = []
+    places = 0
     parts: list[tuple[str, bool]] = []
     # Open elements with what holds inside them.
     open_: list[Inside] = []
@@ -96,6 +130,7 @@ def blocks_of(html: str) -> list[Block]:
                 linked = sum(len(_SPACE.sub(" ", t).strip()) for t, link in parts if link)
                 here = inside()
                 found.append(Block(text, linked, here.heading, here.article, here.aside))
+                around.append(here.named)
             parts.clear()
 
     def close_from(place: int) -> None:
@@ -133,15 +168,21 @@ def blocks_of(html: str) -> list[Block]:
             at = closing.end() if closing else end
             continue
         here = inside()
-        names = " ".join(" ".join(filter(None, m.groups())) for m in _NAME.finditer(attributes)).lower()
-        aside = name in ASIDE or (name == "header" and not here.article) or bool(
-            names and name not in ("html", "body", *ARTICLE) and NAMED.search(names))
-        open_.append(Inside(name, here.silent or name in SILENT or bool(_HIDDEN.search(attributes)),
-                            here.aside or aside, here.article or name in ARTICLE, here.link or name == "a",
-                            here.heading or name in HEADING))
+        hidden, names = _attributes(attributes) if attributes else (False, False)
+        aside = name in ASIDE or (name == "header" and not here.article)
+        named = (*here.named, places) if names and name not in ("html", "body", *ARTICLE) else here.named
+        if named is not here.named:
+            places += 1
+        silent = here.silent or name in SILENT or hidden
+        if name in ARTICLE and not silent and not here.aside:
+            articles.append(named)
+        open_.append(Inside(name, silent, here.aside or aside, here.article or name in ARTICLE,
+                            here.link or name == "a", here.heading or name in HEADING, named))
         count[name] += 1
     close_block()
-    return found
+    cleared = _cleared(found, around, articles)
+    return [block._replace(aside=block.aside or not cleared.issuperset(chain)) if chain else block
+            for block, chain in zip(found, around)]
 
 
 def _ended_by(open_: list[Inside], name: str) -> int | None:

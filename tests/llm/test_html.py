@@ -62,3 +62,27 @@ def test_table_edges(spark):
     want = [(None, None, "", 0), (1, "u", "a", 1), (1, "u", "a", 1), (2, None, "", 0)]
     assert rows_of(html.extract(clash(df).withColumn("n_chars", df.html))) == want
     assert html.extract(df.limit(0)).count() == 0
+
+
+STORY = ("The council has met in the old town hall and it was agreed that the bridge will be built by the end of the "
+         "year, so that all of the people on the other side of the river can get to their work on time.")
+
+
+@pytest.mark.parametrize("before, after", [
+    ('<div class="overflow-hidden"><p>', "</p></div>"),
+    ('<div data-state="not hidden"><article><p>', "</p></article></div>"),
+    ('<div class="site has-sidebar"><article><p>', "</p></article></div>"),
+    ('<div class="post tag-news"><p>', "</p></div>"),
+    ('<div class="widget page"><main><p>', "</p></main><div class=\"comments\"><article><p>I do not like it at all, "
+     "and that is what I have to say about it.</p></article></div></div>"),
+    ('<div id="social"><p>', "</p></div><p>Short</p>"),
+])
+def test_layout_classes_keep_the_article(before, after):
+    page = f'<html><body><div class="ad"><p>Buy it now and be happy with it.</p></div>{before}{STORY}{after}</body></html>'
+    assert html.main_text(page).startswith(STORY) and "Buy" not in html.main_text(page)
+    assert "like it" not in html.main_text(page)
+
+
+def test_hidden_elements_are_silent():
+    for attribute in ("hidden", 'hidden=""', 'aria-hidden="true"', 'style="color:red;display: none"'):
+        assert html.main_text(f"<body><p>{STORY}</p><div {attribute}><p>{STORY} Unseen.</p></div></body>") == STORY
