@@ -153,16 +153,19 @@ def snk_stream_publish(spark, sf_dir):
   SELECT *, lag("timestamp") OVER (PARTITION BY customer_id ORDER BY "timestamp", id) AS prev_timestamp
   FROM cleaned) WHERE interaction_type = 'Resolution'""", "records", "cleaned"))
 def st_ext_prev_interaction(spark, sf_dir):
-    """Deliveries by time, each a micro-batch; customers carry over from one to the next."""
+    """Four deliveries by time, each a folder of its own and one micro-batch; customers carry over from
+    one to the next."""
     base, (path, checkpoint) = work_dir(spark, "ordered"), _folders(spark, "resolutions")
-    # Four deliveries of seven to eight days and a last one; interactions of a day come together.
-    part = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3))
-    events = fixtures.events(spark, sf_dir)
+    events, time = fixtures.events(spark, sf_dir), fixtures.epoch_of("ts")
+    first, last = events.agg(F.min(time), F.max(time)).first()
+    step = (last - first) / 4 if last is not None else 0
+    # Events without a time come with the last.
+    part = F.coalesce(*[F.when(time < first + step * (i + 1), F.lit(i)) for i in range(3) if step], F.lit(3))
     for i in range(4):
-        fixtures.stream_records_of(events.filter(part == i)).coalesce(1).write.parquet(f"{base}/d{i}")
-    raw = (spark.readStream.schema("recordId string, data string").option("maxFilesPerTrigger", 1)
-           .option("recursiveFileLookup", True).parquet(base))
-    streaming.resolutions(raw, path, checkpoint).awaitTermination()
+        fixtures.stream_records_of(events.filter(part == i)).write.parquet(f"{base}/d{i}")
+        raw = (spark.readStream.schema("recordId string, data string")
+               .option("recursiveFileLookup", True).parquet(base))
+        streaming.resolutions(raw, path, checkpoint).awaitTermination()
     return spark.read.parquet(f"{path}/resolutions").drop("query", "batch_id")
 
 

@@ -1,6 +1,10 @@
 import base64
 import json
+import os
 
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -302,3 +306,18 @@ def test_batch_jobs_from_the_command_line(spark, tmp_path):
     run("operations", "--pos-table", "pos_table", "--inventory-table", "inv_table")
     row = spark.read.parquet(f"{tmp_path}/operations").first()
     assert (row.inventory_turnover, row.restock_frequency, row.stockout_alert) == (0.5, 1, 0)
+
+
+def test_previous_interactions_of_two_months(spark, tmp_path):
+    from oracle import compare, connect
+
+    small = "/root/testdata/sf0.001"
+    for name in os.listdir(small):
+        if name != "events.parquet":
+            os.symlink(f"{small}/{name}", tmp_path / name)
+    events = pq.read_table(f"{small}/events.parquet")
+    late = pc.equal(pc.bit_wise_and(events["event_id"], 1), 1)
+    moved = pc.if_else(late, pc.add(events["ts"], pa.scalar(31 * 86_400_000_000, pa.duration("us"))), events["ts"])
+    pq.write_table(events.set_column(events.schema.get_field_index("ts"), "ts", moved), tmp_path / "events.parquet")
+    problem = compare(spark, connect(str(tmp_path)), "st_ext_prev_interaction", str(tmp_path))
+    assert problem is None, problem
