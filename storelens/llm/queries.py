@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import (decontamination, html, licenses, mixing, quality, sharding, simhash, sql, tokenfiles,
-               topk, toxicity)
+from . import (decontamination, html, licenses, mixing, prefixtrie, quality, repair, sharding, simhash, sql,
+               tokencounts, tokenfiles, topk, toxicity)
 from .common import read_table, whole_text
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ QUERIES: dict[str, Run] = {}
 SQL: dict[str, str] = {}
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(oracle: str | None = None) -> Callable[[Run], Run]:
@@ -85,3 +86,18 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.token_digest(read_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@query()
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired_conversations(read_table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.prefix_trie(prefixtrie.rebuilt(read_table(spark, sf_dir, "conversations")))
+
+
+@query()
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.token_counts(read_table(spark, sf_dir, "documents"), PIECES)
