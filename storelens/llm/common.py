@@ -20,6 +20,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Deletes what ``stored`` has written of these. Nothing that is still lazy may read them; a task that is
+    run again reads what was made of them."""
+    for frame in frames:
+        for folder in {name.rsplit("/", 1)[0] for name in frame.inputFiles()[:1]}:
+            path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -15,13 +15,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     A large star links the larger neighbours of a node to the smallest one, a small star the
     smaller ones; both keep components and never add edges. Neighbours are only aggregated and
     joined, never gathered, so that a node may have any number of them. Each round is written to
-    the shared folder.
+    the shared folder and the one before it deleted.
     """
     links = stored(edges.filter(F.col("a") != F.col("b"))
                    .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     state = _state(links)
     while True:
-        links = stored(_small_star(_large_star(links)), "links")
+        before, links = links, stored(_small_star(_large_star(links)), "links")
+        discard(before)
         now = _state(links)
         if now == state:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root")).union(

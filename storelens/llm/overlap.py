@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, whole_text
+from .common import discard, stored, whole_text
 from .components import connected_components
 
 WORDS = 5
@@ -21,6 +21,8 @@ SEED = 43
 SAMPLE, LEAST_COUNT, MOST_COUNTED = 16_384, 4, 300_000
 # Texts of a shingle that are compared pair by pair at once.
 FULL = 32
+# Shingles that are worked on together in a task.
+_PORTION = 1 << 18
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -36,14 +38,28 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in joined), dtype="<u8", count=total))
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """Nodes and their shingles, a bounded number of shingles together."""
+    some: list[tuple[int, np.ndarray]] = []
+    held = 0
+    for batch in batches:
+        for node, text in zip(batch.column(0), batch.column(1)):
+            some.append((node.as_py(), shingles(text.as_py())))
+            held += len(some[-1][1]) + 1
+            if held > _PORTION:
+                yield some
+                some, held = [], 0
+    if some:
+        yield some
+
+
 def _sets(texts: DataFrame) -> DataFrame:
     """``node, shingles`` of rows with ``node, text``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for node, text in zip(batch.column(0), batch.column(1)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([node.as_py()], pa.int64()),
-                     pa.array([shingles(text.as_py()).view(np.int64)], pa.list_(pa.int64()))], ["node", "shingles"])
+        for some in _portions(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([node for node, _ in some], pa.int64()),
+                 pa.array([own.view(np.int64) for _, own in some], pa.list_(pa.int64()))], ["node", "shingles"])
 
     return texts.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
 
@@ -65,22 +81,24 @@ def _prefixes(texts: DataFrame, values: np.ndarray, counts: np.ndarray) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, counts = held.value
-        for batch in batches:
-            for node, text in zip(batch.column(0), batch.column(1)):
-                own = shingles(text.as_py())
+        for some in _portions(batches):
+            firsts, sizes = [], []
+            for _, own in some:
                 size = len(own)
-                if not size:
-                    continue
                 if len(values):
                     place = np.minimum(np.searchsorted(values, own), len(values) - 1)
                     often = np.where(values[place] == own, counts[place], 0)
                     own = own[np.argsort(often, kind="stable")]
-                first = own[:size // 5 + 1]
-                n = len(first)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(first.view(np.int64)), pa.array(np.full(n, node.as_py(), np.int64)),
-                     pa.array(np.full(n, size, np.int32)), pa.array(np.arange(n, dtype=np.int32))],
-                    ["s", "node", "size", "at"])
+                firsts.append(own[:size // 5 + 1])
+                sizes.append(size)
+            kept = np.array([len(f) for f in firsts])
+            nodes = np.array([node for node, _ in some], dtype=np.int64)
+            ends = np.cumsum(kept)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(firsts).view(np.int64)), pa.array(np.repeat(nodes, kept)),
+                 pa.array(np.repeat(np.array(sizes, dtype=np.int32), kept)),
+                 pa.array((np.arange(ends[-1]) - np.repeat(ends - kept, kept)).astype(np.int32))],
+                ["s", "node", "size", "at"])
 
     return texts.select("node", "text").mapInArrow(run, "s long, node long, size int, at int")
 
@@ -102,14 +120,13 @@ def _pairs(met: DataFrame) -> DataFrame:
             .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct())
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, rows: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """``a, b``: the fingerprints of the pairs whose sets share 4/5 or more."""
     pairs = stored(pairs, "candidates")
-    wanted = pairs.select(F.col("a").alias("_node")).union(pairs.select("b")).distinct()
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    chosen = nodes.join(wanted, "node").select(F.col("node").alias("_node"), F.col("doc").alias("_doc"))
     # One document gives the text of a node, so that copies don't meet in one place.
-    one = (rows.join(wanted, F.col("content") == F.col("_node"))
-           .groupBy("_node").agg(F.min("doc_id").alias("_doc"), F.first("fp").alias("fp")))
-    given = (texts.join(one, (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
+    given = (texts.join(chosen, (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
              .dropDuplicates(["node"]))
     sets = stored(_sets(given), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_x"))
@@ -117,9 +134,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, rows: DataFrame) -> DataFrame:
     shared = F.size(F.array_intersect("_x", "_y"))
     alike = (pairs.join(left, "a").join(right, "b")
              .filter(9 * shared.cast("long") >= 4 * (F.size("_x") + F.size("_y")).cast("long")).select("a", "b"))
-    x = one.select(F.col("_node").alias("a"), F.col("fp").alias("x"))
-    y = one.select(F.col("_node").alias("b"), F.col("fp").alias("y"))
-    return stored(alike.join(x, "a").join(y, "b").select(F.col("x").alias("a"), F.col("y").alias("b")), "alike")
+    x = nodes.select(F.col("node").alias("a"), F.col("fp").alias("x"))
+    y = nodes.select(F.col("node").alias("b"), F.col("fp").alias("y"))
+    found = stored(alike.join(x, "a").join(y, "b").select(F.col("x").alias("a"), F.col("y").alias("b")), "alike")
+    discard(pairs, sets)
+    return found
 
 
 def links(documents: DataFrame, rows: DataFrame, known: DataFrame) -> DataFrame:
@@ -128,43 +147,51 @@ def links(documents: DataFrame, rows: DataFrame, known: DataFrame) -> DataFrame:
 
     A prefix join: texts meet at their rarest shingles, pairs that ``known`` already joins are left out,
     and the whole sets decide. Where a shingle is held by more than ``FULL`` texts, all are first
-    compared with one of them, another for each shingle; then those outside of the shingle's largest
-    component are compared with all others of other components. Both are exact; large groups of near
-    copies become one component in the first step, without their pairs.
+    compared with the one in which the fewest rarer shingles stand before it: of many copies of a text with
+    changes of their own it is the least changed. Then those outside of the shingle's largest component are
+    compared with the others of other components. Both are exact. Of a group of copies only what may be at
+    4/5 to another but isn't to the least changed one is left for the second step.
     """
     texts = documents.select("doc_id", F.xxhash64(whole_text()).alias("node"), "text")
+    nodes = stored(rows.groupBy(F.col("content").alias("node")).agg(F.min("doc_id").alias("doc"), F.first("fp").alias("fp")),
+                   "nodes")
     values, counts = _counted(texts, rows.count())
     placed = stored(_prefixes(texts, values, counts), "prefixes")
     common = (placed.groupBy(F.col("s").alias("_s")).agg(F.min("node").alias("least"), F.max("node").alias("most"))
               .filter(F.col("least") < F.col("most")).select("_s"))
-    shared = placed.join(common, F.col("s") == F.col("_s")).drop("_s").distinct()
-    shared = stored(shared, "shared")
-    prints = rows.groupBy(F.col("content").alias("_node")).agg(F.first("fp").alias("_fp"))
-    held = stored(shared.join(prints, F.col("node") == F.col("_node")).drop("_node"), "shared")
-    many = held.groupBy(F.col("s").alias("_s")).agg(
-        F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", "s"), "node")).alias("pivot"))
-    held = stored(held.join(many.select("_s", "n", F.col("pivot.node").alias("pivot")), F.col("s") == F.col("_s"))
-                  .drop("_s"), "shared")
-    joined = _rooted(held, connected_components(known))
-    few, full = joined.filter(F.col("n") <= FULL), joined.filter(F.col("n") > FULL)
+    shared = stored(placed.join(common, F.col("s") == F.col("_s")).drop("_s").distinct(), "shared")
+    discard(placed)
+    order = F.struct("at", F.xxhash64("node", "s"), "node")
+    crowds = shared.groupBy(F.col("s").alias("_s")).agg(
+        F.count("*").alias("n"), F.min(order)["node"].alias("pivot"), F.min("size").alias("_least"))
+    # No text of the shingle is small enough for what is left behind it.
+    hopeful = 9 * (F.col("size") - F.col("at")).cast("long") >= 4 * (F.col("size") + F.col("_least")).cast("long")
+    held = stored(_rooted(shared.join(crowds, F.col("s") == F.col("_s")).filter(hopeful).drop("_s", "_least"),
+                          nodes, connected_components(known)), "held")
+    discard(shared)
+    few, full = held.filter(F.col("n") <= FULL), held.filter(F.col("n") > FULL)
     pairs = _side(few, "a").join(_side(few, "b"), "s").filter(F.col("node_a") < F.col("node_b"))
     pivots = full.filter(F.col("node") == F.col("pivot"))
     stars = _side(full, "a").join(_side(pivots, "b"), "s")
-    found = _verified(_pairs(pairs.unionByName(stars)), texts, rows)
+    found = _verified(_pairs(pairs.unionByName(stars)), texts, nodes)
     if full.isEmpty():
         return found
-    full = _rooted(held.filter(F.col("n") > FULL), connected_components(known.union(found)))
+    full = stored(_rooted(full.drop("root"), nodes, connected_components(known.union(found))), "full")
+    discard(held)
     sizes = full.groupBy("s", "root").agg(F.count("*").alias("n"))
     largest = (sizes.groupBy(F.col("s").alias("_s"))
                .agg(F.max(F.struct("n", "root")).alias("largest"), F.count("*").alias("components"))
                .filter(F.col("components") > 1).select("_s", F.col("largest.root").alias("main")))
-    full = stored(full.join(largest, F.col("s") == F.col("_s")).drop("_s"), "shared")
-    outside = full.filter(F.col("root") != F.col("main"))
-    return found.union(_verified(_pairs(_side(outside, "a").join(_side(full, "b"), "s")), texts, rows))
+    mixed = full.join(largest, F.col("s") == F.col("_s")).drop("_s")
+    outside = mixed.filter(F.col("root") != F.col("main"))
+    found = found.union(_verified(_pairs(_side(outside, "a").join(_side(mixed, "b"), "s")), texts, nodes))
+    discard(full)
+    return found
 
 
-def _rooted(rows: DataFrame, components: DataFrame) -> DataFrame:
-    """``rows`` with ``root``, the component of their fingerprint."""
+def _rooted(rows: DataFrame, nodes: DataFrame, components: DataFrame) -> DataFrame:
+    """``rows`` with ``root``, the component of the fingerprint of their node."""
     named = components.select(F.col("node").alias("_print"), F.col("root").alias("_root"))
-    return stored(rows.join(named, F.col("_fp") == F.col("_print"), "left")
-                  .withColumn("root", F.coalesce("_root", "_fp")).drop("_print", "_root"), "shared")
+    roots = nodes.join(named, F.col("fp") == F.col("_print"), "left").select(
+        F.col("node").alias("_of"), F.coalesce("_root", "fp").alias("root"))
+    return rows.join(roots, F.col("node") == F.col("_of")).drop("_of")

@@ -4,7 +4,7 @@ import pytest
 
 from storelens.llm import overlap, simhash
 
-from .conftest import SF_DIR
+from .conftest import EDGE_ROWS, SF_DIR, clash, rows_of
 from .test_simhash import plain_components, plain_fingerprint
 
 
@@ -70,3 +70,32 @@ def test_near_copies_of_the_tables_leave_one(spark):
     kept = simhash.one_of_each(docs, by_overlap=True).select("doc_id").collect()
     assert sorted(r[0] for r in kept) == sorted({c for _, c in want})
     assert len(kept) < simhash.one_of_each(docs).count()
+
+
+def test_edge_rows(spark, edge):
+    """Null ids and texts, repeated rows, equal ids, clashing names: copies leave one row, the others stay."""
+    for table in (edge, clash(edge)):
+        kept = simhash.one_of_each(table, by_overlap=True)
+        assert kept.columns == table.columns
+        want = [r for i, r in enumerate(EDGE_ROWS) if i in (0, 3, 6, 8, 9, 10, 11, 12)]
+        texts = [r.text for r in kept.select("text").collect()]
+        assert sorted(t or "" for t in texts) == sorted(r[1] or "" for r in want)
+
+
+def test_empty_table(spark, empty):
+    assert rows_of(simhash.one_of_each(empty, by_overlap=True)) == []
+
+
+def test_crowd_under_the_border_is_linked_by_what_is_over_it(spark):
+    """Copies of a text with so many changes that most pairs are just under 0.8."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(200)]
+    texts = []
+    for _ in range(120):
+        own = list(base)
+        for _ in range(rng.choice([2, 4, 4])):
+            own[rng.randrange(200)] = f"c{rng.randrange(10**6)}"
+        texts.append(" ".join(own))
+    rows = list(enumerate(texts))
+    got = simhash.labelled(spark.createDataFrame(rows, "doc_id long, text string"), by_overlap=True)
+    assert sorted(tuple(r) for r in got.select("doc_id", "component_id").collect()) == expected(rows)

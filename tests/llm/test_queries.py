@@ -16,14 +16,14 @@ from oracle import compare, connect  # noqa: E402
 from storelens.llm import decontamination, queries, tokenfiles, toxicity  # noqa: E402
 
 from .test_mixing import plain_mix  # noqa: E402
-from .test_simhash import plain_components, plain_fingerprint  # noqa: E402
+from .test_overlap import expected  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator():
     names = contract.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) <= set(names) and names["pipeline"] is corpus_pipeline.run
     assert set(queries.SQL) <= set(contract.oracle_sql())
 
@@ -36,11 +36,12 @@ def test_query_agrees_with_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_every_row_is_returned(spark, name):
-    table, key = {"op1": ("embeddings", None), "op6": ("pages", "page_id"), "op7": (None, None)}.get(
-        name.split("_")[0], ("documents", "doc_id"))
+    table, key = {"op1": ("embeddings", None), "op6": ("pages", "page_id"), "op7": (None, None),
+                  "op11": ("conversations", "conv_id"), "op12": (None, None)}.get(name.split("_")[0], ("documents", "doc_id"))
     rows = queries.QUERIES[name](spark, SMALL)
     if key:
         want = spark.read.parquet(f"{SMALL}/{table}.parquet").select(key)
+        want = want.distinct() if table == "conversations" else want
         assert sorted(r[0] for r in rows.select(key).collect()) == sorted(r[0] for r in want.collect())
     assert rows.count() > 0
 
@@ -72,8 +73,8 @@ def test_pipeline_agrees_with_a_plain_version(spark):
     a, b, c = lexicon.model
     rows = [tuple(r) for r in documents.collect()]
     rows = [r for r in rows if np.dot([a, b], toxicity.features(r[1], automaton)) + c < 0]
-    components = plain_components([r[0] for r in rows], [plain_fingerprint(r[1]) for r in rows])
-    rows = [r for r, (doc_id, root) in zip(rows, components) if doc_id == root]
+    named = {root for _, root in expected([r[:2] for r in rows])}
+    rows = [r for r in rows if r[0] in named]
     items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
     rows = [r for r, leak in zip(rows, plain_leaks([r[1] for r in rows], items)) if not leak]
     size = {doc_id: size for doc_id, size, *_ in plain_mix(rows)}
