@@ -39,7 +39,7 @@ BUCKET_KEYS = 2_000
 GROUP_KEYS = 4
 # Encodings of parts of words that each Python process keeps.
 CACHE_PARTS = 700_000
-_BATCH_BYTES = 8 << 20
+_BATCH_BYTES = 3 << 20
 
 MANIFEST = "doc_id long, repeat long, shard int, pos long, offset long, n_tokens long"
 
