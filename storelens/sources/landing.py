@@ -1,20 +1,27 @@
 """Landing folders with CSV or JSON documents, read at once or as a stream of new files.
 
-A landing file is read whole by one task (as objects of up to 2 GB) and its cells are read as text,
-so that nothing a file holds is lost on the way: rows that don't fit the schema, and files that
-can't be read, come back with the reason and their text.
+Files are cut into blocks that many tasks read, whatever their length. A first scan looks at the layout of each
+block: whether every line (of CSV) or every piece up to a closing brace (of JSON) stands for itself. Where it
+does, rows are made of these on their own; files with line breaks inside quotes, or with objects inside
+objects, are put together in order, a file by a task, piece by piece. Cells are read as text, so that nothing a
+file holds is lost: rows that don't fit the schema, and files that can't be read, come back with the reason
+and their text. Line breaks inside of cells become line feeds.
 """
 
 from __future__ import annotations
 
 import csv
-import io
+import json
+import re
 import sys
+from collections import deque
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain, groupby
+from operator import itemgetter
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,10 +34,15 @@ CSV_GLOB, JSON_GLOB = "*.[cC][sS][vV]", "*.[jJ][sS][oO][nN]"
 # Texts that stand for a missing cell.
 MISSING = ["", "NA", "N/A", "n/a", "NaN", "nan", "NULL", "null", "None"]
 
-# Fixed value: columns of the file source.
+# Fixed value: columns of the file source. The content is never read.
 FILES = "path string, modificationTime timestamp, length bigint, content binary"
 UNREADABLE, TOO_LONG, NO_OBJECT = "unreadable", "more cells than columns", "no object"
+# A quoted cell, or an element, of more characters than this isn't closed any more.
+LONGEST = 64 << 20
 _BATCH_ROWS = 5_000
+_ROW = "path string, line bigint, cells array<string>, text string, reject string"
+_ROW_KINDS = {"path": pa.string(), "line": pa.int64(), "cells": pa.list_(pa.string()), "text": pa.string(),
+              "reject": pa.string()}
 
 
 def _listed(reader, glob: str):
@@ -39,30 +51,147 @@ def _listed(reader, glob: str):
 
 
 def files(spark: SparkSession, path: str | list[str], glob: str) -> DataFrame:
-    return _listed(spark.read, glob).load(path)
+    """``path, length`` of the files of a folder, or of those named one by one."""
+    where = path if isinstance(path, str) else [_plain(name) for name in path]
+    return _listed(spark.read, glob).load(where).select("path", "length")
 
 
 def stream_files(spark: SparkSession, path: str, glob: str, max_files: int | None = None) -> DataFrame:
     reader = _listed(spark.readStream, glob)
-    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(path)
+    reader = reader.option("maxFilesPerTrigger", max_files) if max_files else reader
+    return reader.load(path).select("path", "length")
 
 
-def _records(lines: list[str]) -> Iterator[tuple[int, list[str] | None, str]]:
+def _plain(name: str) -> str:
+    """A name that readers don't take for a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", name)
+
+
+def _pieces(files: DataFrame, separator: str | None = None) -> DataFrame | None:
+    """``file, size, block, id, value``: the lines of the files, or what stands before each ``separator``, numbered in
+    order inside of each block. The names come to the driver, as they do to list the files."""
+    names = [_plain(row.path) for row in files.filter(F.col("length") > 0).select("path").toLocalIterator()]
+    if not names:
+        return None
+    reader = files.sparkSession.read
+    reader = reader.option("lineSep", separator) if separator else reader
+    return reader.text(names).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"), "value")
+
+
+def _path(file: Column) -> Column:
+    """The name of a file from its address."""
+    return F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
+
+
+def _in_order(pieces: DataFrame, *more: str) -> DataFrame:
+    return (pieces.repartition("file").sortWithinPartitions("file", "block", "id")
+            .select("path", F.make_valid_utf8("value").alias("value"), F.is_valid_utf8("value").alias("sound"), *more))
+
+
+def _packed(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    some: list[tuple] = []
+    for row in rows:
+        some.append(row)
+        if len(some) == _BATCH_ROWS:
+            yield _batch(some)
+            some = []
+    if some:
+        yield _batch(some)
+
+
+def _batch(some: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), _ROW_KINDS.values())], names=list(_ROW_KINDS))
+
+
+def _by_file(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Iterator[tuple]]]:
+    """Rows that follow each other, file by file, without the name of the file."""
+    rows = chain.from_iterable(zip(*[c.to_pylist() for c in batch.columns]) for batch in batches)
+    for name, own in groupby(rows, itemgetter(0)):
+        yield name, map(itemgetter(slice(1, None)), own)
+
+
+def _records(lines: Iterator[tuple[str, bool]]) -> Iterator[tuple[int, list[str] | None, str]]:
     """Last line, cells and text of each CSV record. One that can't be parsed has no cells and ends with
     its first line, after which parsing goes on; the text of others is not given."""
     csv.field_size_limit(sys.maxsize)
-    at = 0
-    while at < len(lines):
-        first = at
-        reader = csv.reader((lines[i] for i in range(first, len(lines))), strict=True)
+    again: deque[tuple[str, bool]] = deque()
+    at, done = 0, False
+    while not done:
+        used: list[tuple[str, bool]] = []
+
+        def given() -> Iterator[str]:
+            size = 0
+            while (line := again.popleft() if again else next(lines, None)) is not None:
+                size = size + len(line[0]) if used else len(line[0])
+                if size > LONGEST and used:
+                    again.appendleft(line)
+                    raise csv.Error("not closed")
+                used.append(line)
+                yield line[0] + "\n"
+
         try:
-            for row in reader:
-                at = first + reader.line_num
-                yield at, row, ""
-            return
+            for row in csv.reader(given(), strict=True):
+                at += len(used)
+                sound = all(ok for _, ok in used)
+                yield at, row if sound else None, "" if sound else "\n".join(text for text, _ in used)
+                used.clear()
+            done = True
         except csv.Error:
-            yield at + 1, None, lines[at].rstrip("\r\n")
             at += 1
+            yield at, None, used[0][0]
+            again.extendleft(reversed(used[1:]))
+
+
+def _file_rows(name: str, lines: Iterator[tuple[str, bool]], names: list[str]) -> Iterator[tuple]:
+    """The rows of a CSV file whose lines don't stand for themselves."""
+    header, places = None, []
+    for line, row, text in _records(lines):
+        if row is None:
+            header = [] if header is None else header
+            yield name, line, None, text, UNREADABLE
+        elif header is None:
+            header = [cell.strip().removeprefix("\ufeff").strip() for cell in row]
+            places = [header.index(c) if c in header else None for c in names]
+        elif len(row) > len(header):
+            # Without a header that can be read no cell has a name.
+            yield name, line, None, ",".join(row), TOO_LONG if header else UNREADABLE
+        elif row:
+            yield name, line, [row[p] if p is not None and p < len(row) else None for p in places], None, None
+
+
+def _csv_layout(lines: DataFrame, names: list[str]) -> DataFrame:
+    """A row per block: where the columns of ``names`` stand in its file, how many columns there are, what to add
+    to ``id`` for the number of a line, and whether the file must be put together in order (``whole``)."""
+    value = F.col("value")
+    quoted = F.contains(value, F.lit('"'))
+    odd = F.when(quoted, (F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))) % 2).otherwise(0)
+    none = F.lit(None)
+    blocks = lines.groupBy("file", "block").agg(
+        F.count("*").alias("n"), F.min("id").alias("first"), F.max(odd).alias("odd"), F.max(quoted).alias("quoted"))
+    # Headers are looked for apart, among the lines that name a column, so that no text is sorted with the counts.
+    named = reduce(lambda a, b: a | b, [F.contains(value, F.lit(name)) for name in names])
+    tops = lines.filter((F.col("block") == 0) & named).groupBy("file").agg(F.min("id").alias("id"), F.min_by("value", "id").alias("top"))
+    both = blocks.select("*", none.cast("bigint").alias("id"), none.cast("string").alias("top")).unionByName(tops.select(
+        "file", F.lit(0).cast("bigint").alias("block"), none.cast("bigint").alias("n"), none.cast("bigint").alias("first"),
+        none.cast("int").alias("odd"), none.cast("boolean").alias("quoted"), "id", "top"))
+    found = both.groupBy("file", "block").agg(*[F.max(c).alias(c) for c in ("n", "first", "odd", "quoted", "id", "top")])
+    of_file = Window.partitionBy("file").orderBy("block")
+    whole = of_file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # A first line that names no column is a header all the same.
+    top = F.coalesce(F.first(F.when(F.col("id") == F.col("first"), F.col("top"))).over(of_file), F.lit(""))
+    cell = r'("[^",]*"|[^",]*)'
+    cells = F.transform(F.split(F.regexp_replace(F.make_valid_utf8("header"), '["\ufeff]', ""), ","), lambda c: F.trim(c))
+    places = F.transform(F.array(*[F.array_position(cells, name) - 1 for name in names]), lambda p: F.when(p >= 0, p.cast("int")))
+    # Files whose header isn't known for sure are read line after line from their first.
+    simple = (F.col("header") != "") & F.is_valid_utf8("header") & F.col("header").rlike(f"^{cell}(,{cell})*$")
+    return found.select(
+        "*", top.alias("header"), F.max("odd").over(whole).alias("any_odd"),
+        F.coalesce(F.sum("n").over(of_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before")).select(
+        "file", _path(F.col("file")).alias("path"), "block", places.alias("places"), F.size(cells).alias("width"),
+        (F.col("before") - F.col("first") + 1).alias("add"), (~simple | (F.col("any_odd") == 1)).alias("whole"), "quoted")
 
 
 def _csv_rows(files: DataFrame, names: list[str]) -> DataFrame:
@@ -71,66 +200,190 @@ def _csv_rows(files: DataFrame, names: list[str]) -> DataFrame:
     Columns are found by their name in the header; one that a file lacks is null and one that the
     schema lacks is left out. Quoted cells may hold line breaks.
     """
-    kinds = {"path": pa.string(), "line": pa.int64(), "cells": pa.list_(pa.string()), "text": pa.string(),
-             "reject": pa.string()}
+    spark = files.sparkSession
+    lines = _pieces(files)
+    if lines is None:
+        return spark.createDataFrame([], _ROW)
+    # A row per block of the files, of which the driver holds the names.
+    layout = _csv_layout(lines, names).toPandas()
+    known = spark.createDataFrame(
+        [(r.file, r.path, int(r.block), [None if p is None or p != p else int(p) for p in r.places], int(r.width), int(r.add), bool(r.whole))
+         for r in layout.itertuples()], "file string, path string, block bigint, places array<int>, width int, add bigint, whole boolean")
+    placed = lines.join(F.broadcast(known), ["file", "block"])
+    rows = placed.filter(~F.col("whole")).withColumn("line", F.col("id") + F.col("add")).filter(
+        (F.col("line") > 1) & (F.col("value") != ""))
+    cells = F.split("value", ",", -1)
+    sound = F.is_valid_utf8("value")
+    plain = rows.filter(~F.contains("value", F.lit('"'))).select("path", "line", "places", "width", "value", sound.alias("sound"), cells.alias("cells"))
+    reject = F.when(~F.col("sound"), UNREADABLE).when(F.size("cells") > F.col("width"), TOO_LONG)
+    parts = [plain.withColumn("reject", reject).select(
+        "path", "line",
+        F.when(F.col("reject").isNull(), F.transform("places", lambda p: F.get("cells", p))).alias("cells"),
+        F.when(F.col("reject").isNotNull(), F.make_valid_utf8("value")).alias("text"), "reject")]
+
+    def quoted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parsed() -> Iterator[tuple]:
+            for batch in batches:
+                for name, line, places, width, value, ok in zip(*[c.to_pylist() for c in batch.columns]):
+                    _, row, text = next(_records(iter([(value, ok)])))
+                    if row is None:
+                        yield name, line, None, text, UNREADABLE
+                    elif len(row) > width:
+                        yield name, line, None, ",".join(row), TOO_LONG
+                    else:
+                        yield name, line, [row[p] if p is not None and p < len(row) else None for p in places], None, None
+
+        return _packed(parsed())
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _packed(row for name, own in _by_file(batches) for row in _file_rows(name, own, names))
+
+    if (layout["quoted"] & ~layout["whole"]).any():
+        some = rows.filter(F.contains("value", F.lit('"')))
+        parts.append(some.select("path", "line", "places", "width", F.make_valid_utf8("value").alias("value"), sound.alias("sound"))
+                     .mapInArrow(quoted, _ROW))
+    if layout["whole"].any():
+        parts.append(_in_order(placed.filter("whole")).mapInArrow(whole, _ROW))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _braced(read: int, size: int) -> bool:
+    """Whether a file ends with a brace, by the bytes of its pieces with one for each brace. Spark's reader
+    leaves out the three bytes of a byte order mark."""
+    return read in (size, size - 3)
+
+
+def _elements(chunks: Iterator[tuple[str, bool, int, int]]) -> Iterator[str]:
+    """The elements of a JSON document given in pieces up to each closing brace, or the document itself if it is
+    no list. A document that can't be read raises ``ValueError``."""
+    def text() -> Iterator[str]:
+        read, size, held = 0, 0, None
+        for value, sound, size, length in chunks:
+            if not sound:
+                raise ValueError("no text")
+            if held is not None:
+                yield held + "}"
+            held = value
+            read += length + 1
+        if held is not None:
+            yield held + "}" * _braced(read, size)
+
+    depth, quoted, listed, after = 0, False, None, False
+    held: list[str] = []
+    begun = 0
+    for chunk in text():
+        start = 0
+        if listed is None:
+            if not chunk.strip("\ufeff \t\r\n"):
+                continue
+            listed = chunk.lstrip("\ufeff \t\r\n").startswith("[")
+            start = chunk.index("[") + 1 if listed else 0
+        if not listed:
+            held.append(chunk)
+            continue
+        if depth < 0 and chunk.strip():
+            raise ValueError("text behind the list")
+        for mark in re.compile(r'\\.|["\[\]{},]', re.S).finditer(chunk, start):
+            at, sign = mark.start(), mark[0]
+            if sign == '"':
+                quoted = not quoted
+            elif quoted or sign[0] == "\\":
+                continue
+            elif sign in "[{":
+                depth += 1
+            elif sign in "]}" and depth > 0:
+                depth -= 1
+            elif sign == "}" or depth < 0:
+                raise ValueError("not balanced")
+            elif depth == 0:
+                element = ("".join(held) + chunk[start:at]).strip()
+                if element or sign == "," or after:
+                    json.loads(element)
+                    yield element
+                held, begun, start, after = [], 0, at + 1, sign == ","
+                if sign == "]":
+                    depth = -1
+                    if chunk[start:].strip():
+                        raise ValueError("text behind the list")
+        if depth >= 0:
+            held.append(chunk[start:])
+            begun += len(held[-1])
+            if begun > LONGEST:
+                raise ValueError("an element without end")
+    if listed and depth >= 0:
+        raise ValueError("a list without end")
+    if not listed:
+        document = "".join(held).strip("\ufeff \t\r\n")
+        json.loads(document)
+        yield document
 
-    def rows(path: str, content: bytes) -> Iterator[tuple]:
-        whole, header, places = True, None, []
-        try:
-            given = content.decode("utf-8-sig")
-        except UnicodeDecodeError:
-            whole, given = False, content.decode("utf-8-sig", "surrogateescape")
-        for line, row, text in _records(list(io.StringIO(given, newline=""))):
-            if not whole:
-                bytes_ = (text if row is None else ",".join(row)).encode("utf-8", "surrogateescape")
+
+def _json_rows(files: DataFrame, names: list[str]) -> DataFrame:
+    """The same for documents that hold one object or a list of them; ``line`` is the number of the element, and
+    null in documents of flat objects, whose parts are read on their own."""
+    spark = files.sparkSession
+    empty = spark.createDataFrame([], "path string, line bigint, text string")
+    chunks = _pieces(files, "}")
+    if chunks is None:
+        return _objects(empty, names)
+    cut = F.regexp_replace("value", r"^[\s\ufeff]*[\[,]?\s*", "")
+    begin = F.substr(F.regexp_replace("value", r"^[\s\ufeff]+", ""), F.lit(1), F.lit(1))
+    sound = chunks.withColumn("sound", F.is_valid_utf8("value"))
+    flat = sound.withColumns({
+        "value": F.when(F.col("sound"), F.col("value")), "length": F.octet_length("value")}).select(
+        "file", "size", "block", "id", "value", "length", "sound", F.coalesce(begin, F.lit("")).alias("begin"),
+        F.when(cut.startswith("{"), F.concat(cut, F.lit("}"))).alias("object"))
+    rest = F.col("object").isNull()
+    keys = F.json_object_keys("object").isNotNull() & ~F.substr("object", F.lit(2)).contains("{")
+    order = F.struct("block", "id")
+    layout = flat.groupBy("file").agg(
+        F.bool_and(F.col("sound") & (keys | (rest & F.col("value").rlike(r"^[\s\ufeff]*[\[]?\s*\]?\s*$")))).alias("simple"),
+        F.min_by("begin", order).alias("first"), F.max_by("begin", order).alias("last"),
+        F.count_if(F.col("begin") == "[").alias("opened"), F.count_if(F.col("begin") == ",").alias("commas"),
+        F.count_if(rest & (F.col("begin") == "]")).alias("closed"), F.count("object").alias("objects"),
+        (F.max("size") - F.sum(F.col("length") + 1)).isin(0, 3).alias("braced"))
+    one = (F.col("opened") == 0) & (F.col("objects") == 1) & (F.col("commas") == 0) & (F.col("closed") == 0)
+    many = ((F.col("first") == "[") & (F.col("opened") == 1) & (F.col("closed") == 1) & (F.col("objects") > 0)
+            & (F.col("commas") == F.col("objects") - 1) & (F.col("last").isin("]", "")))
+    # A row per file, of which the driver holds the names.
+    seen = layout.select("file", _path(F.col("file")).alias("path"), (F.col("simple") & (one | many) & ~(F.col("braced") & many)).alias("flat")).toPandas()
+    known = spark.createDataFrame([(r.file, r.path, bool(r.flat)) for r in seen.itertuples()], "file string, path string, flat boolean")
+    parts = [flat.join(F.broadcast(known.filter("flat")), "file").filter(~rest)
+             .select("path", F.lit(None).cast("bigint").alias("line"), F.col("object").alias("text"))]
+    if not seen["flat"].all():
+        others = flat.select("file", "size", "block", "id", "length", F.col("value")).join(
+            F.broadcast(known.filter("not flat")), "file")
+        ordered = _in_order(others.withColumn("value", F.coalesce("value", F.unhex(F.lit("FF")).cast("string"))), "size", "length")
+
+        def broken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for name, own in _by_file(batches):
                 try:
-                    bytes_.decode("utf-8")
-                except UnicodeDecodeError:
-                    row, text = None, bytes_.decode("utf-8", "replace")
-            if row is None:
-                header = [] if header is None else header
-                yield path, line, None, text, UNREADABLE
-            elif header is None:
-                header = [name.strip() for name in row]
-                places = [header.index(name) if name in header else None for name in names]
-            elif len(row) > len(header):
-                # Without a header that can be read no cell has a name.
-                yield path, line, None, ",".join(row), TOO_LONG if header else UNREADABLE
-            elif row:
-                cells = [row[p] if p is not None and p < len(row) else None for p in places]
-                yield path, line, cells, ",".join(row), None
-
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def packed(some: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), kinds.values())],
-                                              names=list(kinds))
-        for batch in batches:
-            for path, content in zip(batch.column(0), batch.column(1)):
-                some: list[tuple] = []
-                for row in rows(path.as_py(), content.as_py()):
-                    some.append(row)
-                    if len(some) == _BATCH_ROWS:
-                        yield packed(some)
-                        some = []
-                if some:
-                    yield packed(some)
-
-    return files.select("path", "content").mapInArrow(
-        parse, "path string, line bigint, cells array<string>, text string, reject string")
+                    for _ in _elements(own):
+                        pass
+                except (ValueError, RecursionError):
+                    yield pa.RecordBatch.from_arrays([pa.array([name])], names=["path"])
 
+        bad = [row.path for row in ordered.mapInArrow(broken, "path string").collect()]
+        lost = frozenset(bad)
 
-def _json_rows(files: DataFrame, names: list[str]) -> DataFrame:
-    """The same for documents that hold one object or a list of them."""
-    text = F.try_validate_utf8(F.col("content").cast("string"))
-    listed = F.coalesce(F.from_json(text, "array<string>"), F.array(F.lit(None).cast("string")))
-    elements = F.when(F.ltrim(text).startswith("["), listed).otherwise(F.array(text))
+        def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for name, own in _by_file(batches):
+                if name not in lost:
+                    for line, element in enumerate(_elements(own)):
+                        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([line], pa.int64()), pa.array([element])],
+                                                         names=["path", "line", "text"])
+
+        parts.append(ordered.mapInArrow(elements, "path string, line bigint, text string"))
+        parts.append(spark.createDataFrame([(name, 0, None) for name in bad], empty.schema))
+    return _objects(reduce(DataFrame.unionByName, parts), names)
+
+
+def _objects(rows: DataFrame, names: list[str]) -> DataFrame:
     fields = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    rows = files.select("path", F.posexplode(elements).alias("line", "text"))
     rows = rows.withColumn("record", F.explode(F.array(parse_object(F.col("text"), fields))))
     bad = F.col("record").isNull() | F.col(f"record.{CORRUPT}").isNotNull()
     return rows.select(
-        "path", F.col("line").cast("bigint").alias("line"),
-        F.when(~bad, F.array(*[F.col(f"record.{name}") for name in names])).alias("cells"), "text",
+        "path", "line", F.when(~bad, F.array(*[F.col(f"record.{name}") for name in names])).alias("cells"), "text",
         F.when(F.col("text").isNull(), UNREADABLE).when(bad, NO_OBJECT).alias("reject"))
 
 
@@ -157,7 +410,8 @@ def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
     fits = F.col("reject").isNull() & ~reduce(lambda a, b: a | b, bad)
     misfits = F.concat_ws(",", *[F.when(b, F.lit(f.name)) for b, f in zip(bad, schema)])
     reject = F.when(~fits, F.coalesce("reject", F.concat(F.lit("does not fit: "), misfits)))
-    return rows.select("path", "line", "text", reject.alias("reject"),
+    text = F.coalesce("text", F.when(F.col("reject").isNull() & ~fits, F.concat_ws(",", *[F.coalesce(f"_g{i}", F.lit("")) for i in range(len(texts))])))
+    return rows.select("path", "line", text.alias("text"), reject.alias("reject"),
                        *[F.when(fits, F.col(f"_v{i}")).alias(f.name) for i, f in enumerate(schema)])
 
 

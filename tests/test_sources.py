@@ -168,3 +168,66 @@ def test_silver_copy_and_adhoc_sql(spark, tmp_path):
                          left_t=a, right_t=b)
     assert joined.first().n == 2
     assert spark.read.parquet(f"{tmp_path}/a").filter("run_ts = '2024-01-01_00-00-00'").count() == 4
+
+
+def test_long_files_are_read_in_blocks(spark, tmp_path):
+    """Blocks much shorter than the files: rows, rejects and line numbers are the same."""
+    lines = [f"t{i},1,2,3,4.5,,1" for i in range(3_000)]
+    lines[700], lines[2_000], lines[2_500] = "t700,1,2,x,4.5,,1", '"t,2000",1,2,3,4.5,,1', 't2500,"x"y'
+    (tmp_path / "flat.csv").write_text(HEADER + "\r\n".join(lines) + "\r\n", newline="")
+    broken = list(lines)
+    broken[1_000] = '"two\nlines",1,2,3,4.5,,1'
+    (tmp_path / "joined.csv").write_text(HEADER.replace(",", '","').replace("tr", '"tr').replace("\n", '"\n') + "\n".join(broken))
+    objects = [json.dumps({"inventory_id": i, "product_id": 7, "note": "}" if i == 5 else "{"}) for i in range(2_000)]
+    (tmp_path / "nested.json").write_text("[" + ",\n".join(objects) + "]\n")
+    flat = ", ".join(o.replace('"}"', '""').replace('"{"', '""') for o in objects)
+    (tmp_path / "flat.json").write_text(f"[ {flat} ]", encoding="utf-8-sig")
+    (tmp_path / "marked.json").write_text("[" + ",".join(objects) + "]", encoding="utf-8-sig")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        rows = landing.parse_csv(landing.files(spark, str(tmp_path), landing.CSV_GLOB), POS).collect()
+        items = landing.parse_json(landing.files(spark, str(tmp_path), landing.JSON_GLOB), INVENTORY).collect()
+        parts = landing._pieces(landing.files(spark, str(tmp_path), landing.CSV_GLOB)).rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert parts > 10
+    for name, moved in (("flat.csv", 0), ("joined.csv", 1)):
+        own = [r for r in rows if r.path.endswith(name)]
+        assert len(own) == 3_000
+        assert sorted((r.line, r.text, r.reject) for r in own if r.reject) == [
+            (702, "t700,1,2,x,4.5,,1", "does not fit: quantity"), (2_502 + moved, 't2500,"x"y', landing.UNREADABLE)]
+        assert {"t,2000", "t0", "t2999"} <= {r.transaction_id for r in own}
+    assert "two\nlines" in {r.transaction_id for r in rows}
+    for name in ("nested.json", "flat.json", "marked.json"):
+        assert sorted(r.inventory_id for r in items if r.path.endswith(name)) == list(range(2_000))
+    assert not any(r.reject for r in items)
+
+
+def test_names_that_look_like_patterns(spark, tmp_path):
+    (tmp_path / "a[1]{x}+%20 *.csv").write_text(HEADER + "t1,1,2,3,4.5,,1\n")
+    (tmp_path / "a1x.csv").write_text(HEADER + "t2,1,2,3,4.5,,1\n")
+    rows = landing.parse_csv(landing.files(spark, str(tmp_path), landing.CSV_GLOB), POS).collect()
+    assert sorted(r.transaction_id for r in rows) == ["t1", "t2"]
+    one = landing.files(spark, [f"{tmp_path}/a[1]{{x}}+%20 *.csv"], "*")
+    assert [r.transaction_id for r in landing.parse_csv(one, POS).collect()] == ["t1"]
+
+
+def test_an_open_quote_ends_where_a_cell_is_too_long(spark, tmp_path, monkeypatch):
+    """The rows behind a quote that is never closed are rows again."""
+    monkeypatch.setattr(landing, "LONGEST", 200)
+    rows = list(landing._records(iter([('t0,"open', True)] + [(f"t{i},1", True) for i in range(100)])))
+    assert rows[0] == (1, None, 't0,"open') and [r[1][0] for r in rows[1:]] == [f"t{i}" for i in range(100)]
+
+
+@pytest.mark.parametrize("text, want", [
+    ('[{"a":"}"},[{"b":1}], "x,]y" ,5]', ['{"a":"}"}', '[{"b":1}]', '"x,]y"', "5"]), ("[]", []), (" [ ]\n", []),
+    ('{"a":{"b":[1]}}', ['{"a":{"b":[1]}}']), ("[1,]", None), ("[{}", None), ("[1] 2", None), ('[{"a":1}]}', None), ("", None)])
+def test_elements_of_a_document(text, want):
+    parts = text.split("}")
+    chunks = [(p, True, len(text.encode()), len(p.encode())) for p in (parts if parts[-1] else parts[:-1])]
+    try:
+        assert list(landing._elements(iter(chunks))) == want
+    except ValueError:
+        assert want is None

@@ -139,6 +139,20 @@ def test_files_are_ingested_once(spark, tmp_path):
     assert [r.reject for r in spark.read.parquet(f"{out}/rejects").collect()] == [landing.UNREADABLE]
 
 
+def test_a_file_beyond_the_limit_of_values_stops_nothing(spark, tmp_path):
+    header = ",".join(POS.names) + "\n"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "long.csv").write_text(header + "".join(f"t{i},1,1,1,1.0,,1.0\n" for i in range(500)))
+    (tmp_path / "in" / "short.csv").write_text(header + "s1,1,1,1,1.0,,1.0\n")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        files = landing.stream_files(spark, f"{tmp_path}/in", landing.CSV_GLOB)
+        streaming.ingest_files(files, POS, landing.parse_csv, f"{tmp_path}/out", f"{tmp_path}/cp", "2024-01-01").awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert spark.read.parquet(f"{tmp_path}/out/rows").count() == 501
+
+
 def test_announced_files_are_ingested(spark, tmp_path):
     header = ",".join(POS.names) + "\n"
     (tmp_path / "pos").mkdir()
