@@ -24,7 +24,7 @@ from ..plans.marketing import marketing_kpis_of_records
 from ..plans.support import clean_interactions, support_kpis_of_records
 from ..schemas import CRM_REQUIRED, RESOLUTION
 from ..sinks.folders import write_batch
-from ..sinks.items import current_items, put_items
+from ..sinks.items import buckets_of, current_items, fold_items, put_items
 from ..sinks.publish import POLL_SECONDS
 from ..sources import landing
 from ..sources.notifications import accepted_objects, manifest_counts, object_manifest
@@ -95,11 +95,12 @@ def validate(raw: DataFrame, path: str, checkpoint: str, required: list[str] = C
 
 
 def store_items(raw: DataFrame, path: str, checkpoint: str, key: str, order: list[str],
-                trigger: dict | None = None, encoded: bool = True) -> StreamingQuery:
+                trigger: dict | None = None, encoded: bool = True, fold_every: int = 16) -> StreamingQuery:
     """Every decoded record into the keyed store, with its text and all its fields as tagged values.
 
     Records without a key are no items; their number and that of undecodable ones show as the metric
-    ``items``.
+    ``items``. Fields are tagged once the last record of each key is known. The store is folded after every
+    ``fold_every`` batches, in the buckets that these have touched.
     """
     decoded = F.col("decoded")
     records = read_records(raw, encoded=encoded).observe(
@@ -108,8 +109,10 @@ def store_items(raw: DataFrame, path: str, checkpoint: str, key: str, order: lis
         F.count_if(~decoded).alias("undecodable"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        items = batch.filter("decoded").drop("decoded").withColumn("item", tagged_payload(F.col("payload")))
-        put_items(items, path, batch_id, key, order, query_id(batch))
+        put_items(batch.filter("decoded").drop("decoded"), path, batch_id, key, order, query_id(batch),
+                  lambda items: items.withColumn("item", tagged_payload(F.col("payload"))))
+        if batch_id % fold_every == fold_every - 1:
+            fold_items(batch.sparkSession, path, key)
 
     return _per_batch(records, handle, checkpoint, trigger)
 
@@ -195,7 +198,7 @@ def resolutions(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None
             "customer_id", "id", "interaction_type", "timestamp")
         seen = with_previous(rows)
         try:
-            last = current_items(session, f"{path}/last", "customer_id", before=(query, batch_id))
+            last = current_items(session, f"{path}/last", "customer_id", (query, batch_id), buckets_of(rows, "customer_id"))
             known = last.select(F.col("customer_id").alias("_customer"), F.col("timestamp").alias("_last"))
         except ValueError:
             known = session.createDataFrame([], "_customer string, _last double")

@@ -115,6 +115,27 @@ def test_folded_items_are_read_from_the_snapshot_alone(spark, tmp_path):
         items.current_items(spark, f"{tmp_path}/nothing", "k")
 
 
+def test_only_the_buckets_of_a_batch_are_read_and_folded(spark, tmp_path):
+    path = f"{tmp_path}/items"
+
+    def batch(*keys):
+        return spark.createDataFrame([(k, f"v{k}", 1.0) for k in keys], "k bigint, v string, t double")
+
+    items.put_items(batch(*range(400)), path, 0, "k", ["t"])
+    assert items.fold_items(spark, path, "k") == list(range(items.BUCKETS))
+    later = batch(3, 5)
+    items.put_items(later, path, 1, "k", ["t"])
+    touched = items.buckets_of(later, "k")
+    assert len(touched) == 2
+    read = {name.rsplit("bucket=", 1)[1].split("/")[0] for name in
+            items.current_items(spark, path, "k", buckets=touched).inputFiles()}
+    assert read == {str(b) for b in touched}
+    assert items.fold_items(spark, path, "k") == touched
+    assert len(items._buckets(spark, f"{path}/{items.SNAPSHOTS}/2/items")) == 2
+    assert items.current_items(spark, path, "k").count() == 400
+    assert items.fold_items(spark, path, "k") == []
+
+
 def test_messages_and_sends(spark):
     df = spark.createDataFrame([(5, "a"), (None, "b")], "id bigint, v string")
     keyed = publish.messages(df).collect()

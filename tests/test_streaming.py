@@ -98,6 +98,16 @@ def test_item_store_across_batches(spark, tmp_path):
         "rating": {"S": "n/a"}, "timestamp": {"N": "180.0"}}
 
 
+def test_the_item_store_is_folded_while_the_query_runs(spark, tmp_path):
+    raw = deliveries(spark, f"{tmp_path}/in", FIRST, SECOND, THIRD)
+    path = f"{tmp_path}/out"
+    streaming.store_items(raw, path, f"{tmp_path}/cp", "customer_id", ["timestamp", "id"], fold_every=2).awaitTermination()
+    number, folded, _ = items._snapshot(spark, path)
+    assert number == 1 and [name.rsplit("=", 1)[1] for name in folded] == ["0", "1"]
+    stored = {r.customer_id: r.id for r in items.current_items(spark, path, "customer_id").collect()}
+    assert stored == {"0": "5", "1": "7", "2": "3"}
+
+
 def test_a_new_checkpoint_keeps_what_is_stored(spark, tmp_path):
     """Two queries, with batch numbers from 0 each, into one output; then the first one again."""
     first, second = f"{tmp_path}/first", f"{tmp_path}/second"
