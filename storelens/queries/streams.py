@@ -166,7 +166,7 @@ def st_ext_prev_interaction(spark, sf_dir):
         raw = (spark.readStream.schema("recordId string, data string")
                .option("recursiveFileLookup", True).parquet(base))
         streaming.resolutions(raw, path, checkpoint).awaitTermination()
-    return spark.read.parquet(f"{path}/resolutions").drop("query", "batch_id")
+    return spark.read.parquet(f"{path}/resolutions").drop("query", "batch_id", "late")
 
 
 @query(feeds("""SELECT strftime(date_trunc('day', make_timestamp(CAST(floor("timestamp") * 1000000 AS BIGINT))),

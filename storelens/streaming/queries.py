@@ -18,17 +18,17 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.payload import tagged_payload
-from ..operators.previous import with_previous
 from ..operators.validation import removal_columns, result_columns, validate_records
 from ..plans.marketing import marketing_kpis_of_records
 from ..plans.support import clean_interactions, support_kpis_of_records
 from ..schemas import CRM_REQUIRED, RESOLUTION
 from ..sinks.folders import write_batch
-from ..sinks.items import buckets_of, current_items, fold_items, put_items
+from ..sinks.items import fold_items, put_items
 from ..sinks.publish import POLL_SECONDS
 from ..sources import landing
 from ..sources.notifications import accepted_objects, manifest_counts, object_manifest
 from ..sources.records import read_records
+from .state import keyed_state, with_last_seen
 
 ONCE = {"availableNow": True}
 POLLING = {"processingTime": f"{POLL_SECONDS} seconds"}
@@ -185,32 +185,22 @@ def announced_rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def resolutions(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-                encoded: bool = True) -> StreamingQuery:
+                encoded: bool = True, ttl_ms: int | None = None, initial: DataFrame | None = None) -> StreamingQuery:
     """Resolutions with the time of the customer's previous interaction, whichever batch that came in.
 
-    The last interaction of each customer is kept as a keyed item. Interactions are taken to come in
-    the order of their time from batch to batch; inside a batch they may be mixed. A repeated batch
-    looks at the items of the batches before it only.
+    The last interaction of each customer is kept in the state of the query (see ``with_last_seen``); no
+    batch reads what others have stored. Interactions that come after later ones are marked as ``late``.
     """
+    rows = clean_interactions(read_records(raw, encoded=encoded).filter("decoded")).select(
+        F.col("customer_id").cast("string").alias("customer_id"), "id", "interaction_type", "timestamp")
+    seen = with_last_seen(rows, ttl_ms, initial)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        session, query = batch.sparkSession, query_id(batch)
-        rows = clean_interactions(batch.filter("decoded")).select(
-            "customer_id", "id", "interaction_type", "timestamp")
-        seen = with_previous(rows)
-        try:
-            last = current_items(session, f"{path}/last", "customer_id", (query, batch_id), buckets_of(rows, "customer_id"))
-            known = last.select(F.col("customer_id").alias("_customer"), F.col("timestamp").alias("_last"))
-        except ValueError:
-            known = session.createDataFrame([], "_customer string, _last double")
-        found = (seen.filter(F.col("interaction_type") == RESOLUTION)
-                 .join(known, F.col("customer_id") == F.col("_customer"), "left")
-                 .select("customer_id", "id", "timestamp",
-                         F.coalesce("prev_timestamp", "_last").alias("prev_timestamp")))
-        write_batch(found, f"{path}/resolutions", batch_id, query)
-        put_items(rows, f"{path}/last", batch_id, "customer_id", ["timestamp", "id"], query)
+        found = batch.filter(F.col("interaction_type") == RESOLUTION).drop("interaction_type")
+        write_batch(found, f"{path}/resolutions", batch_id, query_id(batch))
 
-    records = read_records(raw, encoded=encoded)
-    return _per_batch(records, handle, checkpoint, trigger)
+    with keyed_state(raw.sparkSession):
+        return _per_batch(seen, handle, checkpoint, trigger)
 
 
 def windowed_support(raw: DataFrame, path: str, checkpoint: str, width: str = "1 day",

@@ -213,6 +213,27 @@ def test_previous_interaction_across_batches(spark, tmp_path):
         ("1", "2", 0.0), ("1", "7", 120.0), ("2", "8", 5.0), ("3", "9", None)]
 
 
+def test_previous_interactions_survive_a_restart(spark, tmp_path):
+    """State goes on from the checkpoint; late rows are marked and not remembered; a start can be given."""
+    def record(i, customer, time):
+        return {"id": i, "customer_id": customer, "interaction_type": "Resolution", "timestamp": time}
+
+    def run(*batches, start=None):
+        for i, batch in enumerate(batches):
+            (spark.createDataFrame([(str(r["id"]), wrap(r)) for r in batch], RAW).coalesce(1)
+             .write.mode("append").parquet(f"{tmp_path}/in"))
+            raw = spark.readStream.schema(RAW).parquet(f"{tmp_path}/in")
+            streaming.resolutions(raw, f"{tmp_path}/out", f"{tmp_path}/cp", initial=start).awaitTermination()
+        rows = spark.read.parquet(f"{tmp_path}/out/resolutions").collect()
+        return sorted((r.id, r.prev_timestamp, r.late) for r in rows)
+
+    known = spark.createDataFrame([("5", 1.0, "a"), ("5", 3.0, "b")], "customer_id string, timestamp double, id string")
+    first = run([record(1, 1, 10.0), record(2, 1, 20.0), record(3, 5, 7.0)], start=known)
+    assert first == [("1", None, False), ("2", 10.0, False), ("3", 3.0, False)]
+    later = run([record(4, 1, 15.0), record(5, 1, 16.0), record(6, 1, 30.0)], [record(7, 1, 31.0), record(8, 5, 8.0)], start=known)
+    assert later == first + [("4", None, True), ("5", 15.0, True), ("6", 20.0, False), ("7", 30.0, False), ("8", 7.0, False)]
+
+
 def observed(query, name):
     query.awaitTermination()
     return [tuple(p.observedMetrics[name]) for p in query.recentProgress if p.observedMetrics]
