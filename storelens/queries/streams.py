@@ -11,6 +11,7 @@ from ..session import work_dir
 from ..sinks import items, publish
 from ..sources import landing
 from ..sources.records import parse_records, read_records
+from ..streaming import metrics
 from ..streaming import queries as streaming
 from . import support as support_queries
 from .registry import feeds, query, rounded
@@ -72,6 +73,23 @@ def st_validate(spark, sf_dir):
     return spark.read.parquet(path).select("recordId", "result")
 
 
+@query(feeds("""SELECT 'results' AS name, 'records' AS metric, count(*) AS value FROM validated
+UNION ALL SELECT 'results', 'valid', count(*) FILTER (result = 'Ok') FROM validated
+UNION ALL SELECT 'results', 'dropped', count(*) FILTER (result <> 'Ok') FROM validated""", "validated"))
+def st_validate_counts(spark, sf_dir):
+    """What a stream has counted, from the rows that its reports are stored as."""
+    path, checkpoint = _folders(spark, "counted")
+    listener = metrics.MetricRows(spark, f"{path}/counts")
+    spark.streams.addListener(listener)
+    try:
+        raw = fixtures.raw_records_of(fixtures.events_stream(spark, sf_dir))
+        listener.finish(streaming.validate(raw, f"{path}/records", checkpoint))
+    finally:
+        spark.streams.removeListener(listener)
+    counts = metrics.stored_counts(spark, f"{path}/counts")
+    return counts.groupBy("name", "metric").agg(F.sum("value").alias("value"))
+
+
 @query(feeds("""SELECT customer_id, arg_max(id, struct_pack(t := "timestamp", i := id)) AS id,
   arg_max(interaction_type, struct_pack(t := "timestamp", i := id)) AS interaction_type,
   '{"N":"' || arg_max(id, struct_pack(t := "timestamp", i := id)) || '"}' AS id_tag,

@@ -68,7 +68,8 @@ RECORD = _schema(
 NOTIFICATION = _schema(
     Event=StringType(),
     Records=ArrayType(
-        _schema(s3=_schema(bucket=_schema(name=StringType()), object=_schema(key=StringType())))
+        _schema(s3=_schema(bucket=_schema(name=StringType()), object=_schema(
+            key=StringType(), versionId=StringType(), eTag=StringType(), sequencer=StringType())))
     ),
 )
 

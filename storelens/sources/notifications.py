@@ -15,10 +15,11 @@ OBJECT, TEST, BAD_MESSAGE, BAD_ENTRY = "object", "test event", "bad message", "b
 EMPTY = "empty message"
 
 
-def object_manifest(messages: DataFrame, body: str = "body") -> DataFrame:
+def object_manifest(messages: DataFrame, body: str = "body", versions: bool = False) -> DataFrame:
     """One row per announced object, with its bucket, decoded key and what became of it.
 
-    Messages that announce nothing keep one row, so that they can be counted.
+    Messages that announce nothing keep one row, so that they can be counted. ``versions`` adds
+    ``version``, the version, tag or sequence number of the object, whichever the notice has first.
     """
     others = [c for c in messages.columns if c != body]
     parsed = messages.select(*others, parse_object(F.col(body), NOTIFICATION).alias("m"))
@@ -37,7 +38,25 @@ def object_manifest(messages: DataFrame, body: str = "body") -> DataFrame:
     )
     return entries.select(*others, outcome.alias("outcome"),
                           F.when(found, bucket).alias("bucket"),
-                          F.when(found, key).alias("key"))
+                          F.when(found, key).alias("key"),
+                          *([_version(found).alias("version")] if versions else []))
+
+
+def _version(found: Column) -> Column:
+    named = [F.col(f"entry.s3.object.{name}") for name in ("versionId", "eTag", "sequencer")]
+    return F.when(found, F.coalesce(*named))
+
+
+def new_notices(messages: DataFrame, within: str, body: str = "body") -> DataFrame:
+    """The manifest of a stream of messages without notices that came before: the same bucket, key and version
+    of an object, or the same message that announces none, ``within`` the given time of arrival. Queues
+    deliver at least once."""
+    rows = object_manifest(messages.select(F.col(body), F.md5(body).alias("_message")), body, versions=True)
+    none = F.lit("")
+    notice = F.struct(*[F.coalesce(c, none).alias(c) for c in ("bucket", "key", "version")],
+                      F.when(F.col("outcome") == OBJECT, none).otherwise(F.coalesce("_message", none)).alias("message"))
+    return (rows.select("outcome", "bucket", "key", notice.alias("_notice"), F.current_timestamp().alias("_arrived"))
+            .withWatermark("_arrived", within).dropDuplicatesWithinWatermark(["_notice"]).drop("_notice", "_arrived"))
 
 
 def _accepted(bucket: str, prefix: str, extension: str) -> Column:

@@ -26,7 +26,7 @@ from ..sinks.folders import write_batch
 from ..sinks.items import fold_items, put_items
 from ..sinks.publish import POLL_SECONDS
 from ..sources import landing
-from ..sources.notifications import accepted_objects, manifest_counts, object_manifest
+from ..sources.notifications import accepted_objects, manifest_counts, new_notices
 from ..sources.records import read_records
 from .state import keyed_state, with_last_seen
 
@@ -142,17 +142,20 @@ def ingest_announced(messages: DataFrame, rule: tuple[str, str, str], schema: St
                      parse: ParseFiles, path: str, checkpoint: str,
                      locate: Callable[[str, str], str] = "s3a://{}/{}".format,
                      date: dt.date | str | None = None,
-                     trigger: dict | None = None) -> StreamingQuery:
+                     trigger: dict | None = None, repeats_within: str = "1 day") -> StreamingQuery:
     """New landing files to bronze as queue messages announce them, without listing the folder.
 
     ``rule`` is the bucket, prefix and extension to accept, ``locate`` makes a path of bucket and
-    key. Names come to the driver ``ANNOUNCED_FILES`` at a time. A file that isn't there is a reject
-    and doesn't stop the others. A repeated batch replaces its own folders. ``counts`` has a row
-    per batch with the objects that were taken and those that failed.
+    key. A notice that came before, up to ``repeats_within`` ago, is left out, whichever batch it comes in; one
+    with another version of the object isn't. Names come to the driver ``ANNOUNCED_FILES`` at a time. A file
+    that isn't there is a reject and doesn't stop the others. A repeated batch replaces its own folders.
+    ``counts`` has a row per batch with the objects that were taken and those that failed.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         session, query = batch.sparkSession, query_id(batch)
-        manifest = object_manifest(batch)
+        # Stored once: reading the state again for each use would cost as much as the batch.
+        write_batch(batch, f"{path}/notices", batch_id, query)
+        manifest = session.read.schema(batch.schema).parquet(f"{path}/notices/query={query}/batch_id={batch_id}")
         names = accepted_objects(manifest, *rule).select("bucket", "key").distinct().orderBy("bucket", "key")
         found = names.toLocalIterator()
         missing = part = 0
@@ -171,7 +174,7 @@ def ingest_announced(messages: DataFrame, rule: tuple[str, str, str], schema: St
                                (F.col("failed") + missing).alias("failed"))
         write_batch(counts, f"{path}/counts", batch_id, query)
 
-    return _per_batch(messages, handle, checkpoint, trigger)
+    return _per_batch(new_notices(messages, repeats_within), handle, checkpoint, trigger)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
