@@ -101,6 +101,10 @@ class Matcher:
                     (seed[2:-1], first, len(self.patterns) - 1))
 
     def matches(self, text: str | None) -> list[tuple[int, int, int, int]]:
+        """Item, first and last word and distance of what stands in the text."""
+        return [match[:4] for match in self.measured(text)]
+
+    def measured(self, text: str | None) -> list[tuple[int, int, int, int, int]]:
         """``item_id, first_word, last_word, distance`` of the best match of each item found: the
         least distance, the first place where such a match ends, the shortest such match."""
         words = words_of(text)
@@ -126,7 +130,7 @@ class Matcher:
                     if best is None or distance < best[1]:
                         best = (place, distance)
             if best:
-                found.append((item_id, pattern.begin(words, *best), *best))
+                found.append((item_id, pattern.begin(words, *best), *best, len(pattern.words)))
         return found
 
 
@@ -182,11 +186,10 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, errors: float = ERR
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(shared.value, errors)
-            length = {item_id: len(p.words) for item_id, p in matcher.patterns}
             for batch in batches:
-                rows = [(doc_id.as_py(), *match, length[match[0]])
+                rows = [(doc_id.as_py(), *match)
                         for doc_id, text in zip(batch.column(0), batch.column(1))
-                        for match in matcher.matches(text.as_py())]
+                        for match in matcher.measured(text.as_py())]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
                                                      schema.replace(" long", "").split(", "))

@@ -43,8 +43,11 @@ NAMED = re.compile(
     r"alerts?|popup|modal|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommended|"
     r"widget|toolbar|pagination|pager|tags?|copyright|legal|disclaimer|skip|search|complementary|contentinfo)(?:$|[\s_-])")
 
+# Names of what readers have written; nothing makes it the article.
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|replies)(?:$|[\s_-])")
+
 LONG, SHORT = 140, 50
-STOP_HIGH, STOP_LOW = 0.30, 0.15
+STOP_HIGH, STOP_LOW = 0.22, 0.12
 MOST_LINKS = 0.33
 
 _TOKEN = re.compile(
@@ -61,10 +64,15 @@ _SPACE = re.compile(r"\s+")
 
 class Block(NamedTuple):
     text: str
+    # Characters and number of its links.
     linked: int
+    links: int
     heading: bool
     article: bool
     aside: bool
+    # Items of lists, and cells of tables.
+    item: bool
+    cell: bool
 
 
 class Inside(NamedTuple):
@@ -76,22 +84,26 @@ class Inside(NamedTuple):
     heading: bool
     # Places of the elements around whose class, id or role names what is not the article.
     named: tuple[int, ...]
+    item: bool = False
+    cell: bool = False
 
 
 _OUTSIDE = Inside("", False, False, False, False, False, ())
 
 
-def _attributes(text: str) -> tuple[bool, bool]:
-    """Whether attributes hide an element, and whether they name what is not the article."""
-    hidden = named = False
+def _attributes(text: str) -> tuple[bool, bool, bool]:
+    """Whether attributes hide an element, whether they name what is not the article, and comments."""
+    hidden = named = comments = False
     for match in _ATTRIBUTE.finditer(text):
         name, value = match[1].lower(), (match[2] or match[3] or match[4] or "").lower()
         if name == "hidden" or (name == "aria-hidden" and value.strip() == "true") or (
                 name == "style" and _NONE.search(value)):
             hidden = True
         elif name in ("class", "id", "role"):
-            named = named or any(NAMED.search(token) for token in value.split() if not token.startswith(_ABOUT))
-    return hidden, named
+            tokens = [token for token in value.split() if not token.startswith(_ABOUT)]
+            named = named or any(map(NAMED.search, tokens))
+            comments = comments or any(map(COMMENTS.search, tokens))
+    return hidden, named, comments
 
 
 def _cleared(blocks: list[Block], around: list[tuple[int, ...]], articles: list[tuple[int, ...]]) -> set[int]:
@@ -127,9 +139,10 @@ def blocks_of(html: str) -> list[Block]:
         if parts:
             text = _SPACE.sub(" ", "".join(t for t, _ in parts)).strip()
             if text:
-                linked = sum(len(_SPACE.sub(" ", t).strip()) for t, link in parts if link)
+                linked = [len(_SPACE.sub(" ", t).strip()) for t, link in parts if link]
                 here = inside()
-                found.append(Block(text, linked, here.heading, here.article, here.aside))
+                found.append(Block(text, sum(linked), sum(map(bool, linked)), here.heading, here.article, here.aside,
+                                   here.item, here.cell))
                 around.append(here.named)
             parts.clear()
 
@@ -168,16 +181,18 @@ def blocks_of(html: str) -> list[Block]:
             at = closing.end() if closing else end
             continue
         here = inside()
-        hidden, names = _attributes(attributes) if attributes else (False, False)
-        aside = name in ASIDE or (name == "header" and not here.article)
-        named = (*here.named, places) if names and name not in ("html", "body", *ARTICLE) else here.named
+        hidden, names, comments = _attributes(attributes) if attributes else (False, False, False)
+        comments = comments and name not in ("html", "body")
+        aside = name in ASIDE or (name == "header" and not here.article) or comments
+        named = (*here.named, places) if names and name not in ("html", "body", "main") else here.named
         if named is not here.named:
             places += 1
         silent = here.silent or name in SILENT or hidden
-        if name in ARTICLE and not silent and not here.aside:
+        if name in ARTICLE and not silent and not here.aside and not aside:
             articles.append(named)
         open_.append(Inside(name, silent, here.aside or aside, here.article or name in ARTICLE,
-                            here.link or name == "a", here.heading or name in HEADING, named))
+                            here.link or name == "a", here.heading or name in HEADING, named,
+                            here.item or name == "li", here.cell or name in ("td", "th")))
         count[name] += 1
     close_block()
     cleared = _cleared(found, around, articles)
@@ -197,30 +212,32 @@ def _ended_by(open_: list[Inside], name: str) -> int | None:
 
 
 def first_pass(block: Block) -> str:
-    """``good``, ``bad``, ``near`` (likely good) or ``short``, by link density, length and density of
-    stop words; blocks of an article need no proof by words."""
+    """``good``, ``bad``, ``near`` (likely good) or ``short``, by link density, length and density of stop words.
+    The mark of an article is one more sign: it raises what the words say by one step."""
     length = len(block.text)
-    links = block.linked / length
-    if block.aside or (links > MOST_LINKS and not block.heading):
-        return "bad"
-    if block.article:
-        return "good" if length >= SHORT else "short"
-    if "©" in block.text[:80]:
+    if block.aside:
         return "bad"
+    if block.linked > MOST_LINKS * length and not block.heading:
+        # Inside of an article only lists of links are none of it, not a sentence with a long link.
+        return "bad" if not block.article or block.item or block.links > 1 else "near"
+    if "©" in block.text[:80] and length < LONG:
+        return "short"
     if length < SHORT:
-        return "bad" if block.linked else "short"
+        return "bad" if block.linked and not block.article else "short"
     words = _WORD.findall(block.text.lower())
     stops = sum(word in STOP_WORDS for word in words) / max(1, len(words))
     if stops >= STOP_HIGH:
-        return "good" if length > LONG else "near"
-    return "near" if stops >= STOP_LOW else "bad"
+        return "good" if block.article or length > LONG else "near"
+    if stops >= STOP_LOW:
+        return "good" if block.article else "near"
+    return "near" if block.article else "short" if block.cell else "bad"
 
 
 def classify(blocks: list[Block]) -> list[bool]:
     """Whether each block is main text. Blocks that the first pass leaves open inherit from the
     nearest decided neighbours: both good make it good and both bad bad; between the two, a likely
     good one and a heading before text stay. In pages that mark their article, blocks outside are
-    bad, and blocks inside have no bad neighbours outside."""
+    bad, and blocks inside have no bad neighbours outside; likely good ones among them stay."""
     marked = any(b.article and not b.aside for b in blocks)
     kinds = ["bad" if marked and not b.article else first_pass(b) for b in blocks]
     keep = [kind == "good" for kind in kinds]
@@ -231,7 +248,7 @@ def classify(blocks: list[Block]) -> list[bool]:
             continue
         sides = [side for side in (before[i], after[i]) if side is not None]
         if blocks[i].article:
-            keep[i] = not sides or any(sides)
+            keep[i] = kind == "near" or not sides or any(sides)
         elif not sides:
             keep[i] = kind == "near"
         elif all(sides):

@@ -48,7 +48,7 @@ def assign(rows: DataFrame, shards: int = SHARDS, parcels: int = PARCELS) -> Dat
 
     Law: bytes. Shards get near equal sums of ``size``; their sums of tokens and rows are balanced
     besides. Groups stay together, unless a group alone is more than a parcel: such a group is cut
-    by document. ``slot`` numbers the rows of a shard without gaps from 0.
+    by row, repeated rows too. ``slot`` numbers the rows of a shard without gaps from 0.
 
     The packing sees parcels only. Groups that hold less than a parcel's share of everything are
     dealt to ``shards * parcels`` parcels by hash; a larger group makes at most a parcel for each
@@ -65,13 +65,14 @@ def assign(rows: DataFrame, shards: int = SHARDS, parcels: int = PARCELS) -> Dat
     cuts = F.ceil(F.greatest(*[F.col(c) / F.lit(s) for c, s in zip(names, share)])).cast("long")
     large = (groups.withColumn("_cuts", cuts).filter(F.col("_cuts") > 1)
              .select(F.col("_group").alias("_large"), F.least("_cuts", "_rows").alias("_cuts")))
-    own = F.xxhash64("_group", F.pmod(F.xxhash64(F.coalesce("doc_id", "_salt")), F.col("_cuts")))
+    # Rows have numbers of their own: those that repeat an id and a text are parted too.
+    own = F.xxhash64("_group", F.pmod(F.xxhash64("_salt"), F.col("_cuts")))
     keyed = stored(
         rows.withColumn("_salt", F.monotonically_increasing_id())
         .join(F.broadcast(large), F.col("_group") == F.col("_large"), "left")
         .withColumn("_parcel", F.when(F.col("_cuts").isNotNull(), own)
                     .otherwise(F.pmod(F.xxhash64("_group"), F.lit(wanted))))
-        .drop("_salt", "_large", "_cuts"),
+        .drop("_large", "_cuts"),
         "parcels")
     sums = keyed.groupBy("_parcel").agg(*measures).toPandas().sort_values("_parcel")
     packed = pack(sums[names].to_numpy(dtype=np.int64).reshape(-1, 3), shards)
@@ -79,10 +80,10 @@ def assign(rows: DataFrame, shards: int = SHARDS, parcels: int = PARCELS) -> Dat
     placed = keyed.join(F.broadcast(table), "_parcel")
     per_shard = -(-int(total["_rows"] or 0) // shards)
     buckets = max(1, -(-per_shard // SLOT_ROWS))
-    spread = F.pmod(F.xxhash64("doc_id", "_group"), F.lit(buckets))
+    spread = F.pmod(F.xxhash64("_salt"), F.lit(buckets))
     numbered = prefix_sum(placed.withColumn("_bucket", spread), ["shard"], "_bucket",
                           [F.col("doc_id"), F.col("_group")], F.lit(1), "slot")
-    return numbered.drop("_bucket", "_parcel")
+    return numbered.drop("_bucket", "_parcel", "_salt")
 
 
 def shard_documents(documents: DataFrame, words: Column, shards: int = SHARDS) -> DataFrame:

@@ -2,10 +2,10 @@
 
 A folder written by ``write_files`` holds
 
-* ``ids/shard-<n>.bin``: ids of consecutive documents as little-endian unsigned integers of
+* ``ids/shard-<n>-<attempt>.bin``: ids of consecutive documents as little-endian unsigned integers of
   ``id_width`` bytes, without any header; the shards in order hold the documents in ascending doc_id
-  order;
-* ``manifest`` (Parquet): a row per document with its key, shard, place in it and number of ids;
+  order. A shard that several attempts of a task have written counts in the attempt that the manifest names;
+* ``manifest`` (Parquet): a row per document with its key, shard, attempt, place in it and number of ids;
 * ``index`` (Parquet): a row per hash bucket with the displacements of its minimal perfect hash and
   the fingerprint, shard, offset and number of ids of each slot.
 
@@ -41,7 +41,9 @@ GROUP_KEYS = 4
 CACHE_PARTS = 700_000
 _BATCH_BYTES = 3 << 20
 
-MANIFEST = "doc_id long, repeat long, shard int, pos long, offset long, n_tokens long"
+MANIFEST = "doc_id long, repeat long, shard int, attempt long, pos long, offset long, n_tokens long"
+# Spark's names of stores that Arrow has under another name.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss", "wasb": "abfss", "wasbs": "abfss"}
 
 
 class WordEncoder:
@@ -153,11 +155,21 @@ def _portions(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[st
         yield ids, texts
 
 
+def arrow_address(folder: str) -> str:
+    """The address of a folder as Arrow knows it."""
+    scheme, mark, rest = folder.partition("://")
+    return f"{_SCHEMES.get(scheme, scheme)}{mark}{rest}"
+
+
+def _shard_name(root: str, shard: int, attempt: int) -> str:
+    return f"{root}/shard-{shard:06d}-{attempt}.bin"
+
+
 def write_files(documents: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID) -> DataFrame:
     """Encode all documents into ``folder``; returns its manifest.
 
-    Every task encodes a range of doc_ids and writes it to a shard of its own: first under the name
-    of its attempt, then renamed, so that a repeated task replaces its shard by an equal one.
+    Every task encodes a range of doc_ids and writes it to a shard of its own, under the name of its
+    attempt. What a lost or repeated attempt has left is not named by the manifest, and nothing is renamed.
     Null texts count as empty and have only the end id. Null ids come first. Rows that repeat an id
     follow each other and are numbered from 0; equal ids are ordered by the hash of their text.
     An empty table gives no shards. Other columns are ignored.
@@ -167,32 +179,27 @@ def write_files(documents: DataFrame, tokenizer_path: str, folder: str, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         shard = context.partitionId()
-        files, root = pafs.FileSystem.from_uri(f"{folder}/ids")
+        attempt = context.taskAttemptId()
+        files, root = pafs.FileSystem.from_uri(arrow_address(f"{folder}/ids"))
         files.create_dir(root, recursive=True)
-        name = f"{root}/shard-{shard:06d}.bin"
-        attempt = f"{name}.{context.taskAttemptId()}"
         encoder, out = _encoder(tokenizer_path), None
         position = offset = repeat = 0
         last: object = object()
         for ids, texts in _portions(batches):
-            out = out or files.open_output_stream(attempt)
+            out = out or files.open_output_stream(_shard_name(root, shard, attempt))
             rows: list[tuple] = []
             for doc_id, values in zip(ids, encoder.encode(texts)):
                 repeat = repeat + 1 if doc_id == last else 0
                 last = doc_id
                 values = np.append(values, end_id)
                 out.write(values.astype(kind).tobytes())
-                rows.append((doc_id, repeat, shard, position, offset, len(values)))
+                rows.append((doc_id, repeat, shard, attempt, position, offset, len(values)))
                 position += 1
                 offset += len(values)
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), _MANIFEST_TYPES)]
             yield pa.RecordBatch.from_arrays(columns, names=_MANIFEST_NAMES)
         if out:
             out.close()
-            # Some file systems don't rename onto a file that an earlier attempt has left.
-            if files.get_file_info(name).type != pafs.FileType.NotFound:
-                files.delete_file(name)
-            files.move(attempt, name)
 
     keyed = documents.select("doc_id", whole_text().alias("text"))
     content = F.xxhash64("text")
@@ -302,7 +309,7 @@ def _print_of(keys: np.ndarray) -> np.ndarray:
 
 
 # What a slot holds besides its fingerprint.
-_HELD = {"shard": "<i4", "offset": "<i8", "start": "<i8", "n_tokens": "<i8"}
+_HELD = {"shard": "<i4", "attempt": "<i8", "offset": "<i8", "start": "<i8", "n_tokens": "<i8"}
 INDEX = "bucket long, keys long, seeds binary, prints binary, " + ", ".join(f"{n} binary" for n in _HELD)
 
 
@@ -335,10 +342,10 @@ def _keyed(rows: DataFrame, buckets: int) -> DataFrame:
 
 
 def look_up(keys: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
-    """``doc_id, repeat`` of ``keys`` with their ``shard, offset, start, n_tokens``, from the index
+    """``doc_id, repeat`` of ``keys`` with their ``shard, attempt, offset, start, n_tokens``, from the index
     alone: a bucket, a seed, a slot and its fingerprint for each. Keys that it doesn't hold are left
     out (but for one in four billion, whose fingerprint agrees by chance)."""
-    schema = "doc_id long, repeat long, shard int, offset long, start long, n_tokens long"
+    schema = "doc_id long, repeat long, shard int, attempt long, offset long, start long, n_tokens long"
 
     def find(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if not len(held) or not len(asked):
@@ -359,21 +366,21 @@ def look_up(keys: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
 
 def read_ids(found: DataFrame, folder: str, width: int) -> DataFrame:
     """Adds ``ids_crc32`` (over the ids as little-endian unsigned 32-bit integers) to rows of ``shard,
-    offset, n_tokens``; every task reads the spans of the shards it got, in file order."""
+    attempt, offset, n_tokens``; every task reads the spans of the shards it got, in file order."""
     kinds = dict(found.dtypes)
     schema = ", ".join([f"`{n}` {kinds[n]}" for n in found.columns] + ["ids_crc32 long"])
-    at = [found.columns.index(n) for n in ("shard", "offset", "n_tokens")]
+    at = [found.columns.index(n) for n in ("shard", "attempt", "offset", "n_tokens")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, root = pafs.FileSystem.from_uri(f"{folder}/ids")
+        files, root = pafs.FileSystem.from_uri(arrow_address(f"{folder}/ids"))
         opened, source = None, None
         for batch in batches:
             sums = []
-            for shard, offset, n in zip(*[batch.column(i).to_pylist() for i in at]):
+            for shard, attempt, offset, n in zip(*[batch.column(i).to_pylist() for i in at]):
                 if shard != opened:
                     if source:
                         source.close()
-                    source, opened = files.open_input_file(f"{root}/shard-{shard:06d}.bin"), shard
+                    source, opened = files.open_input_file(_shard_name(root, shard, attempt)), shard
                 ids = np.frombuffer(source.read_at(width * n, width * offset), dtype=f"<u{width}")
                 sums.append(zlib.crc32(ids.astype("<u4").tobytes()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.int64())],

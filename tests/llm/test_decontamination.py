@@ -105,3 +105,11 @@ def test_first_word_begins_the_match():
     assert matcher.matches("x a b z c d e f g h i j y") == [(1, 1, 11, 1)]
     assert matcher.matches("x b c d e f g h i j y") == [(1, 1, 9, 1)]
     assert matcher.matches("x a b c d y") == []
+
+
+def test_words_are_those_of_the_text_that_matches(spark):
+    """An id with two texts of different length."""
+    items = spark.createDataFrame([(1, "red green blue"), (1, "one two three four five six seven")], "item_id long, text string")
+    docs = spark.createDataFrame([(5, "so red green blue it is"), (6, "one two three four five six seven")], "doc_id long, text string")
+    rows = dc.contaminated(docs, items).select("doc_id", "n_words").collect()
+    assert sorted(map(tuple, rows)) == [(5, 3), (6, 7)]

@@ -1,5 +1,6 @@
 import html as entities
 import re
+from collections import Counter
 
 import pytest
 
@@ -86,3 +87,37 @@ def test_layout_classes_keep_the_article(before, after):
 def test_hidden_elements_are_silent():
     for attribute in ("hidden", 'hidden=""', 'aria-hidden="true"', 'style="color:red;display: none"'):
         assert html.main_text(f"<body><p>{STORY}</p><div {attribute}><p>{STORY} Unseen.</p></div></body>") == STORY
+
+
+def test_long_comments_are_not_the_article():
+    """However much readers write, in pages with and without a mark."""
+    talk = "".join(f"<p>{STORY} That is what I think of it.</p>" for _ in range(9))
+    for kind in ('div class="comments"', 'section id="disqus"', 'article class="comment"'):
+        name = kind.split()[0]
+        assert html.main_text(f"<body><p>{STORY}</p><{kind}>{talk}</{name}></body>") == STORY
+        assert html.main_text(f"<body><main><p>{STORY}</p><{kind}>{talk}</{name}></main></body>") == STORY
+
+
+def test_paragraphs_of_links_inside_the_article_stay():
+    link = '<a href="x">the whole story of the bridge and of the people who have built it</a>'
+    page = f"<article><p>{STORY}</p><p>Read {link}.</p><ul><li><a href=a>One more story of the bridge</a><li><a href=b>And one of the river</a></ul></article>"
+    text = re.sub("<.*?>", "", link)
+    assert html.main_text(page) == f"{STORY} Read {text}."
+
+
+def test_signs_and_cells_between_text_stay():
+    page = f"<body><p>{STORY}</p><p>© is the sign of a right.</p><table><tr><td>Bridge 1904 iron 120 metres long, 9 metres wide, 3 arches</td></tr></table><p>{STORY}</p></body>"
+    assert html.main_text(page) == f"{STORY} © is the sign of a right. Bridge 1904 iron 120 metres long, 9 metres wide, 3 arches {STORY}"
+
+
+def test_pages_without_their_mark(spark):
+    """The two passes alone, on the pages of the table without the tag of their article, against the same
+    articles: the share of words that are found, and of those that belong there."""
+    found = kept = right = 0
+    for row in spark.read.parquet(f"{SF_DIR}/pages.parquet").select("html").collect():
+        want = html.main_text(row.html).split()
+        got = html.main_text(re.sub("</?article>", "", row.html)).split()
+        both = sum((Counter(want) & Counter(got)).values())
+        found, kept, right = found + len(want), kept + len(got), right + both
+    print("share found", right / found, "share right", right / kept)
+    assert right / found >= 0.9 and right / kept >= 0.9

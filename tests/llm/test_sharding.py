@@ -42,6 +42,19 @@ def test_bytes_are_near_equal_with_a_large_group(spark):
     assert max(counts) < 1.5 * min(counts)
 
 
+def test_bytes_are_near_equal_with_a_repeated_row(spark):
+    """One row 4,000 times, id and text alike."""
+    rng = np.random.default_rng(2)
+    rows = [(7, "the same row again " * 20)] * 4000
+    rows += [(i, "y" * int(rng.integers(1, 900)) + str(i)) for i in range(4000)]
+    got = shards_of(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 8)
+    sums = [sum(r[1] for r in got if r[4] == s) for s in range(8)]
+    assert max(sums) - min(sums) < 0.02 * max(sums)
+    for s in range(8):
+        slots = sorted(r[5] for r in got if r[4] == s)
+        assert slots == list(range(len(slots)))
+
+
 def test_small_groups_stay_together(spark, documents):
     got = shards_of(documents.unionByName(documents.withColumn("doc_id", documents["doc_id"] + 10**6)), 4)
     text = {r["doc_id"]: hashlib.md5((r["text"] or "").encode()).hexdigest() for r in documents.collect()}

@@ -73,3 +73,11 @@ def test_word_encoding_equals_whole_texts(documents, monkeypatch):
     for some in (texts[:30], texts[30:]):
         for text, data in zip(some, encoder.encode(some)):
             assert data.tolist() == plain_one.encode(text, add_special_tokens=False).ids
+
+
+def test_addresses_of_stores_as_arrow_has_them():
+    assert tokenfiles.arrow_address("s3a://bucket/folder/ids") == "s3://bucket/folder/ids"
+    assert tokenfiles.arrow_address("abfs://c@account/x") == "abfss://c@account/x"
+    for same in ("file:///tmp/x", "hdfs://host:1/x", "gs://b/x"):
+        assert tokenfiles.arrow_address(same) == same
+    tokenfiles.pafs.FileSystem.from_uri(tokenfiles.arrow_address("file:///tmp"))
