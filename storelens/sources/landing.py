@@ -108,7 +108,7 @@ def _batch(some: list[tuple]) -> pa.RecordBatch:
 
 def _by_file(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Iterator[tuple]]]:
     """Rows that follow each other, file by file, without the name of the file."""
-    rows = chain.from_iterable(zip(*[c.to_pylist() for c in batch.columns]) for batch in batches)
+    rows = chain.from_iterable(zip(*[c.to_numpy(zero_copy_only=False).tolist() for c in batch.columns]) for batch in batches)
     for name, own in groupby(rows, itemgetter(0)):
         yield name, map(itemgetter(slice(1, None)), own)
 
