@@ -68,7 +68,8 @@ def license_scan(containment: float = CONTAINMENT) -> str:
     for text, label in TEMPLATES.items():
         words = sorted(set(text.split()))
         least = math.ceil(containment * len(words) - 1e-9)
-        templates.append(f"('{label}', {words!r}, {least})")
+        reach = math.floor(len(text.split()) / containment + 1e-9)
+        templates.append(f"('{label}', {words!r}, {least}, {reach})")
     starts = [f"{_starts(phrase)} AS s{i}" for i, phrase in enumerate(PHRASES)]
     every = " || ".join(f"s{i}" for i in range(len(PHRASES)))
     base = " || ".join(f"CASE WHEN len(s{i}) > 0 THEN ['{label}'] ELSE [] END" for i, label in enumerate(PHRASES.values()))
@@ -77,13 +78,22 @@ def license_scan(containment: float = CONTAINMENT) -> str:
 w AS (SELECT r, doc_id, regexp_extract_all(t, {word}) AS words FROM d),
 s AS (SELECT r, doc_id, len(words) AS n_words, {', '.join(starts)} FROM w),
 b AS (SELECT r, doc_id, n_words, {every} AS places, {base} AS base FROM s),
-templates(label, words, least) AS (VALUES {', '.join(templates)}),
+templates(label, tokens, least, reach) AS (VALUES {', '.join(templates)}),
 lines AS (
   SELECT r, list_distinct(regexp_extract_all(line, {word})) AS line
   FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)),
-found AS (
-  SELECT r, list(label) AS more, max(len(list_intersect(line, words)) / len(words)) AS share
-  FROM lines JOIN templates ON len(list_intersect(line, words)) >= least GROUP BY r)
+paragraphs AS (
+  SELECT r, regexp_extract_all(paragraph, {word}) AS words
+  FROM (SELECT r, unnest(string_split_regex(t, '\n[ \t\r]*\n')) AS paragraph FROM d)),
+passages AS (
+  SELECT r, label, least, len(tokens) AS n, list_max(list_transform(range(1, greatest(len(words) - reach + 1, 1) + 1),
+    lambda i: len(list_filter(tokens, lambda w: list_contains(words[i:i + reach - 1], w))))) AS held
+  FROM paragraphs JOIN templates ON len(list_intersect(list_distinct(words), tokens)) >= least),
+matched AS (
+  SELECT r, label, len(list_intersect(line, tokens)) / len(tokens) AS share
+  FROM lines JOIN templates ON len(list_intersect(line, tokens)) >= least
+  UNION ALL SELECT r, label, held / n FROM passages WHERE held >= least),
+found AS (SELECT r, list(label) AS more, max(share) AS share FROM matched GROUP BY r)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
   CAST(list_min(places) AS BIGINT) AS first_word, CAST(list_max(places) AS BIGINT) AS last_word,
   array_to_string(list_sort(list_distinct(base)), ',') AS base_labels,

@@ -1,5 +1,6 @@
 import math
 import re
+import textwrap
 
 import pytest
 
@@ -24,13 +25,16 @@ def plain(doc_id, text, templates=licenses.TEMPLATES, containment=0.8):
         starts += at
         base |= {label} if at else set()
     labels, score = set(base), 1.0 if starts else 0.0
-    for line in text.split("\n"):
-        own = set(WORD.findall(line))
-        for template, label in templates.items():
-            wanted = set(template.split())
-            if len(own & wanted) >= math.ceil(containment * len(wanted) - 1e-9):
+    lines = [WORD.findall(line) for line in text.split("\n")]
+    paragraphs = [WORD.findall(paragraph) for paragraph in re.split("\n[ \t\r]*\n", text)]
+    for template, label in templates.items():
+        wanted, reach = set(template.split()), math.floor(len(template.split()) / containment + 1e-9)
+        passages = [own[i:i + reach] for own in paragraphs for i in range(len(own))]
+        for block in lines + passages:
+            held = len(wanted & set(block))
+            if held >= math.ceil(containment * len(wanted) - 1e-9):
                 labels.add(label)
-                score = max(score, len(own & wanted) / len(wanted))
+                score = max(score, held / len(wanted))
     return (doc_id, len(words), len(starts), min(starts, default=None), max(starts, default=None),
             ",".join(sorted(base)), ",".join(sorted(labels)), score)
 
@@ -58,6 +62,28 @@ def test_near_templates_and_word_borders(spark):
     assert rows_of(licenses.scan_licenses(df), *COLUMNS) == expected(df)
 
 
+@pytest.mark.parametrize("width", [20, 60, 70, 80])
+def test_wrapped_statements(spark, width):
+    texts = [textwrap.fill(f"some words go before it. {template} and others come behind.", width, initial_indent="# ",
+                           subsequent_indent="# ") for template in licenses.TEMPLATES]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = rows_of(licenses.scan_licenses(df), *COLUMNS)
+    assert got == expected(df)
+    assert all(label in row[6].split(",") for row, label in zip(got, licenses.TEMPLATES.values()))
+
+
+def test_passages_end_at_empty_lines_and_are_short(spark):
+    half, rest = "redistribution and use in source and binary forms", "with or without modification are permitted"
+    filler = " ".join(["word"] * 8)
+    texts = [f"{half}\n{rest}", f"{half}\n \t\n{rest}", f"{half}\r\n{rest}", f"{half}\n{filler}\n{rest}",
+             "\n".join(f"{half} {rest}".split()), f"\n{filler} ".join(f"{half} {rest}".split()),
+             "released\nunder\nlicense" * 3, "released under\n" * 40 + "the mit license", "\n\n", "\n" + half + "\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = rows_of(licenses.scan_licenses(df), *COLUMNS)
+    assert got == expected(df)
+    assert ["bsd" in row[6] for row in got[:6]] == [True, False, True, False, True, False]
+
+
 def test_own_templates_and_thresholds(documents):
     templates = {"the of and to": "common", "in the thing that": "other"}
     for containment in (0.5, 0.75, 1.0):
