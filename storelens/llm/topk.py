@@ -16,13 +16,15 @@ from .common import stored
 SAMPLE = 8_192
 PIVOTS = 24
 RINGS = 4
-# Vectors and queries that meet in one task at once.
-BLOCK_VECTORS = 8_192
-BLOCK_QUERIES = 4_096
+# Vectors of a block, the unit that a task holds, and about as many queries as pass one copy of it. Queries
+# aren't held, so that their number bounds the time of a task only.
+BLOCK_VECTORS = 32_768
+BLOCK_QUERIES = 262_144
 # Vectors a query scores in its nearest annuli before it prunes.
 FIRST_VECTORS = 512
 _SLACK = 1e-6
-_TILE = 512
+_TILE = 128
+_SENT_BYTES = 16 << 20
 
 
 def quantized(vectors: DataFrame) -> DataFrame:
@@ -126,6 +128,49 @@ class _Cells:
         return least <= radius[:, None]
 
 
+class _Block:
+    """The vectors of one block."""
+
+    def __init__(self, kind: str, width: int, exact: type) -> None:
+        self.kind, self.width, self.exact = kind, width, exact
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.ids, self.matrix = np.zeros(0, dtype=np.int64), np.zeros((0, width), dtype=exact)
+
+    def _unpacked(self, packed: bytes) -> np.ndarray:
+        return np.frombuffer(packed, self.kind).reshape(-1, self.width).astype(self.exact)
+
+    def add(self, ids: pa.Array, packed: pa.Array) -> None:
+        self.parts.append((ids.to_numpy(), self._unpacked(b"".join(packed.to_pylist()))))
+
+    def best(self, ids: bytes, forms: bytes, packed: bytes, k: int) -> Iterator[pa.RecordBatch]:
+        """The ``k`` vectors of the highest scores for each of these queries, its own id left out."""
+        if self.parts:
+            self.ids = np.concatenate([self.ids, *(part for part, _ in self.parts)])
+            order = np.argsort(self.ids, kind="stable")
+            self.ids = self.ids[order]
+            self.matrix = np.concatenate([self.matrix, *(part for _, part in self.parts)])[order]
+            self.parts = []
+        own, forms, queries = np.frombuffer(ids, "<i8"), np.frombuffer(forms, "<i4"), self._unpacked(packed)
+        few = min(k, len(self.ids))
+        if not few:
+            return
+        for i in range(0, len(own), _TILE):
+            one = own[i:i + _TILE]
+            scores = queries[i:i + _TILE] @ self.matrix.T
+            mine = one[:, None] == self.ids[None, :]
+            # Ties: the k-th score bounds the candidates, whose ids decide.
+            masked = np.where(mine, -np.inf, scores)
+            bound = -np.partition(-masked, few - 1, axis=1)[:, few - 1]
+            q, v = np.nonzero((masked >= bound[:, None]) & ~mine)
+            value = scores[q, v]
+            order = np.lexsort((v, -value, q))
+            q, v, value = q[order], v[order], value[order]
+            keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(one[q[keep]]), pa.array(forms[i:i + _TILE][q[keep]]), pa.array(self.ids[v[keep]]),
+                 pa.array(value[keep].astype(np.int64))], ["query_id", "form", "vec_id", "score"])
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each query the ``k`` vectors of the highest inner
     product, ties to the smaller vec_id; all, if there are fewer.
@@ -138,8 +183,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
 
     Vectors are dealt to annuli around pivots. A query first scores the vectors of its nearest annuli,
     which bounds the distance of its k-th answer; it then visits, in a second step, only annuli that
-    the triangle inequality doesn't rule out. Annuli are cut into blocks of bounded size by count,
-    queries too, and only the sizes of the annuli (``PIVOTS * RINGS`` rows) come to the driver.
+    the triangle inequality doesn't rule out. Annuli are cut into blocks of bounded size by count. A
+    task holds one block and lets its queries pass in order of blocks; there is one copy of a block for
+    each ``BLOCK_QUERIES`` queries. Only the sizes of the annuli (``PIVOTS * RINGS`` rows) come to the
+    driver.
     """
     spark = vectors.sparkSession
     vectors = stored(vectors.select("vec_id", "vec"), "vectors")
@@ -176,10 +223,16 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     groups = max(1, -(-asked.count() // BLOCK_QUERIES))
     held = (placed.join(F.broadcast(sizes), "cell")
             .withColumn("block", F.pmod(F.xxhash64("vec_id", "distance"), F.col("blocks")))
-            # Each block of vectors meets every group of queries.
             .withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
-            .select("cell", "block", "group", "vec_id", "packed"))
+            .select("cell", "block", "group", F.lit(False).alias("asks"), "vec_id",
+                    F.lit(None).cast("binary").alias("ids"), F.lit(None).cast("binary").alias("forms"), "packed"))
     route = "cell long, block long, group long, ids binary, forms binary, packed binary"
+    found = "query_id long, form int, vec_id long, score long"
+
+    def routed(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64()] * 3 + [pa.binary()] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
+                                          [part.split()[0] for part in route.split(", ")])
 
     def visits(second: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         """Queries, packed together, for each block they visit: one block of each of the nearest
@@ -197,7 +250,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
                 wanted = first
                 if second:
                     wanted = cells.within(queries, least, frame["bound"].to_numpy(dtype=float, na_value=np.nan))
-                rows = []
+                rows, gathered = [], 0
                 for c in np.flatnonzero(wanted.any(axis=0)):
                     early = np.where(first[:, c], ids % cells.blocks[c], -1)
                     for block in range(cells.blocks[c]):
@@ -206,46 +259,42 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
                             some = goes & (ids % groups == group)
                             rows.append((int(cells.cell[c]), block, int(group), ids[some].tobytes(),
                                          forms[some].tobytes(), packed[some].tobytes()))
+                            gathered += len(rows[-1][-1])
+                        if gathered > _SENT_BYTES:
+                            yield routed(rows)
+                            rows, gathered = [], 0
                 if rows:
-                    kinds = [pa.int64()] * 3 + [pa.binary()] * 3
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
-                                                     [part.split()[0] for part in route.split(", ")])
+                    yield routed(rows)
         return run
 
-    def score(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        """The best ``k`` of a block for each query that visits it."""
-        found = []
-        if len(asked) and len(held):
-            held = held.sort_values("vec_id")
-            ids = held["vec_id"].to_numpy()
-            matrix = np.frombuffer(b"".join(held["packed"]), kind).reshape(len(held), width).astype(exact)
-            own = np.frombuffer(b"".join(asked["ids"]), "<i8")
-            forms = np.frombuffer(b"".join(asked["forms"]), "<i4")
-            queries = np.frombuffer(b"".join(asked["packed"]), kind).reshape(len(own), width).astype(exact)
-            for i in range(0, len(own), _TILE):
-                one = own[i:i + _TILE]
-                scores = queries[i:i + _TILE] @ matrix.T
-                mine = one[:, None] == ids[None, :]
-                few = min(k, len(ids))
-                # Ties: the k-th score bounds the candidates, whose ids decide.
-                masked = np.where(mine, -np.inf, scores)
-                bound = -np.partition(-masked, few - 1, axis=1)[:, few - 1]
-                q, v = np.nonzero((masked >= bound[:, None]) & ~mine)
-                value = scores[q, v]
-                order = np.lexsort((v, -value, q))
-                q, v, value = q[order], v[order], value[order]
-                begins = np.searchsorted(q, q)
-                keep = np.arange(len(q)) - begins < k
-                found.append(pd.DataFrame({"query_id": one[q[keep]], "form": forms[i:i + _TILE][q[keep]],
-                                           "vec_id": ids[v[keep]], "score": value[keep].astype(np.int64)}))
-        if not found:
-            return pd.DataFrame({n: pd.Series(dtype="int64") for n in ("query_id", "form", "vec_id", "score")})
-        return pd.concat(found)
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The best ``k`` of a block for each query that visits it. Rows come in order of blocks, the
+        vectors of a block ahead of its queries."""
+        key, block = None, _Block(kind, width, exact)
+        for batch in batches:
+            columns = {name: batch.column(name) for name in batch.schema.names}
+            keys = np.stack([columns[c].to_numpy() for c in ("cell", "block", "group")], axis=1)
+            asks = columns["asks"].to_numpy(zero_copy_only=False)
+            changes = (keys[1:] != keys[:-1]).any(axis=1) | (asks[1:] != asks[:-1])
+            edges = [0, *(np.flatnonzero(changes) + 1).tolist(), batch.num_rows]
+            for begin, end in zip(edges, edges[1:]):
+                if begin == end:
+                    continue
+                if key != tuple(keys[begin]):
+                    key, block = tuple(keys[begin]), _Block(kind, width, exact)
+                run = {name: column.slice(begin, end - begin) for name, column in columns.items()}
+                if not asks[begin]:
+                    block.add(run["vec_id"], run["packed"])
+                    continue
+                for ids, forms, packed in zip(*(run[c].to_pylist() for c in ("ids", "forms", "packed"))):
+                    yield from block.best(ids, forms, packed, k)
 
     def meet(visited: DataFrame) -> DataFrame:
         keys = ["cell", "block", "group"]
-        return visited.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(
-            score, "query_id long, form int, vec_id long, score long")
+        asking = visited.select(*keys, F.lit(True).alias("asks"), F.lit(None).cast("long").alias("vec_id"),
+                                "ids", "forms", "packed")
+        return (held.union(asking).repartition(*keys).sortWithinPartitions(*keys, "asks")
+                .mapInArrow(score, found))
 
     first = stored(meet(asked.mapInArrow(visits(False), route)), "nearest")
     best = Window.partitionBy("query_id", "form").orderBy(F.col("score").desc(), "vec_id")

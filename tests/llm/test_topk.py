@@ -50,10 +50,22 @@ def test_edges(spark, monkeypatch, k):
     monkeypatch.setattr(topk, "BLOCK_VECTORS", 16)
     monkeypatch.setattr(topk, "BLOCK_QUERIES", 3)
     monkeypatch.setattr(topk, "FIRST_VECTORS", 8)
+    monkeypatch.setattr(topk, "_SENT_BYTES", 40)
     df = spark.createDataFrame(rows, COLUMNS).withColumn("packed", F.lit("x")).withColumn("cell", F.lit(None))
     assert searched(df, k, 10) == sorted(plain(rows, k, 10))
 
 
+def test_a_block_may_come_in_several_batches(spark, monkeypatch):
+    monkeypatch.setattr(topk, "PIVOTS", 2)
+    rng = random.Random(3)
+    df = spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(4)], 0) for i in range(300)], COLUMNS)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert searched(df) == sorted(plain([tuple(r) for r in df.collect()]))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_bounds_leave_out_annuli_but_no_answer():
     rng = np.random.default_rng(2)
     vectors = np.floor(256 * (3.0 * np.eye(8)[rng.integers(0, 8, 1600)] + rng.normal(0, 0.02, (1600, 8))))
