@@ -20,7 +20,7 @@ from .session import build_session, clear_work
 from .sinks import folders, jdbc
 from .sinks.publish import payload_messages, publish, requests
 from .sources import landing, records
-from .sources.tables import read_parquet, read_table
+from .sources.tables import read_latest_run, read_parquet, read_table
 from .streaming import queries as streaming
 
 
@@ -30,7 +30,7 @@ def _warehouse(args) -> jdbc.Warehouse:
 
 
 def _table(spark: SparkSession, args, name: str) -> DataFrame:
-    return read_table(spark, name, args.database)
+    return (read_latest_run if args.latest_run else read_table)(spark, name, args.database)
 
 
 def run_silver(spark, args) -> None:
@@ -161,6 +161,8 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--output")
         sub.add_argument("--format", default="parquet")
         sub.add_argument("--database")
+        sub.add_argument("--latest-run", action="store_true",
+                         help="read only the last run of tables that are partitioned by run_ts")
         for option in required:
             sub.add_argument(option, required=True)
         if warehouse:

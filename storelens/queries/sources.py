@@ -13,6 +13,7 @@ from .. import fixtures
 from ..operators.filters import valid_event_date
 from ..schemas import INVENTORY, POS
 from ..session import work_dir
+from ..sinks import catalog
 from ..sources import landing, notifications, records, tables
 from .registry import feeds, query
 
@@ -77,6 +78,16 @@ def src_catalog_table(spark, sf_dir):
         return tables.read_table(spark, bronze_pos)
 
 
+@query(feeds(_POS, "pos"))
+def src_catalog_partitions(spark, sf_dir):
+    """Two runs of a catalog table, an older one without discounts; the last one is read."""
+    rows, database = fixtures.pos(spark, sf_dir), f"storelens_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{work_dir(spark, 'bronze')}'")
+    catalog.write_run(rows.filter(F.col("discount_applied") == 0), "pos", database, "2024-01-01_00-00-00")
+    catalog.write_run(rows, "pos", database, "2024-01-02_00-00-00")
+    return tables.read_latest_run(spark, "pos", database).drop(tables.RUN)
+
+
 @query(feeds(_POS, "pos"))
 def src_parquet_typed(spark, sf_dir):
     path = work_dir(spark, "silver-pos")
