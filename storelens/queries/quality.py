@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import fixtures
-from ..operators import quality
+from ..operators import quality, sketches
 from ..plans import quality_job
+from ..session import work_dir
 from .registry import calendar, feeds, query, rounded
 
 _COLUMNS = ["o_orderkey", "common_column", "value_column", "date_column"]
@@ -43,6 +44,20 @@ def agg_dq_uniqueness(spark, sf_dir):
     return rounded(quality.uniqueness(fixtures.quality_dataset(spark, sf_dir)), 9)
 
 
+@query(feeds(_each(f"{_COMPLETE}, true AS close", _COLUMNS, "quality"), "quality"))
+def agg_dq_uniqueness_merged(spark, sf_dir):
+    """Sketches stored per year and merged; ``close`` holds where the estimate is within 3 % of the
+    exact share of distinct values."""
+    rows = fixtures.quality_dataset(spark, sf_dir)
+    path = work_dir(spark, "sketches")
+    by_year = sketches.column_sketches(rows.withColumn("year", F.year("date_column")), "year")
+    by_year.write.partitionBy("year").parquet(path)
+    merged = sketches.merged_profile(spark.read.schema(by_year.schema).parquet(path))
+    exact = quality.uniqueness(rows).withColumnRenamed("uniqueness", "exact")
+    close = F.abs(F.col("uniqueness") - F.col("exact")) <= 0.03 * F.col("exact")
+    return rounded(merged.join(exact, "column").select("column", "completeness", close.alias("close")), 9)
+
+
 @query(feeds(_each(_STATS, _NUMERIC, "quality"), "quality"))
 def agg_dq_numeric_stats(spark, sf_dir):
     return rounded(quality.numeric_stats(fixtures.quality_dataset(spark, sf_dir)), 4)
