@@ -51,11 +51,18 @@ def session_metrics(activity: DataFrame) -> DataFrame:
                         percent(F.sum("is_bounce"), F.count("*")).alias(KPIS[2]))
 
 
+def _single(df: DataFrame) -> DataFrame:
+    """``df`` reduced to its row; an error if it has several."""
+    fits = F.when(F.col("_rows") > 1, F.raise_error(F.lit("KPIs side by side need a row each")).cast("boolean"))
+    row = df.agg(F.count("*").alias("_rows"), *[F.first(c).alias(c) for c in df.columns])
+    return row.filter(fits.otherwise(F.col("_rows") == 1)).drop("_rows")
+
+
 def cross_kpis(*one_row_frames: DataFrame) -> DataFrame:
-    """Side by side; every input is a global aggregate or limited to a single row."""
+    """Side by side; every input has a single row, or none, which leaves no result."""
     combined, *others = one_row_frames
     for other in others:
-        combined = combined.crossJoin(F.broadcast(other))
+        combined = combined.crossJoin(F.broadcast(_single(other)))
     return combined
 
 

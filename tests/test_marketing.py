@@ -1,3 +1,5 @@
+import pytest
+
 from storelens.plans import marketing
 from storelens.schemas import CRM_LOGS, RECORD, WEB_LOGS
 
@@ -51,3 +53,11 @@ def test_only_web_records_give_zeros_for_the_rest(spark):
 def test_single_event_session_is_a_bounce(spark):
     row = marketing.session_activity(web(spark, [("a", 7.0)])).first()
     assert (row.event_count, row.session_duration, row.is_bounce) == (1, 0.0, 1)
+
+
+def test_only_single_rows_stand_side_by_side(spark):
+    one, two = spark.sql("SELECT 1 AS a"), spark.range(2)
+    assert [tuple(r) for r in marketing.cross_kpis(one, spark.range(1)).collect()] == [(1, 0)]
+    assert marketing.cross_kpis(one, spark.range(0)).collect() == []
+    with pytest.raises(Exception, match="a row each"):
+        marketing.cross_kpis(one, two).collect()
