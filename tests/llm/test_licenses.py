@@ -3,6 +3,7 @@ import re
 import textwrap
 
 import pytest
+from pyspark.sql import functions as F
 
 from storelens.llm import licenses
 
@@ -94,3 +95,22 @@ def test_own_templates_and_thresholds(documents):
 
 def test_other_columns_may_clash(edge):
     assert rows_of(licenses.scan_licenses(clash(edge)), *COLUMNS) == expected(edge)
+
+
+def test_only_texts_that_may_match_are_split(spark):
+    """The last word of a phrase is not enough: most texts hold one somewhere."""
+    stray = ["passed by the domain", "all is well, nothing reserved", "a general license", "standby mode of the public"]
+    near = ["cc by", "general\npublic license", "all rights reserved", "under the mit license released"]
+    df = spark.createDataFrame([(text,) for text in stray + near], "text string")
+    held = [r[0] for r in df.select(licenses._may_hold(F.col("text"), ["mit"])).collect()]
+    assert held == [False] * len(stray) + [True] * len(near)
+
+
+@pytest.mark.parametrize("word, own", [(licenses.WORD, "az09"), (licenses.RAW_WORD, "azAZ09")])
+def test_characters_of_words(spark, word, own):
+    """Every ASCII character on its own, and some beyond; no range that Java would test in turn."""
+    letters = [chr(c) for c in [*range(128), 0x80, 0xE9, 0x3B1, 0x1F600]]
+    inside = re.compile("[" + "".join(f"{a}-{b}" for a, b in zip(own[::2], own[1::2])) + "\x80-\U0010ffff]")
+    rows = spark.createDataFrame(list(enumerate(letters)), "i int, c string").select("i", F.col("c").rlike(word)).collect()
+    assert dict(rows) == {i: bool(inside.match(c)) for i, c in enumerate(letters)}
+    assert "-" not in word
