@@ -1,11 +1,13 @@
 import base64
 import json
 import os
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from storelens import jobs
@@ -14,7 +16,7 @@ from storelens.plans import marketing, support
 from storelens.schemas import POS
 from storelens.sinks import items, publish
 from storelens.sources import landing, records
-from storelens.streaming import metrics
+from storelens.streaming import metrics, state
 from storelens.streaming import queries as streaming
 
 AS_OF = "2024-01-01 00:00:00"
@@ -236,6 +238,26 @@ def test_previous_interactions_survive_a_restart(spark, tmp_path):
     assert later == first + [("4", None, True), ("5", 15.0, True), ("6", 20.0, False), ("7", 30.0, False), ("8", 7.0, False)]
 
 
+def test_interactions_of_a_customer_are_no_frame(spark, tmp_path):
+    """Customers come as rows, in any order: ties go by id, late ones look back to late ones, and no frame is made."""
+    processor = state._Previous(None)
+    processor.last = SimpleNamespace(get=lambda: (10.0, "5"), update=(kept := []).append)
+    given = [Row(id=i, interaction_type="Resolution", timestamp=t) for i, t in
+             [("9", 12.0), ("1", 4.0), ("6", 10.0), ("8", 12.0), ("4", 10.0)]]
+    got = list(processor.handleInputRows(("1",), iter(given), None))
+    assert [(r.id, r.prev_timestamp, r.late) for r in got] == [
+        ("1", None, True), ("4", 4.0, True), ("6", 10.0, False), ("8", 10.0, False), ("9", 12.0, False)]
+    assert kept == [(12.0, "9")]
+    raw = spark.readStream.schema("customer_id string, id string, interaction_type string, timestamp double").parquet(
+        made(spark, f"{tmp_path}/in"))
+    assert "InPandas" not in state.with_last_seen(raw)._jdf.queryExecution().logical().toString()
+
+
+def made(spark, path):
+    spark.createDataFrame([("1", "1", "Resolution", 1.0)], "customer_id string, id string, interaction_type string, timestamp double").write.parquet(path)
+    return path
+
+
 def test_late_rows_of_windows_are_counted(spark, tmp_path):
     def record(i, time):
         return {"id": i, "customer_id": 1, "interaction_type": "Feedback", "rating": "4", "timestamp": time}
