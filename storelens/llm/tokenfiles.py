@@ -37,8 +37,9 @@ END_ID = 1
 BUCKET_KEYS = 2_000
 # Keys that share a displacement, on average.
 GROUP_KEYS = 4
-# Encodings of parts of words that each Python process keeps.
-CACHE_PARTS = 700_000
+# Encodings of parts of words that each Python process keeps: with those of a portion more, a dictionary of this many
+# doesn't double its table.
+CACHE_PARTS = 600_000
 _BATCH_BYTES = 3 << 20
 
 MANIFEST = "doc_id long, repeat long, shard int, attempt long, pos long, offset long, n_tokens long"
@@ -198,6 +199,8 @@ def write_files(documents: DataFrame, tokenizer_path: str, folder: str, end_id:
                 offset += len(values)
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), _MANIFEST_TYPES)]
             yield pa.RecordBatch.from_arrays(columns, names=_MANIFEST_NAMES)
+            # Arrow would keep what the words of the portion took, beside the encodings.
+            pa.default_memory_pool().release_unused()
         if out:
             out.close()
 

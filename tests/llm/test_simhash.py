@@ -1,11 +1,15 @@
 import random
 import re
+import time
 
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from storelens.llm import simhash
 from storelens.llm.components import connected_components
+from storelens.session import prepare
 
 from .conftest import clash, rows_of
 
@@ -105,3 +109,33 @@ def test_thresholds_spend_the_budget():
         groups = simhash.bit_groups(sample, parts)
         assert sorted(b for g in groups for b in g) == list(range(64))
         assert sum(simhash.thresholds(sample, groups, 10**6)) == 2 - parts + 1
+
+
+def test_discard_frees_shuffle_files(spark):
+    from storelens.llm.common import discard, stored
+
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(found.size()) if (name := found.apply(i).getName()).endswith(".data")}
+
+    before = files()
+    frames = [stored(spark.range(20_000).groupBy((F.col("id") % n).alias("k")).count(), "counted") for n in (9_000, 8_000)]
+    mine = files() - before
+    assert mine
+    for frame in frames:
+        discard(frame)
+    until = time.monotonic() + 5
+    while files() & mine and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not files() & mine
+
+
+def test_batches_for_python_are_small(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    prepare(spark)
+    rows = spark.range(0, 240, numPartitions=1).select(F.repeat(F.lit("x"), F.lit(100_000)).alias("text"))
+    found = [r["n"] for r in rows.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) >= 24_000_000 and max(found) <= 5 << 20
