@@ -51,8 +51,19 @@ def avg_stock_daily(inventory: DataFrame) -> DataFrame:
 
 
 def units_with_stock(pos: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Days and products with both sales and stock readings."""
-    return units_sold_daily(pos).join(avg_stock_daily(inventory), ["date", "product_id"])
+    """Days and products with both sales and stock readings.
+
+    Both feeds go through one aggregate: a task holds one table of groups, where a join of two aggregates holds both
+    tables and their sorted copies at once.
+    """
+    keys = ["date", "product_id"]
+    sold = _dated(pos, "timestamp").select(*keys, "quantity", F.lit(True).alias("_sold"))
+    stock = _dated(inventory, "last_updated").select(*keys, "stock_level", F.lit(False).alias("_sold"))
+    both = sold.unionByName(stock, allowMissingColumns=True).dropna(subset=keys)
+    return (both.groupBy(*keys)
+            .agg(F.sum("quantity").alias("units_sold"), F.avg("stock_level").alias("avg_stock_level"),
+                 F.bool_or("_sold").alias("_any_sold"), F.bool_and("_sold").alias("_only_sold"))
+            .filter(F.col("_any_sold") & ~F.col("_only_sold")).drop("_any_sold", "_only_sold"))
 
 
 def product_turnover(pos: DataFrame, inventory: DataFrame) -> DataFrame:

@@ -73,3 +73,19 @@ def test_one_scan_per_feed(spark, tmp_path):
     assert plan.count("FileScan parquet") == 2
     assert "GreaterThanOrEqual(timestamp" in plan
     assert "discount_applied" not in plan
+
+
+def test_units_with_stock_match_the_join_in_one_aggregate(spark):
+    pos = spark.createDataFrame(
+        [(7, 2, 0.0), (7, None, 3600.0), (8, None, 0.0), (9, 4, 0.0), (None, 5, 0.0), (7, 3, 86400.0), (7, 9, None)],
+        "product_id long, quantity long, timestamp double")
+    inventory = spark.createDataFrame(
+        [(7, 10, 10.0), (7, 13, 20.0), (8, None, 0.0), (10, 4, 0.0), (None, 5, 0.0), (7, 6, None)],
+        "product_id long, stock_level long, last_updated double")
+    got = sales.units_with_stock(pos, inventory)
+    joined = sales.units_sold_daily(pos).join(sales.avg_stock_daily(inventory), ["date", "product_id"])
+    assert got.columns == joined.columns and got.dtypes == joined.dtypes
+    rows = {tuple(r)[1:] for r in got.collect()}
+    assert rows == {tuple(r)[1:] for r in joined.collect()} == {(7, 2, 11.5), (8, None, None)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Aggregate") == 1
