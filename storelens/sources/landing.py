@@ -501,6 +501,40 @@ def _elements(chunks: Iterator[tuple[str, bool, int, int]]) -> Iterator[str]:
         yield document
 
 
+def _json_pieces(chunks: DataFrame) -> DataFrame:
+    """Pieces with the length of their text, its first sign (``begin``, 0 if none), the text behind a bracket or comma
+    (``cut``) and whether that opens an object."""
+    space, mark = " \t\n\x0b\f\r", "\ufeff"
+    lead = F.ltrim(F.when(F.col("sound"), F.col("value")), F.lit(space + mark))
+    first = F.when(lead == "", 0).otherwise(F.ascii(lead))
+    cut = F.when(first.isin(ord("["), ord(",")), F.ltrim(F.substr(lead, F.lit(2)), F.lit(space))).otherwise(lead)
+    # The generator keeps texts from being cut anew for each use of them.
+    pieces = chunks.withColumn("sound", F.is_valid_utf8("value")).select("*", F.inline(F.array(F.struct(
+        F.octet_length("value").alias("length"), F.coalesce(first, F.lit(0)).alias("begin"), cut.alias("cut")))))
+    return pieces.withColumn("opens", F.col("cut").startswith("{"))
+
+
+def _json_layout(flat: DataFrame) -> DataFrame:
+    """``file, flat``: whether a file holds one flat object or a list of them, so that each piece is one of them."""
+    rest = ~F.coalesce(F.col("opens"), F.lit(False))
+    keys = F.json_object_keys(F.concat("cut", F.lit("}"))).isNotNull() & (F.locate("{", F.col("cut"), 2) == 0)
+    own = F.when(~rest, keys).otherwise(F.col("value").rlike(r"^[\s\ufeff]*[\[]?\s*\]?\s*$"))
+    # By block first, so that only numbers are kept and compared where the rows are many.
+    blocks = flat.groupBy("file", "block").agg(
+        F.bool_and(F.col("sound") & own).alias("simple"), F.min_by("begin", "id").alias("first"), F.max_by("begin", "id").alias("last"),
+        F.count_if(F.col("begin") == ord("[")).alias("opened"), F.count_if(F.col("begin") == ord(",")).alias("commas"),
+        F.count_if(rest & (F.col("begin") == ord("]"))).alias("closed"), F.count_if(~rest).alias("objects"),
+        F.max("size").alias("size"), F.sum(F.col("length") + 1).alias("read"))
+    files = blocks.groupBy("file").agg(
+        F.bool_and("simple").alias("simple"), F.min_by("first", "block").alias("first"), F.max_by("last", "block").alias("last"),
+        *[F.sum(c).alias(c) for c in ("opened", "commas", "closed", "objects")],
+        (F.max("size") - F.sum("read")).isin(0, 3).alias("braced"))
+    one = (F.col("opened") == 0) & (F.col("objects") == 1) & (F.col("commas") == 0) & (F.col("closed") == 0)
+    many = ((F.col("first") == ord("[")) & (F.col("opened") == 1) & (F.col("closed") == 1) & (F.col("objects") > 0)
+            & (F.col("commas") == F.col("objects") - 1) & (F.col("last").isin(ord("]"), 0)))
+    return files.select("file", (F.col("simple") & (one | many) & ~(F.col("braced") & many)).alias("flat"))
+
+
 def _json_rows(files: DataFrame, names: list[str]) -> DataFrame:
     """The same for documents that hold one object or a list of them; ``line`` is the number of the element, and
     null in documents of flat objects, whose parts are read on their own."""
@@ -509,32 +543,19 @@ def _json_rows(files: DataFrame, names: list[str]) -> DataFrame:
     chunks = _pieces(files, "}")
     if chunks is None:
         return _objects(empty, names)
-    cut = F.regexp_replace("value", r"^[\s\ufeff]*[\[,]?\s*", "")
-    begin = F.substr(F.regexp_replace("value", r"^[\s\ufeff]+", ""), F.lit(1), F.lit(1))
-    sound = chunks.withColumn("sound", F.is_valid_utf8("value"))
-    flat = sound.withColumns({
-        "value": F.when(F.col("sound"), F.col("value")), "length": F.octet_length("value")}).select(
-        "file", "size", "block", "id", "value", "length", "sound", F.coalesce(begin, F.lit("")).alias("begin"),
-        F.when(cut.startswith("{"), F.concat(cut, F.lit("}"))).alias("object"))
-    rest = F.col("object").isNull()
-    keys = F.json_object_keys("object").isNotNull() & ~F.substr("object", F.lit(2)).contains("{")
-    order = F.struct("block", "id")
-    layout = flat.groupBy("file").agg(
-        F.bool_and(F.col("sound") & (keys | (rest & F.col("value").rlike(r"^[\s\ufeff]*[\[]?\s*\]?\s*$")))).alias("simple"),
-        F.min_by("begin", order).alias("first"), F.max_by("begin", order).alias("last"),
-        F.count_if(F.col("begin") == "[").alias("opened"), F.count_if(F.col("begin") == ",").alias("commas"),
-        F.count_if(rest & (F.col("begin") == "]")).alias("closed"), F.count("object").alias("objects"),
-        (F.max("size") - F.sum(F.col("length") + 1)).isin(0, 3).alias("braced"))
-    one = (F.col("opened") == 0) & (F.col("objects") == 1) & (F.col("commas") == 0) & (F.col("closed") == 0)
-    many = ((F.col("first") == "[") & (F.col("opened") == 1) & (F.col("closed") == 1) & (F.col("objects") > 0)
-            & (F.col("commas") == F.col("objects") - 1) & (F.col("last").isin("]", "")))
+    flat = _json_pieces(chunks)
+    rest = ~F.coalesce(F.col("opens"), F.lit(False))
+    whole = F.concat("cut", F.lit("}"))
+    layout = _json_layout(flat)
     # A row per file, of which the driver holds the names.
-    seen = layout.select("file", _path(F.col("file")).alias("path"), (F.col("simple") & (one | many) & ~(F.col("braced") & many)).alias("flat")).toPandas()
+    seen = layout.select("file", _path(F.col("file")).alias("path"), "flat").toPandas()
     known = spark.createDataFrame([(r.file, r.path, bool(r.flat)) for r in seen.itertuples()], "file string, path string, flat boolean")
-    parts = [flat.join(F.broadcast(known.filter("flat")), "file").filter(~rest)
-             .select("path", F.lit(None).cast("bigint").alias("line"), F.col("object").alias("text"))]
-    if not seen["flat"].all():
-        others = flat.select("file", "size", "block", "id", "length", F.col("value")).join(
+    # Names are only looked up where files of both kinds are there.
+    alone = seen["flat"].all()
+    own = flat.withColumn("path", _path(F.col("file"))) if alone else flat.join(F.broadcast(known.filter("flat")), "file")
+    parts = [own.filter(~rest).select("path", F.lit(None).cast("bigint").alias("line"), whole.alias("text"))]
+    if not alone:
+        others = flat.select("file", "size", "block", "id", "length", F.when(F.col("sound"), F.col("value")).alias("value")).join(
             F.broadcast(known.filter("not flat")), "file")
         ordered = _in_order(others.withColumn("value", F.coalesce("value", F.unhex(F.lit("FF")).cast("string"))), "size", "length")
 

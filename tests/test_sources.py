@@ -263,6 +263,18 @@ def test_only_large_whole_numbers_are_cast_as_such(spark):
     assert plan.index("ELSE") < plan.index("as bigint), try_cast(")
 
 
+def test_json_layout_sorts_no_texts(spark, tmp_path):
+    """The layout of documents is summed up by block, without sorting the pieces that it is made of."""
+    for name, text in {"a": '[{"inventory_id": 1}, {"inventory_id": 2}]', "b": ' \ufeff[ { "x": "}" } ]', "c": '{"x": 1}',
+                       "d": '[{"x": {}}]', "e": '[{"x": 1}', "f": "[]", "g": '[{"x": 1},{"x" 2}]'}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    pieces = landing._pieces(landing.files(spark, str(tmp_path), landing.JSON_GLOB), "}")
+    layout = landing._json_layout(landing._json_pieces(pieces))
+    assert {r.file[-6]: r.flat for r in layout.collect()} == {
+        "a": True, "b": False, "c": True, "d": False, "e": False, "f": False, "g": False}
+    assert "Sort" not in layout._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_names_that_look_like_patterns(spark, tmp_path):
     (tmp_path / "a[1]{x}+%20 *.csv").write_text(HEADER + "t1,1,2,3,4.5,,1\n")
     (tmp_path / "a1x.csv").write_text(HEADER + "t2,1,2,3,4.5,,1\n")
