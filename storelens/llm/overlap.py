@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, stored, whole_text
+from .common import discard, stored, stored_in_parts, whole_text
 from .components import connected_components
 
 WORDS = 5
@@ -21,6 +21,10 @@ SEED = 43
 SAMPLE, LEAST_COUNT, MOST_COUNTED = 16_384, 4, 300_000
 # Texts of a shingle that are compared pair by pair at once.
 FULL = 32
+# Parts that shingles and texts are dealt to by their hashes; what is shuffled of one part is on disk at a time.
+PARTS = 4
+# Pairs are compared in groups that send as many shingles as all their texts have at most, or so many if that is more.
+LEAST_SENT = 1 << 24
 # Shingles that are worked on together in a task.
 _PORTION = 1 << 18
 
@@ -116,31 +120,78 @@ def _may_match() -> Column:
 
 
 def _pairs(met: DataFrame) -> DataFrame:
+    """``a, b, both``: the pairs that may match, and the sum of their sizes."""
     return (met.filter(_may_match())
-            .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct())
+            .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"),
+                    (F.col("size_a").cast("long") + F.col("size_b")).alias("both")).distinct())
+
+
+def _of_part(rows: DataFrame, part: int, column: str, parts: int = PARTS) -> DataFrame:
+    return rows.filter(F.pmod(F.col(column), F.lit(parts)) == part)
+
+
+def _cut_sets(texts: DataFrame) -> DataFrame:
+    """``node, size, s0, s1, ...`` of rows with ``node, text``: the shingles, cut into ``PARTS`` ranges of hashes."""
+    bounds = np.array([(i << 64) // PARTS for i in range(1, PARTS)], dtype=np.uint64)
+    names = [f"s{i}" for i in range(PARTS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in _portions(batches):
+            cut = [np.split(own.view(np.int64), np.searchsorted(own, bounds)) for _, own in some]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([node for node, _ in some], pa.int64()), pa.array([len(own) for _, own in some], pa.int64()),
+                 *[pa.array([own[i] for own in cut], pa.list_(pa.int64())) for i in range(len(names))]],
+                ["node", "size", *names])
+
+    return texts.select("node", "text").mapInArrow(
+        run, ", ".join(["node long", "size long", *[f"{n} array<long>" for n in names]]))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``a, b``: the fingerprints of the pairs whose sets share 4/5 or more."""
-    pairs = stored(pairs, "candidates")
+    """``a, b``: the fingerprints of the pairs whose sets share 4/5 or more.
+
+    They do if what only one of them holds is a ninth of ``both`` at most. It is counted part by part, and a pair that
+    has more already is left out of the parts that follow.
+    """
+    pairs = stored(pairs.withColumn("apart", F.lit(0).cast("long")), "candidates")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    chosen = nodes.join(wanted, "node").select(F.col("node").alias("_node"), F.col("doc").alias("_doc"))
-    # One document gives the text of a node, so that copies don't meet in one place.
-    given = (texts.join(chosen, (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
-             .dropDuplicates(["node"]))
-    sets = stored(_sets(given), "sets")
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_x"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_y"))
-    shared = F.size(F.array_intersect("_x", "_y"))
-    alike = (pairs.join(left, "a").join(right, "b")
-             .filter(9 * shared.cast("long") >= 4 * (F.size("_x") + F.size("_y")).cast("long")).select("a", "b"))
+    chosen = stored(nodes.join(wanted, "node").select(F.col("node").alias("_node"), F.col("doc").alias("_doc")), "chosen")
+
+    def given(part: int) -> DataFrame:
+        # One document gives the text of a node, so that copies don't meet in one place.
+        same = (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
+        return _of_part(texts, part, "node").join(_of_part(chosen, part, "_node"), same).dropDuplicates(["node"])
+
+    sets = stored_in_parts([_cut_sets(given(part)) for part in range(PARTS)], "sets")
+    discard(chosen)
+    most = max(_sum(sets, "size"), LEAST_SENT)
+    for part in range(PARTS):
+        # A pair sends the set of one of its texts.
+        groups = max(1, -(-_sum(pairs, "both") // (2 * most)))
+        before, pairs = pairs, stored_in_parts(
+            [_compared(_of_part(pairs, i, "a", groups), sets, f"s{part}") for i in range(groups)], "candidates")
+        discard(before)
     x = nodes.select(F.col("node").alias("a"), F.col("fp").alias("x"))
     y = nodes.select(F.col("node").alias("b"), F.col("fp").alias("y"))
-    found = stored(alike.join(x, "a").join(y, "b").select(F.col("x").alias("a"), F.col("y").alias("b")), "alike")
+    found = stored(pairs.join(x, "a").join(y, "b").select(F.col("x").alias("a"), F.col("y").alias("b")), "alike")
     discard(pairs, sets)
     return found
 
 
+def _sum(rows: DataFrame, column: str) -> int:
+    return rows.agg(F.sum(column)).first()[0] or 0
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, part: str) -> DataFrame:
+    """The pairs with what ``part`` of their sets adds to ``apart``, without those that can't match any more."""
+    left = sets.select(F.col("node").alias("a"), F.col(part).alias("_x"))
+    right = sets.select(F.col("node").alias("b"), F.col(part).alias("_y"))
+    shared = F.size(F.array_intersect("_x", "_y"))
+    return (pairs.join(left, "a").join(right, "b")
+            .withColumn("apart", F.col("apart") + F.size("_x") + F.size("_y") - 2 * shared)
+            .filter(9 * F.col("apart") <= F.col("both")).select("a", "b", "both", "apart"))
+
+
 def links(documents: DataFrame, rows: DataFrame, known: DataFrame) -> DataFrame:
     """``a, b``: pairs of fingerprints that, with the links ``known``, suffice to join all texts at a
     five-word Jaccard similarity of 4/5 or more. ``rows`` holds ``doc_id, content, fp`` of every document.
@@ -157,9 +208,7 @@ def links(documents: DataFrame, rows: DataFrame, known: DataFrame) -> DataFrame:
                    "nodes")
     values, counts = _counted(texts, rows.count())
     placed = stored(_prefixes(texts, values, counts), "prefixes")
-    common = (placed.groupBy(F.col("s").alias("_s")).agg(F.min("node").alias("least"), F.max("node").alias("most"))
-              .filter(F.col("least") < F.col("most")).select("_s"))
-    shared = stored(placed.join(common, F.col("s") == F.col("_s")).drop("_s").distinct(), "shared")
+    shared = stored_in_parts([_common(_of_part(placed, part, "s")) for part in range(PARTS)], "shared")
     discard(placed)
     order = F.struct("at", F.xxhash64("node", "s"), "node")
     crowds = shared.groupBy(F.col("s").alias("_s")).agg(
@@ -189,6 +238,13 @@ def links(documents: DataFrame, rows: DataFrame, known: DataFrame) -> DataFrame:
     return found
 
 
+def _common(placed: DataFrame) -> DataFrame:
+    """The rows whose shingle more than one node has."""
+    common = (placed.groupBy(F.col("s").alias("_s")).agg(F.min("node").alias("least"), F.max("node").alias("most"))
+              .filter(F.col("least") < F.col("most")).select("_s"))
+    return placed.join(common, F.col("s") == F.col("_s")).drop("_s").distinct()
+
+
 def _rooted(rows: DataFrame, nodes: DataFrame, components: DataFrame) -> DataFrame:
     """``rows`` with ``root``, the component of the fingerprint of their node."""
     named = components.select(F.col("node").alias("_print"), F.col("root").alias("_root"))

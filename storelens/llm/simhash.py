@@ -219,10 +219,16 @@ def one_of_each(documents: DataFrame, by_overlap: bool = False) -> DataFrame:
     one of those that repeat these too. A component without ids keeps one row alike.
     """
     naming = labelled(documents, by_overlap).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = (naming.groupBy("root").agg(F.min(F.struct("fp", "content", "doc_id")).alias("_kept"))
-            .select(F.col("_kept.doc_id").alias("_id"), F.col("_kept.content").alias("_kept_content")))
-    copies = Window.partitionBy("doc_id", "_content").orderBy(F.lit(0))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_content") == F.col("_kept_content"))
-    return (documents.withColumn("_content", content()).join(kept, same)
+    least = naming.groupBy("root").agg(F.min(F.struct("fp", "content", "doc_id")).alias("_kept"))
+    # Joined by what also parts the copies, so that documents are shuffled once.
+    keys = ["_none", "_key", "_content"]
+
+    def placed(doc_id: Column) -> list[Column]:
+        none = F.lit(0).cast(documents.schema["doc_id"].dataType)
+        return [doc_id.isNull().alias("_none"), F.coalesce(doc_id, none).alias("_key")]
+
+    kept = least.select(*placed(F.col("_kept.doc_id")), F.col("_kept.content").alias("_content"))
+    copies = Window.partitionBy(*keys).orderBy(F.lit(0))
+    return (documents.select("*", *placed(F.col("doc_id")), content().alias("_content")).join(kept, keys)
             .withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") == 1)
             .select(*documents.columns))

@@ -1,8 +1,12 @@
+import os
 import random
+import threading
+import time
 
 import pytest
 
 from storelens.llm import overlap, simhash
+from storelens.session import shared_dir
 
 from .conftest import EDGE_ROWS, SF_DIR, clash, rows_of
 from .test_simhash import plain_components, plain_fingerprint
@@ -52,6 +56,83 @@ def crowd(seed=3):
     return list(enumerate(texts))
 
 
+class Disk:
+    """The most that shuffle files and the given folder hold at a time, beyond what they held at first."""
+
+    def __init__(self, spark, folder):
+        spark._jvm.System.gc()
+        time.sleep(1)
+        local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        self.folders = [folder, *[d.getPath() for d in local]]
+        self.first, self.peak, self.over = self.used(), 0, threading.Event()
+        self.thread = threading.Thread(target=self.watch)
+
+    def used(self):
+        total = 0
+        for folder in self.folders:
+            for path, _, names in os.walk(folder):
+                for name in names:
+                    try:
+                        total += os.path.getsize(f"{path}/{name}")
+                    except OSError:  # files go meanwhile
+                        pass
+        return total
+
+    def watch(self):
+        while not self.over.wait(0.02):
+            self.peak = max(self.peak, self.used() - self.first)
+
+    def __enter__(self):
+        self.thread.start()
+        return self
+
+    def __exit__(self, *_):
+        self.over.set()
+        self.thread.join()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+
+
+def test_sets_of_pairs_are_sent_in_parts(spark, monkeypatch, no_broadcast):
+    """Groups of 10 near copies: 9 pairs for two texts, each pair with all shingles of a text."""
+    rng = random.Random(7)
+    texts = []
+    for _ in range(120):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        for _ in range(10):
+            own = list(base)
+            for i in rng.sample(range(400), 4):
+                own[i] = f"v{rng.randrange(10**6)}"
+            texts.append(" ".join(own))
+    monkeypatch.setattr(overlap, "LEAST_SENT", 10**6, raising=False)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8).cache()
+    rows = simhash.fingerprints(df).cache()
+    prints = {r["fp"]: r["doc_id"] // 10 for r in rows.collect()}
+    with Disk(spark, shared_dir(spark)) as disk:
+        links = [tuple(r) for r in overlap.links(df, rows, spark.createDataFrame([], "a long, b long")).collect()]
+    rows.unpersist()
+    df.unpersist()
+    assert len(prints) > 1100 and all(prints[a] == prints[b] for a, b in links)
+    # All pairs of a group are at 4/5 or more.
+    met = [set(p for p in prints if prints[p] == g) for g in range(120)]
+    assert len(set(frozenset(x) for x in links if x[0] != x[1])) == sum(len(m) * (len(m) - 1) // 2 for m in met)
+    sets = 1200 * 396 * 8
+    assert disk.peak < 3 * sets, disk.peak / sets
+
+
+def test_documents_are_shuffled_once_for_one_of_each(spark, no_broadcast):
+    df = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    plan = simhash.one_of_each(df)._jdf.queryExecution().executedPlan().toString()
+    above = plan[:plan.index("SortMergeJoin")]
+    assert "Window [" in above and "Exchange" not in above
+
+
 @pytest.mark.parametrize("full", [1, 5, 32])
 def test_components_agree_with_brute_force(spark, monkeypatch, full):
     rows = crowd()
