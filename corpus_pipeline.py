@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from storelens.llm import decontamination, mixing, queries, simhash, tokenfiles, toxicity
-from storelens.llm.common import read_table, stored
+from storelens.llm.common import discard, read_table, stored
 from storelens.session import prepare
 
 
@@ -55,9 +55,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = stored(docs, "stage")
+            # The stage is stored, so nothing reads the one before it any more; the tables are never deleted.
+            if before is not None:
+                discard(before)
+            before = docs
     return docs

@@ -90,6 +90,23 @@ def test_pipeline_agrees_with_a_plain_version(spark):
     assert sorted(tuple(r) for r in got) == want
 
 
+def test_stages_are_deleted_once_used(spark, monkeypatch):
+    from storelens.session import work_dir
+
+    folder = os.path.dirname(work_dir(spark, "stage")).removeprefix("file:")
+
+    def stages():
+        return {f for f in (os.listdir(folder) if os.path.isdir(folder) else []) if f.startswith("stage-")}
+
+    first = stages()
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [
+        (str(n), lambda spark, docs, sf_dir, n=n: docs.filter(docs["doc_id"] >= n)) for n in range(5)])
+    found = corpus_pipeline.run(spark, SMALL)
+    assert len(stages() - first) == 1
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    assert found.count() == docs.filter(docs["doc_id"] >= 4).count() == docs.count() - 4
+
+
 def test_stages_keep_the_columns(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     names = [name for name, _ in corpus_pipeline.STAGES]
