@@ -36,15 +36,17 @@ def pack(parcels: np.ndarray, shards: int) -> np.ndarray:
 
 
 def measured(documents: DataFrame, words: Column) -> DataFrame:
-    """``doc_id``, the group (equal texts) and the three measures of each document."""
+    """``doc_id``, the group (equal texts) and the three measures of each document, and ``_salt``: a number of its
+    own, given before rows are stored, since stored files are read in any order."""
     text = whole_text()
     return documents.select(
         "doc_id", F.md5(text).alias("_group"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        (F.octet_length(text).cast("long") + OVERHEAD).alias("size"), words.alias("_tokens"))
+        (F.octet_length(text).cast("long") + OVERHEAD).alias("size"), words.alias("_tokens"),
+        F.monotonically_increasing_id().alias("_salt"))
 
 
 def assign(rows: DataFrame, shards: int = SHARDS, parcels: int = PARCELS) -> DataFrame:
-    """Adds ``shard`` and ``slot`` to rows of ``doc_id, _group, size, _tokens``.
+    """Adds ``shard`` and ``slot`` to rows of ``doc_id, _group, size, _tokens, _salt`` (stored).
 
     Law: bytes. Shards get near equal sums of ``size``; their sums of tokens and rows are balanced
     besides. Groups stay together, unless a group alone is more than a parcel: such a group is cut
@@ -68,8 +70,7 @@ def assign(rows: DataFrame, shards: int = SHARDS, parcels: int = PARCELS) -> Dat
     # Rows have numbers of their own: those that repeat an id and a text are parted too.
     own = F.xxhash64("_group", F.pmod(F.xxhash64("_salt"), F.col("_cuts")))
     keyed = stored(
-        rows.withColumn("_salt", F.monotonically_increasing_id())
-        .join(F.broadcast(large), F.col("_group") == F.col("_large"), "left")
+        rows.join(F.broadcast(large), F.col("_group") == F.col("_large"), "left")
         .withColumn("_parcel", F.when(F.col("_cuts").isNotNull(), own)
                     .otherwise(F.pmod(F.xxhash64("_group"), F.lit(wanted))))
         .drop("_large", "_cuts"),
